@@ -16,7 +16,7 @@ from cratewise.functions import (
     repair_date,
     type_score,
 )
-from cratewise.operators.skew import ROWS_PER_SALT, hot_keys, salted_join
+from cratewise.operators.skew import HotKeys
 
 OFFICIAL = 1
 
@@ -103,29 +103,33 @@ def typed_release_groups(release_group: DataFrame, rg_type: DataFrame) -> DataFr
     )
 
 
+def track_keys(track: DataFrame, medium: DataFrame, release: DataFrame) -> dict[str, DataFrame]:
+    """Fact columns of the joins from tracks to release groups, for :meth:`HotKeys.find`."""
+    return {
+        "medium.release": medium.select("release"),
+        "release.release_group": release.select("release_group"),
+        "track.medium": track.select("medium"),
+        "track.recording": track.select("recording"),
+    }
+
+
 def official_tracks(
-    track: DataFrame, medium: DataFrame, releases: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+    track: DataFrame, medium: DataFrame, releases: DataFrame, hot: HotKeys
 ) -> DataFrame:
     """Tracks on the given releases: the ``track`` columns but ``medium``, plus those of ``releases``.
 
     ``releases`` is keyed by ``release``. Media and releases meet first, so that the tracks, the
     largest table, are shuffled once here.
     """
-    media = salted_join(
+    media = hot.join(
+        "medium.release",
         medium.select(F.col("id").alias("medium"), "release"),
         releases,
         "release",
-        hot=hot_keys(medium, "release", rows_per_salt=rows_per_salt),
         spread=["medium"],
     )
     rest = [c for c in track.columns if c != "medium"]
-    return salted_join(
-        track,
-        media,
-        "medium",
-        hot=hot_keys(track, "medium", rows_per_salt=rows_per_salt),
-        spread=rest,
-    ).drop("medium")
+    return hot.join("track.medium", track, media, "medium", spread=rest).drop("medium")
 
 
 def _candidates(
@@ -135,22 +139,15 @@ def _candidates(
     release: DataFrame,
     dates: DataFrame,
     groups: DataFrame,
-    rows_per_salt: int,
+    hot: HotKeys,
 ) -> DataFrame:
     """One row per track of a recording on an official release, with all columns of ``groups``."""
     official = official_releases(release).select(F.col("id").alias("release"), "release_group")
     dated = official.join(dates, "release", "left")
-    ranked_releases = salted_join(
-        dated,
-        groups,
-        "release_group",
-        "left",
-        hot=hot_keys(official, "release_group", rows_per_salt=rows_per_salt),
-        spread=["release"],
-    )
-    tracks = official_tracks(
-        track.select("recording", "medium"), medium, ranked_releases, rows_per_salt
+    ranked_releases = hot.join(
+        "release.release_group", dated, groups, "release_group", "left", spread=["release"]
     )
+    tracks = official_tracks(track.select("recording", "medium"), medium, ranked_releases, hot)
     own = recordings.select(
         F.col("id").alias("recording"),
         F.col("gid").alias("recording_mbid"),
@@ -159,13 +156,7 @@ def _candidates(
         "artist_credit",
         "length_bucket",
     )
-    pairs = salted_join(
-        tracks,
-        own,
-        "recording",
-        hot=hot_keys(track, "recording", rows_per_salt=rows_per_salt),
-        spread=["release"],
-    )
+    pairs = hot.join("track.recording", tracks, own, "recording", spread=["release"])
     bonus = credit_bonus(F.col("release_group_artist_credit"), F.col("artist_credit"))
     date = F.coalesce("normalized_release_date", F.lit(UNKNOWN_DATE))
     # A release without a release group has no type, and an unknown type scores 0.
@@ -181,14 +172,15 @@ def score_candidates(
     dates: DataFrame,
     release_group: DataFrame,
     rg_type: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Every candidate with its score and date: the input of :func:`canonical_rank`.
 
     ``recordings`` come from :func:`normalize_recordings`, ``dates`` from :func:`earliest_dates`.
     """
+    hot = hot or HotKeys.find(track_keys(track, medium, release))
     groups = typed_release_groups(release_group, rg_type)
-    rows = _candidates(recordings, track, medium, release, dates, groups, rows_per_salt)
+    rows = _candidates(recordings, track, medium, release, dates, groups, hot)
     return rows.select(*SCORED_COLUMNS)
 
 
@@ -225,38 +217,45 @@ def elect(
     dates: DataFrame,
     release_group: DataFrame,
     rg_type: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """The columns of ``canonical_rank(score_candidates(...))`` but for title and type.
 
     Those two follow from the release group, so the outputs fetch them once per elected group
     instead of carrying them through every shuffle of the track table.
     """
+    hot = hot or HotKeys.find(track_keys(track, medium, release))
     groups = typed_release_groups(release_group, rg_type).drop(*TITLE_COLUMNS)
-    rows = _candidates(recordings, track, medium, release, dates, groups, rows_per_salt)
+    rows = _candidates(recordings, track, medium, release, dates, groups, hot)
     slim = [c for c in SCORED_COLUMNS if c not in TITLE_COLUMNS]
     return canonical_rank(rows.select(*slim))
 
 
+def cluster_keys(recordings: DataFrame) -> dict[str, DataFrame]:
+    """Fact columns of :func:`cluster_members`, for :meth:`HotKeys.find`."""
+    return {"recording.cluster": recordings.select(*CLUSTER_KEY)}
+
+
 def cluster_members(
-    recordings: DataFrame, rank: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+    recordings: DataFrame, rank: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Every recording of an elected cluster with the cluster's canonical recording and credit.
 
     Recordings with an unknown part in their key belong to no cluster. Untitled recordings of unknown
     length share one key, which makes this the most skewed join of the build.
     """
+    hot = hot or HotKeys.find(cluster_keys(recordings))
     winners = rank.select(
         F.col("normalized_rec_name").alias("normalized_name"),
         "artist_credit",
         "length_bucket",
         "canonical_recording_mbid",
     )
-    members = salted_join(
+    members = hot.join(
+        "recording.cluster",
         recordings.select("id", "gid", *CLUSTER_KEY),
         winners,
         CLUSTER_KEY,
-        hot=hot_keys(recordings, *CLUSTER_KEY, rows_per_salt=rows_per_salt),
         spread=["id"],
     )
     return members.select(
@@ -268,8 +267,8 @@ def cluster_members(
 
 
 def canonical_map(
-    recordings: DataFrame, rank: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+    recordings: DataFrame, rank: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """``(recording_id, recording_mbid, canonical_recording_mbid)``, distinct."""
-    members = cluster_members(recordings, rank, rows_per_salt)
+    members = cluster_members(recordings, rank, hot)
     return members.select("recording_id", "recording_mbid", "canonical_recording_mbid").distinct()

@@ -10,26 +10,30 @@ from pyspark.sql import functions as F
 
 from cratewise.functions.links import is_wikidata, wikidata_id
 from cratewise.operators.canonical import typed_release_groups
-from cratewise.operators.skew import ROWS_PER_SALT, hot_keys, salted_join
+from cratewise.operators.skew import HotKeys
 
 PRIMARY_POSITION = 0
 
 
+def artist_link_keys(l_artist_url: DataFrame) -> dict[str, DataFrame]:
+    return {"l_artist_url.entity1": l_artist_url.select("entity1")}
+
+
 def artist_wikidata(
-    l_artist_url: DataFrame, url: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+    l_artist_url: DataFrame, url: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """``(artist_id, wikidata_id)`` of every knowledge-base link; an artist may have several."""
+    hot = hot or HotKeys.find(artist_link_keys(l_artist_url))
     pages = url.filter(is_wikidata("url")).select(
         F.col("id").alias("entity1"), wikidata_id("url").alias("wikidata_id")
     )
-    links = salted_join(
+    return hot.join(
+        "l_artist_url.entity1",
         l_artist_url.select("entity0", "entity1"),
         pages,
         "entity1",
-        hot=hot_keys(l_artist_url, "entity1", rows_per_salt=rows_per_salt),
         spread=["entity0"],
-    )
-    return links.select(F.col("entity0").alias("artist_id"), "wikidata_id")
+    ).select(F.col("entity0").alias("artist_id"), "wikidata_id")
 
 
 def elected_release_groups(rank: DataFrame) -> DataFrame:
@@ -59,8 +63,20 @@ def dim_release_group(rank: DataFrame, release_group: DataFrame, rg_type: DataFr
     )
 
 
+def credit_keys(owners: DataFrame, artist_credit_name: DataFrame) -> dict[str, DataFrame]:
+    """Fact columns of the joins from owners of a credit to artists, for :meth:`HotKeys.find`.
+
+    ``owners`` is any frame with an ``artist_credit`` whose rows contain those of the join: the
+    recordings stand in for the rank.
+    """
+    return {
+        "owner.artist_credit": owners.select("artist_credit"),
+        "artist_credit_name.artist": artist_credit_name.select("artist"),
+    }
+
+
 def credited_artists(
-    artist_credit_name: DataFrame, artist: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+    artist_credit_name: DataFrame, artist: DataFrame, hot: HotKeys
 ) -> DataFrame:
     """Credit rows with the artist's public id and name: ``(artist_credit, position, ...)``."""
     names = artist.select(
@@ -68,11 +84,11 @@ def credited_artists(
         F.col("gid").alias("artist_mbid"),
         F.col("name").alias("artist_name"),
     )
-    return salted_join(
+    return hot.join(
+        "artist_credit_name.artist",
         artist_credit_name.select("artist_credit", "position", "artist"),
         names,
         "artist",
-        hot=hot_keys(artist_credit_name, "artist", rows_per_salt=rows_per_salt),
         spread=["artist_credit", "position"],
     ).select("artist_credit", "position", "artist_mbid", "artist_name")
 
@@ -81,38 +97,49 @@ def recording_credits(
     rank: DataFrame,
     artist_credit_name: DataFrame,
     artist: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Credit rows of the canonical recordings.
 
     A canonical recording's own credit is part of its cluster key, so the rank supplies it and the
     recording table is not read again.
     """
+    hot = hot or HotKeys.find(credit_keys(rank, artist_credit_name))
     owners = rank.select(
         F.col("canonical_recording_mbid").alias("recording_mbid"), "artist_credit"
     )
-    return salted_join(
+    return hot.join(
+        "owner.artist_credit",
         owners,
-        credited_artists(artist_credit_name, artist, rows_per_salt),
+        credited_artists(artist_credit_name, artist, hot),
         "artist_credit",
-        hot=hot_keys(owners, "artist_credit", rows_per_salt=rows_per_salt),
         spread=["recording_mbid"],
     ).select("recording_mbid", "artist_mbid", "position")
 
 
+def elected_group_keys(
+    rank: DataFrame, artist_credit_name: DataFrame
+) -> dict[str, DataFrame]:
+    """Fact columns of :func:`release_group_credits`, for :meth:`HotKeys.find`."""
+    return {
+        "release_group.artist_credit": elected_release_groups(rank).select("artist_credit"),
+        "artist_credit_name.artist": artist_credit_name.select("artist"),
+    }
+
+
 def release_group_credits(
     rank: DataFrame,
     artist_credit_name: DataFrame,
     artist: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Credit rows of the elected release groups."""
-    owners = elected_release_groups(rank)
-    return salted_join(
-        owners,
-        credited_artists(artist_credit_name, artist, rows_per_salt),
+    hot = hot or HotKeys.find(elected_group_keys(rank, artist_credit_name))
+    return hot.join(
+        "release_group.artist_credit",
+        elected_release_groups(rank),
+        credited_artists(artist_credit_name, artist, hot),
         "artist_credit",
-        hot=hot_keys(owners, "artist_credit", rows_per_salt=rows_per_salt),
         spread=["release_group_mbid"],
     ).select("release_group_mbid", "artist_mbid", "position")
 
@@ -153,35 +180,36 @@ def dim_artist(
 
 
 def primary_artists(
-    artist_credit_name: DataFrame, artist: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+    artist_credit_name: DataFrame, artist: DataFrame, hot: HotKeys
 ) -> DataFrame:
     """Position-0 rows of every credit, restricted before any join."""
     first = artist_credit_name.filter(F.col("position") == PRIMARY_POSITION)
-    return credited_artists(first, artist, rows_per_salt).drop("position")
+    return credited_artists(first, artist, hot).drop("position")
 
 
 def dim_recording(
     rank: DataFrame,
     artist_credit_name: DataFrame,
     artist: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Canonical recordings that have a release group, with their primary artist if there is one."""
+    hot = hot or HotKeys.find(credit_keys(rank, artist_credit_name))
     owners = rank.filter(
         F.col("canonical_recording_mbid").isNotNull() & F.col("release_group_mbid").isNotNull()
     ).select("canonical_recording_mbid", "release_group_mbid", "length", "artist_credit")
     primary = (
-        primary_artists(artist_credit_name, artist, rows_per_salt)
+        primary_artists(artist_credit_name, artist, hot)
         .groupBy("artist_credit")
         .agg(F.min("artist_mbid").alias("primary_artist_mbid"))
     )
     return (
-        salted_join(
+        hot.join(
+            "owner.artist_credit",
             owners,
             primary,
             "artist_credit",
             "left",
-            hot=hot_keys(owners, "artist_credit", rows_per_salt=rows_per_salt),
             spread=["canonical_recording_mbid"],
         )
         .groupBy(F.col("canonical_recording_mbid").alias("recording_mbid"))

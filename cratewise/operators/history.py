@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.functions import history_identifier, norm, url_provider
-from cratewise.operators.skew import ROWS_PER_SALT, hot_keys, salted_join
+from cratewise.operators.skew import HotKeys
 
 LINK_KEY = ["provider", "url_identifier"]
 TEXT_KEY = ["track_title", "release_title", "artist_name"]
@@ -25,67 +25,101 @@ def with_lookup_keys(history: DataFrame) -> DataFrame:
     )
 
 
-def one_per_key(lookup: DataFrame, key: list[str], alias: str) -> DataFrame:
+def one_per_key(lookup: DataFrame, key: list[str]) -> DataFrame:
     """A key may stand for several recordings; the lowest one is taken, so that no play doubles."""
-    return lookup.groupBy(*key).agg(F.min("recording_mbid").alias(alias))
+    return lookup.groupBy(*key).agg(F.min("recording_mbid").alias("recording_mbid"))
+
+
+def _with_albums(lookup: DataFrame, recording: DataFrame, name: str, hot: HotKeys) -> DataFrame:
+    albums = recording.select("recording_mbid", "release_group_mbid")
+    spread = [c for c in lookup.columns if c != "recording_mbid"]
+    return hot.join(name, lookup, albums, "recording_mbid", "left", spread=spread)
+
+
+def history_keys(
+    keyed: DataFrame, link_lookup: DataFrame, text_lookup: DataFrame
+) -> dict[str, DataFrame]:
+    """Fact columns of :func:`resolve`, for :meth:`HotKeys.find`."""
+    return {
+        "history.link": keyed.select(*LINK_KEY),
+        "history.text": keyed.select(*TEXT_KEY),
+        "link_lookup.recording_mbid": link_lookup.select("recording_mbid"),
+        "text_lookup.recording_mbid": text_lookup.select("recording_mbid"),
+    }
 
 
 def resolve(
     keyed: DataFrame,
     link_lookup: DataFrame,
     text_lookup: DataFrame,
-    salted: bool = True,
-    rows_per_salt: int = ROWS_PER_SALT,
+    recording: DataFrame,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Rows of :func:`with_lookup_keys` with ``recording_mbid`` and ``matched_by``.
+    """Rows of :func:`with_lookup_keys` with their recording, release group and ``matched_by``.
 
     Links come first. Text is the fallback: rows that have found their link carry no text key into
-    the second join. ``salted=False`` is for streams, which cannot count their hot keys.
+    the second join. Rows without a match stay, with NULLs. Release groups are put on the lookups,
+    not on the plays, which saves the plays a third shuffle. A stream passes ``HotKeys.none()``, for
+    it cannot count its keys.
     """
-    links = one_per_key(link_lookup, LINK_KEY, "_by_link")
-    texts = one_per_key(text_lookup, TEXT_KEY, "_by_text").withColumnsRenamed(
-        {k: f"_{k}" for k in TEXT_KEY}
+    hot = hot or HotKeys.find(history_keys(keyed, link_lookup, text_lookup))
+    links = _with_albums(
+        one_per_key(link_lookup, LINK_KEY), recording, "link_lookup.recording_mbid", hot
     )
-
-    def left_join(rows: DataFrame, dim: DataFrame, key: list[str], hot_of: DataFrame) -> DataFrame:
-        if not salted:
-            return rows.join(dim, key, "left")
-        hot = hot_keys(hot_of, *key, rows_per_salt=rows_per_salt)
-        return salted_join(rows, dim, key, "left", hot=hot, spread=keyed.columns)
-
-    by_link = left_join(keyed, links, LINK_KEY, keyed)
-    unresolved = F.col("_by_link").isNull()
+    texts = _with_albums(
+        one_per_key(text_lookup, TEXT_KEY), recording, "text_lookup.recording_mbid", hot
+    )
+    by_link = hot.join(
+        "history.link",
+        keyed,
+        links.select(*LINK_KEY, *_renamed("link")),
+        LINK_KEY,
+        "left",
+        spread=keyed.columns,
+    )
+    resolved = F.col("_link_recording").isNotNull()
     text_key = [f"_{k}" for k in TEXT_KEY]
-    fallback = by_link.withColumns({f"_{k}": F.when(unresolved, F.col(k)) for k in TEXT_KEY})
-    counted = keyed.select(*[F.col(k).alias(f"_{k}") for k in TEXT_KEY])
-    by_text = left_join(fallback, texts, text_key, counted)
-    matched_by = F.when(F.col("_by_link").isNotNull(), "link").when(
-        F.col("_by_text").isNotNull(), "text"
+    fallback = by_link.select(
+        "*", *[F.when(~resolved, F.col(k)).alias(f"_{k}") for k in TEXT_KEY]
     )
+    by_text = hot.join(
+        "history.text",
+        fallback,
+        texts.select(*[F.col(k).alias(f"_{k}") for k in TEXT_KEY], *_renamed("text")),
+        text_key,
+        "left",
+        spread=keyed.columns,
+    )
+    matched_by = F.when(resolved, "link").when(F.col("_text_recording").isNotNull(), "text")
     return by_text.select(
         *keyed.columns,
-        F.coalesce("_by_link", "_by_text").alias("recording_mbid"),
+        F.when(resolved, F.col("_link_recording"))
+        .otherwise(F.col("_text_recording"))
+        .alias("recording_mbid"),
         matched_by.alias("matched_by"),
+        F.when(resolved, F.col("_link_album"))
+        .otherwise(F.col("_text_album"))
+        .alias("release_group_mbid"),
     )
 
 
+def _renamed(source: str) -> list[Column]:
+    return [
+        F.col("recording_mbid").alias(f"_{source}_recording"),
+        F.col("release_group_mbid").alias(f"_{source}_album"),
+    ]
+
+
 def resolve_history(
     history: DataFrame,
     link_lookup: DataFrame,
     text_lookup: DataFrame,
     recording: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Every play with its recording and canonical release group; unresolved plays stay, with NULLs."""
-    resolved = resolve(
-        with_lookup_keys(history), link_lookup, text_lookup, rows_per_salt=rows_per_salt
-    )
-    groups = recording.select("recording_mbid", "release_group_mbid")
-    # Not salted: the resolved ids are not known up front, and counting them would resolve twice.
-    # Adaptive execution splits a skewed partition here, as both sides are shuffled for this join.
-    return resolved.join(groups, "recording_mbid", "left").select(
-        *history.columns, "recording_mbid", "matched_by", "release_group_mbid"
-    )
+    """Every play with its canonical recording and release group."""
+    resolved = resolve(with_lookup_keys(history), link_lookup, text_lookup, recording, hot)
+    return resolved.select(*history.columns, "recording_mbid", "matched_by", "release_group_mbid")
 
 
 def plays_per_release_group(
@@ -94,25 +128,17 @@ def plays_per_release_group(
     text_lookup: DataFrame,
     recording: DataFrame,
     release_group: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Plays and listening time of every album; plays without one are counted on a NULL row.
 
     Plays are added up per distinct key before any join, so a hit song is one row from then on.
     """
-    totals = {"plays": F.sum("plays"), "ms_played": F.sum("ms_played")}
-
-    def add_up(rows: DataFrame, *by: str) -> DataFrame:
-        return rows.groupBy(*by).agg(*[total.alias(n) for n, total in totals.items()])
-
+    totals = [F.sum("plays").alias("plays"), F.sum("ms_played").alias("ms_played")]
     single = with_lookup_keys(history).withColumn("plays", F.lit(1).cast("bigint"))
-    per_key = add_up(single, *LINK_KEY, *TEXT_KEY)
-    resolved = resolve(per_key, link_lookup, text_lookup, rows_per_salt=rows_per_salt)
-    per_recording = add_up(resolved, "recording_mbid")
-    groups = recording.select("recording_mbid", "release_group_mbid")
-    per_group = add_up(
-        per_recording.join(groups, "recording_mbid", "left"), "release_group_mbid"
-    )
+    per_key = single.groupBy(*LINK_KEY, *TEXT_KEY).agg(*totals)
+    resolved = resolve(per_key, link_lookup, text_lookup, recording, hot)
+    per_group = resolved.groupBy("release_group_mbid").agg(*totals)
     titles = release_group.select("release_group_mbid", "release_group_title")
     return per_group.join(titles, "release_group_mbid", "left").select(
         "release_group_mbid", "release_group_title", "plays", "ms_played"
@@ -120,18 +146,19 @@ def plays_per_release_group(
 
 
 def ordered_credits(
-    credits: DataFrame, artists: DataFrame, owner: str, rows_per_salt: int = ROWS_PER_SALT
+    credits: DataFrame, artists: DataFrame, owner: str, hot: HotKeys | None = None
 ) -> DataFrame:
     """Credit rows of every owner in billing order, with names and knowledge-base ids.
 
     One row per credit, range-sorted: an owner with very many credits spans tasks instead of becoming
     one oversized list.
     """
-    named = salted_join(
+    hot = hot or HotKeys.find({"credits.artist_mbid": credits.select("artist_mbid")})
+    named = hot.join(
+        "credits.artist_mbid",
         credits.select(owner, "position", "artist_mbid"),
         artists,
         "artist_mbid",
-        hot=hot_keys(credits, "artist_mbid", rows_per_salt=rows_per_salt),
         spread=[owner, "position"],
     )
     return named.select(
@@ -143,27 +170,29 @@ def track_details(
     recording: DataFrame,
     release_group: DataFrame,
     artists: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Length, album and primary artist's knowledge-base id of every canonical recording."""
-    with_album = salted_join(
+    keys = ["release_group_mbid", "primary_artist_mbid"]
+    hot = hot or HotKeys.find({f"recording.{k}": recording.select(k) for k in keys})
+    with_album = hot.join(
+        "recording.release_group_mbid",
         recording,
         release_group.select("release_group_mbid", "release_group_title"),
         "release_group_mbid",
         "left",
-        hot=hot_keys(recording, "release_group_mbid", rows_per_salt=rows_per_salt),
         spread=["recording_mbid"],
     )
     primary = artists.select(
         F.col("artist_mbid").alias("primary_artist_mbid"),
         F.col("artist_wikidata_id").alias("primary_artist_wikidata_id"),
     )
-    return salted_join(
+    return hot.join(
+        "recording.primary_artist_mbid",
         with_album,
         primary,
         "primary_artist_mbid",
         "left",
-        hot=hot_keys(recording, "primary_artist_mbid", rows_per_salt=rows_per_salt),
         spread=["recording_mbid"],
     ).select(
         "recording_mbid",

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.functions import has_provider, norm, url_identifier, url_provider
-from cratewise.operators.canonical import official_release_names, official_tracks
-from cratewise.operators.dimensions import primary_artists
-from cratewise.operators.skew import ROWS_PER_SALT, hot_keys, salted_join
+from cratewise.operators.canonical import (
+    official_release_names,
+    official_tracks,
+    track_keys,
+)
+from cratewise.operators.dimensions import credit_keys, primary_artists
+from cratewise.operators.skew import HotKeys
 
 
 def text_lookup(
@@ -18,90 +22,83 @@ def text_lookup(
     release: DataFrame,
     artist_credit_name: DataFrame,
     artist: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Distinct ``(track_title, release_title, artist_name, recording_mbid)``, titles normalised.
 
     ``members`` comes from :func:`cratewise.operators.canonical.cluster_members`. Titles of official
-    releases only. Release and artist names are normalised once per release and artist. Members of a
-    cluster share its credit, so artists are joined after the title keys are made distinct.
+    releases only. Release and artist names are normalised once per release and artist, and artists
+    meet the recordings before the far more numerous tracks do.
     """
+    hot = hot or HotKeys.find(
+        {**track_keys(track, medium, release), **credit_keys(members, artist_credit_name)}
+    )
     titles = official_release_names(release).select(
         F.col("id").alias("release"), norm("name").alias("release_title")
     )
     tracks = official_tracks(
-        track.select("recording", "medium", "name"), medium, titles, rows_per_salt
-    ).select("recording", norm("name").alias("track_title"), "release_title")
-    members_by_id = members.select(
-        F.col("recording_id").alias("recording"), "canonical_recording_mbid", "artist_credit"
-    )
-    keys = (
-        salted_join(
-            tracks,
-            members_by_id,
-            "recording",
-            hot=hot_keys(track, "recording", rows_per_salt=rows_per_salt),
-            spread=["track_title", "release_title"],
-        )
-        .drop("recording")
-        .distinct()
+        track.select("recording", "medium", norm("name").alias("track_title")), medium, titles, hot
     )
-    names = primary_artists(artist_credit_name, artist, rows_per_salt).select(
+    names = primary_artists(artist_credit_name, artist, hot).select(
         "artist_credit", norm("artist_name").alias("artist_name")
     )
-    return (
-        salted_join(
-            keys,
-            names,
-            "artist_credit",
-            hot=hot_keys(members, "artist_credit", rows_per_salt=rows_per_salt),
-            spread=["track_title", "release_title", "canonical_recording_mbid"],
-        )
-        .select(
-            "track_title",
-            "release_title",
-            "artist_name",
+    named = hot.join(
+        "owner.artist_credit",
+        members.select(
+            F.col("recording_id").alias("recording"),
             F.col("canonical_recording_mbid").alias("recording_mbid"),
+            "artist_credit",
+        ),
+        names,
+        "artist_credit",
+        spread=["recording"],
+    )
+    return (
+        hot.join(
+            "track.recording",
+            tracks,
+            named,
+            "recording",
+            spread=["track_title", "release_title"],
         )
+        .select("track_title", "release_title", "artist_name", "recording_mbid")
         .distinct()
     )
 
 
+def recording_link_keys(l_recording_url: DataFrame) -> dict[str, DataFrame]:
+    """Fact columns of :func:`link_lookup`, for :meth:`HotKeys.find`."""
+    return {
+        "l_recording_url.entity1": l_recording_url.select("entity1"),
+        "l_recording_url.entity0": l_recording_url.select("entity0"),
+    }
+
+
 def link_lookup(
-    members: DataFrame,
-    url: DataFrame,
-    l_recording_url: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
+    members: DataFrame, url: DataFrame, l_recording_url: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Distinct ``(url_identifier, provider, recording_mbid)`` of links to the known providers."""
+    hot = hot or HotKeys.find(recording_link_keys(l_recording_url))
     links = url.filter(has_provider("url")).select(
         F.col("id").alias("entity1"),
         url_identifier("url").alias("url_identifier"),
         url_provider("url").alias("provider"),
     )
-    linked = salted_join(
+    linked = hot.join(
+        "l_recording_url.entity1",
         l_recording_url.select("entity0", "entity1"),
         links,
         "entity1",
-        hot=hot_keys(l_recording_url, "entity1", rows_per_salt=rows_per_salt),
         spread=["entity0"],
-    ).select(F.col("entity0").alias("recording_id"), "url_identifier", "provider")
+    )
+    canonical = members.select(
+        F.col("recording_id").alias("entity0"),
+        F.col("canonical_recording_mbid").alias("recording_mbid"),
+    )
     return (
-        salted_join(
-            linked,
-            members.select("recording_id", "canonical_recording_mbid"),
-            "recording_id",
-            hot=hot_keys(
-                l_recording_url.withColumnRenamed("entity0", "recording_id"),
-                "recording_id",
-                rows_per_salt=rows_per_salt,
-            ),
-            spread=["url_identifier", "provider"],
-        )
-        .select(
-            "url_identifier",
-            "provider",
-            F.col("canonical_recording_mbid").alias("recording_mbid"),
+        hot.join(
+            "l_recording_url.entity0", linked, canonical, "entity0", spread=["url_identifier"]
         )
+        .select("url_identifier", "provider", "recording_mbid")
         .distinct()
     )

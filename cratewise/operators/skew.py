@@ -1,14 +1,15 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
 A hot key (the empty title, the "various artists" credit, a hit song) would send its rows to one
-task. :func:`hot_keys` finds such keys with one pre-aggregated count over 8-byte hashes, and
-:func:`salted_join` spreads their rows over as many tasks as they need. Rows of all other keys carry
-salt 0 and are shuffled once, as in a plain join. No row is dropped, capped or sampled.
+task. :meth:`HotKeys.find` looks for such keys with one pre-aggregated count over 8-byte hashes, for
+any number of fact columns at once. A join whose fact side has none is a plain join, which Spark may
+also broadcast; otherwise the rows of hot keys are spread over as many tasks as they need, and all
+other rows are shuffled once as before. No row is dropped, capped or sampled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -21,62 +22,96 @@ ROWS_PER_SALT = 1_000_000
 NULL_SALTS = 1 << 20
 
 
-def hot_keys(rows: DataFrame, *keys: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """``(key_hash, salts)`` of every key with more than ``rows_per_salt`` rows.
-
-    Size bound: fewer than ``rows / rows_per_salt`` rows of 12 bytes, which is why the joins below
-    may broadcast it. Rows with a NULL in the key match nothing and are not counted.
-    """
-    return (
-        rows.dropna(subset=list(keys))
-        .groupBy(F.xxhash64(*keys).alias("key_hash"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > rows_per_salt)
-        .select("key_hash", F.ceil(F.col("n") / F.lit(rows_per_salt)).cast("int").alias("salts"))
-    )
-
-
-def salted_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    *,
-    hot: DataFrame,
-    spread: Sequence[str],
-) -> DataFrame:
-    """Equi-join on the columns ``on``, named alike on both sides; ``how`` is inner or left.
-
-    ``hot`` is :func:`hot_keys` of the fact side, or of a table the facts were derived from; it only
-    steers the layout, the result is that of the plain join. ``spread`` names fact columns that tell
-    the rows of one key apart. Salts are hashes of them and of the task number, which tells exact
-    copies apart, not random numbers: a task that is run again after an executor is lost assigns
-    every row as before.
-    """
-    keys = [on] if isinstance(on, str) else list(on)
-    if how not in ("inner", "left"):
-        raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
-    for key in keys:
-        left, right = facts.schema[key].dataType, dim.schema[key].dataType
-        if left != right:
-            raise TypeError(f"join key {key!r} is {left} on one side and {right} on the other")
-
-    def with_salts(side: DataFrame) -> DataFrame:
-        bounded = F.broadcast(hot.withColumnRenamed("salts", "_salts"))
-        hashed = side.withColumn("key_hash", F.xxhash64(*keys))
-        return hashed.join(bounded, "key_hash", "left").drop("key_hash")
-
-    row_hash = F.xxhash64(*spread, F.spark_partition_id())
-    own_salt = F.coalesce(F.pmod(row_hash, F.col("_salts")), F.lit(0))
-    if how == "inner":
-        facts, dim = facts.dropna(subset=keys), dim.dropna(subset=keys)
-    else:
+class HotKeys:
+    """Which keys of which fact columns are hot, and the joins that take this into account."""
+
+    def __init__(self, keys: DataFrame | None = None, facts: Mapping[str, int] | None = None) -> None:
+        self._keys = keys
+        self._facts = dict(facts or {})
+
+    @classmethod
+    def none(cls) -> HotKeys:
+        """Plain joins only, for streams and for small inputs."""
+        return cls()
+
+    @classmethod
+    def find(
+        cls, facts: Mapping[str, DataFrame], rows_per_salt: int = ROWS_PER_SALT
+    ) -> HotKeys:
+        """Hot keys of every named frame, which holds just the key columns; runs one job.
+
+        A frame may be the joined facts themselves or the table they come from, whose counts are an
+        upper bound. Size bound of the result: fewer than ``rows / rows_per_salt`` rows of 16 bytes,
+        which is why the joins may broadcast it. Rows with a NULL in the key match nothing and are
+        not counted.
+        """
+        hashes = [
+            keys.dropna().select(F.lit(i).alias("fact"), F.xxhash64(*keys.columns).alias("key_hash"))
+            for i, keys in enumerate(facts.values())
+        ]
+        hot = (
+            reduce(DataFrame.unionAll, hashes)
+            .groupBy("fact", "key_hash")
+            .agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_salt)).cast("int").alias("salts"))
+            .filter("salts > 1")
+            .persist()
+        )
+        # One row for each named frame at most.
+        found = {row.fact for row in hot.select("fact").distinct().collect()}
+        return cls(hot, {name: i for i, name in enumerate(facts) if i in found})
+
+    def __contains__(self, fact: str) -> bool:
+        return fact in self._facts
+
+    def join(
+        self,
+        fact: str,
+        facts: DataFrame,
+        dim: DataFrame,
+        on: str | Sequence[str],
+        how: str = "inner",
+        *,
+        spread: Sequence[str],
+    ) -> DataFrame:
+        """Equi-join on the columns ``on``, named alike on both sides; ``how`` is inner or left.
+
+        ``fact`` is the name the fact column had in :meth:`find`. The result is that of the plain
+        join whatever the hot keys are. ``spread`` names fact columns that tell the rows of one key
+        apart. Salts are hashes of them and of the task number, which tells exact copies apart, not
+        random numbers: a task that is run again after an executor is lost assigns every row as
+        before.
+        """
+        keys = [on] if isinstance(on, str) else list(on)
+        if how not in ("inner", "left"):
+            raise ValueError(f"only inner and left joins can be salted, not {how!r}")
+        if fact not in self._facts:
+            return facts.join(dim, keys, how)
+        for key in keys:
+            left, right = facts.schema[key].dataType, dim.schema[key].dataType
+            if left != right:
+                raise TypeError(f"key {key!r} is {left} on one side and {right} on the other")
+
+        hot = F.broadcast(
+            self._keys.filter(F.col("fact") == self._facts[fact]).select("key_hash", "salts")
+        )
+        hashed = F.xxhash64(*keys) == F.col("key_hash")
+        row_hash = F.xxhash64(*spread, F.spark_partition_id())
         # No row of the other side matches a NULL, so such rows may go anywhere.
         no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
-        own_salt = F.when(no_key, F.pmod(row_hash, F.lit(NULL_SALTS))).otherwise(own_salt)
-    every_salt = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col("_salts") - 1)
-    )
-    salted_facts = with_salts(facts).withColumn("_salt", own_salt.cast("int")).drop("_salts")
-    salted_dim = with_salts(dim).withColumn("_salt", F.explode(every_salt)).drop("_salts")
-    return salted_facts.join(salted_dim, [*keys, "_salt"], how).drop("_salt")
+        own_salt = (
+            F.when(no_key, F.pmod(row_hash, F.lit(NULL_SALTS)))
+            .otherwise(F.coalesce(F.pmod(row_hash, F.col("salts")), F.lit(0)))
+            .cast("int")
+        )
+        every_salt = F.when(F.col("salts").isNull(), F.array(F.lit(0))).otherwise(
+            F.sequence(F.lit(0), F.col("salts") - 1)
+        )
+        if how == "inner":
+            facts = facts.dropna(subset=keys)
+        salted_facts = facts.join(hot, hashed, "left").select(
+            *facts.columns, own_salt.alias("_salt")
+        )
+        salted_dim = dim.join(hot, hashed, "left").select(
+            *dim.columns, F.explode(every_salt).alias("_salt")
+        )
+        return salted_facts.join(salted_dim, [*keys, "_salt"], how).drop("_salt")

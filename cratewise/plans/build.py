@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from cratewise.operators import canonical, checks, dimensions, lookups
-from cratewise.operators.skew import ROWS_PER_SALT
+from cratewise.operators.skew import ROWS_PER_SALT, HotKeys
 from cratewise.sources.manifest import TableSpec, catalogue_manifest
 from cratewise.sources.sinks import TARGETS, with_surrogate_id, write_target
 from cratewise.sources.stage import Stage
@@ -40,6 +40,22 @@ class Catalogue:
             self.tables["release_country"], self.tables["release_unknown_country"]
         )
 
+    @cached_property
+    def hot(self) -> HotKeys:
+        """Hot keys of every fact column, counted in one job over narrow projections."""
+        t = self.tables
+        return HotKeys.find(
+            {
+                **canonical.track_keys(t["track"], t["medium"], t["release"]),
+                **canonical.cluster_keys(self.recordings),
+                **dimensions.credit_keys(self.recordings, t["artist_credit_name"]),
+                "release_group.artist_credit": t["release_group"].select("artist_credit"),
+                **dimensions.artist_link_keys(t["l_artist_url"]),
+                **lookups.recording_link_keys(t["l_recording_url"]),
+            },
+            self.rows_per_salt,
+        )
+
     @cached_property
     def rank(self) -> DataFrame:
         t = self.tables
@@ -51,7 +67,7 @@ class Catalogue:
             self.dates,
             t["release_group"],
             t["rg_type"],
-            self.rows_per_salt,
+            self.hot,
         )
         return self.stage.save("rank", elected)
 
@@ -59,13 +75,13 @@ class Catalogue:
     def members(self) -> DataFrame:
         return self.stage.save(
             "members",
-            canonical.cluster_members(self.recordings, self.rank, self.rows_per_salt),
+            canonical.cluster_members(self.recordings, self.rank, self.hot),
         )
 
     @cached_property
     def wikidata(self) -> DataFrame:
         t = self.tables
-        return dimensions.artist_wikidata(t["l_artist_url"], t["url"], self.rows_per_salt)
+        return dimensions.artist_wikidata(t["l_artist_url"], t["url"], self.hot)
 
     @property
     def _credit_tables(self) -> tuple[DataFrame, DataFrame]:
@@ -77,18 +93,16 @@ class Catalogue:
         )
 
     def recording(self) -> DataFrame:
-        return dimensions.dim_recording(self.rank, *self._credit_tables, self.rows_per_salt)
+        return dimensions.dim_recording(self.rank, *self._credit_tables, self.hot)
 
     def artists(self) -> DataFrame:
         return dimensions.dim_artist(self.rank, *self._credit_tables, self.wikidata)
 
     def recording_artists(self) -> DataFrame:
-        return dimensions.recording_credits(self.rank, *self._credit_tables, self.rows_per_salt)
+        return dimensions.recording_credits(self.rank, *self._credit_tables, self.hot)
 
     def release_group_artists(self) -> DataFrame:
-        return dimensions.release_group_credits(
-            self.rank, *self._credit_tables, self.rows_per_salt
-        )
+        return dimensions.release_group_credits(self.rank, *self._credit_tables, self.hot)
 
     def text_lookup(self) -> DataFrame:
         t = self.tables
@@ -98,12 +112,12 @@ class Catalogue:
             t["medium"],
             t["release"],
             *self._credit_tables,
-            self.rows_per_salt,
+            self.hot,
         )
 
     def link_lookup(self) -> DataFrame:
         return lookups.link_lookup(
-            self.members, self.tables["url"], self.tables["l_recording_url"], self.rows_per_salt
+            self.members, self.tables["url"], self.tables["l_recording_url"], self.hot
         )
 
     def outputs(self) -> dict[str, DataFrame]:

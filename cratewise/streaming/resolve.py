@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from cratewise.operators.history import resolve, with_lookup_keys
+from cratewise.operators.skew import HotKeys
 
 
 def resolve_stream(
-    history: DataFrame, link_lookup: DataFrame, text_lookup: DataFrame
+    history: DataFrame, link_lookup: DataFrame, text_lookup: DataFrame, recording: DataFrame
 ) -> DataFrame:
-    """Plays of a stream with ``recording_mbid`` and ``matched_by``. Keeps no state."""
-    return resolve(with_lookup_keys(history), link_lookup, text_lookup, salted=False)
+    """Plays of a stream with recording, release group and ``matched_by``. Keeps no state."""
+    keyed = with_lookup_keys(history)
+    return resolve(keyed, link_lookup, text_lookup, recording, HotKeys.none())
 
 
 def write_resolved(resolved: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
