@@ -34,6 +34,27 @@ def _path() -> Column:
     return F.regexp_replace(_suffix(), "[?#].*", "")
 
 
+# Schemas of the star-schema tables the views read. Stating them spares one
+# schema-inference job for each read.
+_SCHEMAS = {
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
+
 class Star:
     """Lazy access to the tables of one scale-factor directory."""
 
@@ -42,7 +63,10 @@ class Star:
         self.sf_dir = sf_dir
 
     def __getattr__(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        if table not in _SCHEMAS:
+            raise AttributeError(table)
+        reader = self.spark.read.schema(_SCHEMAS[table])
+        return reader.parquet(f"{self.sf_dir}/{table}.parquet")
 
 
 def recording(star: Star) -> DataFrame:
