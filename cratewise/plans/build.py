@@ -12,7 +12,7 @@ from cratewise.operators import canonical, checks, dimensions, lookups
 from cratewise.operators.skew import ROWS_PER_SALT, HotKeys
 from cratewise.sources.manifest import TableSpec, catalogue_manifest
 from cratewise.sources.sinks import TARGETS, with_surrogate_id, write_target
-from cratewise.sources.stage import Stage
+from cratewise.sources.stage import Stage, run_together
 from cratewise.sources.tsv import load_all, load_audit, with_dump_version
 
 
@@ -133,7 +133,8 @@ def ingest(
 ) -> dict[str, DataFrame]:
     """The kept columns of every dump table, parsed once and staged as Parquet."""
     raw = load_all(spark, input_dir, manifest or catalogue_manifest())
-    return {name: stage.save(f"raw_{name}", df) for name, df in raw.items()}
+    staged = stage.save_all({f"raw_{name}": df for name, df in raw.items()})
+    return dict(zip(raw, staged.values()))
 
 
 @dataclass(frozen=True)
@@ -160,15 +161,20 @@ def build(
     stage = Stage(spark)
     tables = ingest(spark, input_dir, stage)
     catalogue = Catalogue(tables, stage, rows_per_salt)
-    written = {}
-    for name, df in catalogue.outputs().items():
+
+    def write(output: tuple[str, DataFrame]) -> DataFrame:
+        name, df = output
         target = TARGETS[name]
         path = f"{output_dir}/{name}"
-        version_path = f"{path}/dump_version={dump_version}" if dump_version else path
+        if dump_version:
+            path = f"{path}/dump_version={dump_version}"
         if name == "text_lookup":
             df = with_surrogate_id(df, target.layout, stage)
-        write_target(df, version_path, target, compression, sort=name != "text_lookup")
-        written[name] = spark.read.schema(target.schema).parquet(version_path)
+        write_target(df, path, target, compression, sort=name != "text_lookup")
+        return spark.read.schema(target.schema).parquet(path)
+
+    outputs = catalogue.outputs()
+    written = dict(zip(outputs, run_together(write, outputs.items())))
     if check:
         assert_integrity(written)
     if dump_version:

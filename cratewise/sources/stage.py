@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,19 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="cratewise-")
 
 
+_Item = TypeVar("_Item")
+_Result = TypeVar("_Result")
+
+# Jobs submitted side by side: the tail of one then overlaps with the start of the next.
+CONCURRENT_JOBS = 8
+
+
+def run_together(job: Callable[[_Item], _Result], items: Iterable[_Item]) -> list[_Result]:
+    """Run independent Spark actions from several driver threads; results in the order of items."""
+    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
+        return list(pool.map(job, items))
+
+
 class Stage:
     """A fresh folder per run. A staged table has no lineage, so a lost executor costs one re-read."""
 
@@ -32,3 +48,7 @@ class Stage:
         target = f"{self.path}/{name}"
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
+
+    def save_all(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """:meth:`save` of independent frames, side by side."""
+        return dict(zip(frames, run_together(lambda item: self.save(*item), frames.items())))

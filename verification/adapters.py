@@ -9,11 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _row_count(table: DataFrame) -> Column:
-    return table.agg(F.count(F.lit(1))).scalar()
-
-
-def _ids_with_twin(key: Column, count: Column) -> Column:
+def _ids_with_twin(key: Column, count: int) -> Column:
     """Every fifth part stands for two recordings that differ in id only, which forces ties."""
     return F.explode(F.when(key % 5 == 0, F.array(key, key + count)).otherwise(F.array(key)))
 
@@ -61,6 +57,7 @@ class Star:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self._counts: dict[str, int] = {}
 
     def __getattr__(self, table: str) -> DataFrame:
         if table not in _SCHEMAS:
@@ -68,6 +65,12 @@ class Star:
         reader = self.spark.read.schema(_SCHEMAS[table])
         return reader.parquet(f"{self.sf_dir}/{table}.parquet")
 
+    def count(self, table: str) -> int:
+        """Row count, which reads file footers only."""
+        if table not in self._counts:
+            self._counts[table] = getattr(self, table).count()
+        return self._counts[table]
+
 
 def recording(star: Star) -> DataFrame:
     part = star.part
@@ -80,7 +83,7 @@ def recording(star: Star) -> DataFrame:
     )
     length = F.when(F.col("p_size") != 50, F.round(F.col("p_retailprice") * 250).cast("int"))
     return part.select(
-        _ids_with_twin(key, _row_count(part)).alias("id"),
+        _ids_with_twin(key, star.count("part")).alias("id"),
         name.alias("name"),
         _part_credit().alias("artist_credit"),
         length.alias("length"),
@@ -95,7 +98,7 @@ def medium(star: Star) -> DataFrame:
 
 def track(star: Star) -> DataFrame:
     part = star.part
-    count = _row_count(part)
+    count = star.count("part")
     lines = star.lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
     rows = lines.select(
         "l_orderkey",
@@ -192,7 +195,7 @@ def artist_credit_name(star: Star) -> DataFrame:
     second = supplier.filter(key % 2 == 0).select(
         key.alias("artist_credit"),
         F.lit(1).alias("position"),
-        ((key * 7 + 3) % _row_count(supplier)).alias("artist"),
+        ((key * 7 + 3) % star.count("supplier")).alias("artist"),
         F.col("s_name").alias("name"),
     )
     return first.unionByName(second)
@@ -214,7 +217,7 @@ def url(star: Star) -> DataFrame:
 
 
 def l_recording_url(star: Star) -> DataFrame:
-    key, count = F.col("page_id"), _row_count(star.part)
+    key, count = F.col("page_id"), star.count("part")
     first = star.pages.select(((key * 7) % count).alias("entity0"), key.alias("entity1"))
     second = star.pages.filter(key % 3 == 0).select(
         ((key * 11 + 1) % count).alias("entity0"), key.alias("entity1")
@@ -226,7 +229,7 @@ def l_artist_url(star: Star) -> DataFrame:
     key = F.col("page_id")
     fifth = F.floor(key / 5)
     first = star.pages.select(
-        (fifth % _row_count(star.supplier)).alias("entity0"), key.alias("entity1")
+        (fifth % star.count("supplier")).alias("entity0"), key.alias("entity1")
     )
     second = star.pages.filter(key % 2 == 0).select(
         ((fifth * 3) % 10).alias("entity0"), key.alias("entity1")
@@ -267,8 +270,8 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "user_id",
         F.round(F.col("value") * 1000).cast("int").alias("ms_played"),
-        F.when(event % 3 == 0, event % _row_count(star.pages)).alias("page_id"),
-        F.when(event % 3 == 1, (event * 8) % _row_count(star.orders)).alias("o_orderkey"),
+        F.when(event % 3 == 0, event % star.count("pages")).alias("page_id"),
+        F.when(event % 3 == 1, (event * 8) % star.count("orders")).alias("o_orderkey"),
     )
     key = F.col("page_id")
     last = F.regexp_extract(_path(), r"([^/]+)\z", 1)

@@ -152,7 +152,7 @@ def _staged_outputs(spark: SparkSession, sf_dir: str, *names: str) -> dict[str,
     """The named output tables, written once because the checks and consumers read them often."""
     catalogue = _catalogue(spark, sf_dir)
     wanted = names or tuple(TARGETS)
-    return {n: catalogue.stage.save(f"out_{n}", getattr(catalogue, n)()) for n in wanted}
+    return catalogue.stage.save_all({n: getattr(catalogue, n)() for n in wanted})
 
 
 def pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,9 +190,14 @@ def closed_sample_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.closed_sample(*_sample_sets(spark, sf_dir))["track"]
 
 
+def _staged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plays as a stored table, which they are in practice."""
+    return Stage(spark).save("history", adapters.history(spark, sf_dir))
+
+
 def history_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _staged_outputs(spark, sf_dir, "link_lookup", "text_lookup", "recording")
-    plays = adapters.history(spark, sf_dir)
+    plays = _staged_history(spark, sf_dir)
     return history.resolve_history(
         plays, out["link_lookup"], out["text_lookup"], out["recording"]
     ).select(
@@ -205,7 +210,7 @@ def plays_per_release_group(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "link_lookup", "text_lookup", "recording", "release_group"
     )
     return history.plays_per_release_group(
-        adapters.history(spark, sf_dir),
+        _staged_history(spark, sf_dir),
         out["link_lookup"],
         out["text_lookup"],
         out["recording"],
