@@ -171,7 +171,8 @@ def build(
         if name == "text_lookup":
             df = with_surrogate_id(df, target.layout, stage)
         write_target(df, path, target, compression, sort=name != "text_lookup")
-        return spark.read.schema(target.schema).parquet(path)
+        # Reading puts partition columns last; declared order again.
+        return spark.read.schema(target.schema).parquet(path).select(*target.schema.names)
 
     outputs = catalogue.outputs()
     written = dict(zip(outputs, run_together(write, outputs.items())))

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 # The fields of a play record.
-HISTORY_SCHEMA = T.StructType.fromDDL(
+HISTORY_SCHEMA = (
     "ts STRING, platform STRING, ms_played BIGINT, conn_country STRING, ip_addr STRING, "
     "master_metadata_track_name STRING, master_metadata_album_artist_name STRING, "
     "master_metadata_album_album_name STRING, spotify_track_uri STRING, episode_name STRING, "
