@@ -143,11 +143,12 @@ def _candidates(
 ) -> DataFrame:
     """One row per track of a recording on an official release, with all columns of ``groups``."""
     official = official_releases(release).select(F.col("id").alias("release"), "release_group")
-    dated = official.join(dates, "release", "left")
-    ranked_releases = hot.join(
-        "release.release_group", dated, groups, "release_group", "left", spread=["release"]
+    grouped = hot.join(
+        "release.release_group", official, groups, "release_group", "left", spread=["release"]
     )
-    tracks = official_tracks(track.select("recording", "medium"), medium, ranked_releases, hot)
+    # Dates come last: media are joined on the release too, and find the rows placed for it.
+    dated = grouped.join(dates, "release", "left")
+    tracks = official_tracks(track.select("recording", "medium"), medium, dated, hot)
     own = recordings.select(
         F.col("id").alias("recording"),
         F.col("gid").alias("recording_mbid"),

@@ -136,6 +136,8 @@ def plays_per_release_group(
     """
     totals = [F.sum("plays").alias("plays"), F.sum("ms_played").alias("ms_played")]
     single = with_lookup_keys(history).withColumn("plays", F.lit(1).cast("bigint"))
+    # Counted on the plays themselves, an upper bound, so that they are not added up once more.
+    hot = hot or HotKeys.find(history_keys(single, link_lookup, text_lookup))
     per_key = single.groupBy(*LINK_KEY, *TEXT_KEY).agg(*totals)
     resolved = resolve(per_key, link_lookup, text_lookup, recording, hot)
     per_group = resolved.groupBy("release_group_mbid").agg(*totals)

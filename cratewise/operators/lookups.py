@@ -37,8 +37,8 @@ def text_lookup(
         F.col("id").alias("release"), norm("name").alias("release_title")
     )
     tracks = official_tracks(
-        track.select("recording", "medium", norm("name").alias("track_title")), medium, titles, hot
-    )
+        track.select("recording", "medium", "name"), medium, titles, hot
+    ).select("recording", norm("name").alias("track_title"), "release_title")
     names = primary_artists(artist_credit_name, artist, hot).select(
         "artist_credit", norm("artist_name").alias("artist_name")
     )

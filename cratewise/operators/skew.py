@@ -1,14 +1,15 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
 A hot key (the empty title, the "various artists" credit, a hit song) would send its rows to one
-task. :meth:`HotKeys.find` looks for such keys with one pre-aggregated count over 8-byte hashes, for
-any number of fact columns at once. A join whose fact side has none is a plain join, which Spark may
+task. :meth:`HotKeys.find` looks for such keys with pre-aggregated counts over 8-byte hashes, for any
+number of fact columns at once. A join whose fact side has none is a plain join, which Spark may
 also broadcast; otherwise the rows of hot keys are spread over as many tasks as they need, and all
 other rows are shuffled once as before. No row is dropped, capped or sampled.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -18,6 +19,10 @@ from pyspark.sql import functions as F
 # Rows of one key that a single task is expected to join without strain.
 ROWS_PER_SALT = 1_000_000
 
+# Hash buckets of the first count, and the most keys of one fact column that can count as hot.
+BUCKETS = 1 << 16
+MAX_HOT = 1 << 13
+
 # Salts for rows without a key, which need no partner; more than any sensible number of tasks.
 NULL_SALTS = 1 << 20
 
@@ -38,27 +43,50 @@ class HotKeys:
     def find(
         cls, facts: Mapping[str, DataFrame], rows_per_salt: int = ROWS_PER_SALT
     ) -> HotKeys:
-        """Hot keys of every named frame, which holds just the key columns; runs one job.
+        """Hot keys of every named frame, which holds just the key columns.
 
         A frame may be the joined facts themselves or the table they come from, whose counts are an
-        upper bound. Size bound of the result: fewer than ``rows / rows_per_salt`` rows of 16 bytes,
-        which is why the joins may broadcast it. Rows with a NULL in the key match nothing and are
-        not counted.
+        upper bound. Rows with a NULL in the key match nothing and are not counted.
+
+        A key is hot from ``rows_per_salt`` rows and from one part in ``MAX_HOT`` of its table. So
+        tables of fewer rows are done with after a row count, which for stored tables reads file
+        footers. The rows of the others are counted per hash bucket, which tasks combine to
+        ``BUCKETS`` rows each at most, and only keys in overfull buckets are counted one by one.
+        Neither the overfull buckets nor the hot keys can exceed ``MAX_HOT`` rows for each frame,
+        which is why they may be broadcast.
         """
+        number = {name: i for i, name in enumerate(facts)}
+        every_row = [keys.select(F.lit(number[name]).alias("fact")) for name, keys in facts.items()]
+        counts = reduce(DataFrame.unionAll, every_row).groupBy("fact").count()
+        # One row for each named frame at most.
+        totals = {row["fact"]: row["count"] for row in counts.collect()}
+        large = {n: df for n, df in facts.items() if totals.get(number[n], 0) > rows_per_salt}
+        if not large:
+            return cls()
+
         hashes = [
-            keys.dropna().select(F.lit(i).alias("fact"), F.xxhash64(*keys.columns).alias("key_hash"))
-            for i, keys in enumerate(facts.values())
+            keys.dropna().select(
+                F.lit(number[name]).alias("fact"),
+                F.lit(max(rows_per_salt, math.ceil(totals[number[name]] / MAX_HOT))).alias("unit"),
+                F.xxhash64(*keys.columns).alias("key_hash"),
+            )
+            for name, keys in large.items()
         ]
+        rows = reduce(DataFrame.unionAll, hashes).select(
+            "*", F.pmod("key_hash", F.lit(BUCKETS)).alias("bucket")
+        )
+        overfull = rows.groupBy("fact", "unit", "bucket").count().filter(F.col("count") > F.col("unit"))
         hot = (
-            reduce(DataFrame.unionAll, hashes)
-            .groupBy("fact", "key_hash")
-            .agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_salt)).cast("int").alias("salts"))
+            rows.join(F.broadcast(overfull.select("fact", "bucket")), ["fact", "bucket"], "left_semi")
+            .groupBy("fact", "unit", "key_hash")
+            .count()
+            .select("fact", "key_hash", F.ceil(F.col("count") / F.col("unit")).cast("int").alias("salts"))
             .filter("salts > 1")
             .persist()
         )
         # One row for each named frame at most.
         found = {row.fact for row in hot.select("fact").distinct().collect()}
-        return cls(hot, {name: i for i, name in enumerate(facts) if i in found})
+        return cls(hot, {name: i for name, i in number.items() if i in found})
 
     def __contains__(self, fact: str) -> bool:
         return fact in self._facts
