@@ -14,10 +14,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from cratewise.plans.build import build
-from cratewise.sources.manifest import catalogue_manifest
-from cratewise.sources.tsv import write_tsv
-from verification.adapters import catalogue_tables
-from verification.registry import QUERIES
+from verification.registry import QUERIES, write_dump
 
 HEADLINE = [
     "norm_text",
@@ -38,14 +35,6 @@ HEADLINE = [
 ]
 
 
-def write_dump(spark: SparkSession, sf_dir: str, directory: str) -> None:
-    manifest = catalogue_manifest()
-    for name, df in catalogue_tables(spark, sf_dir).items():
-        # Track ids of the fixture outgrow the dump's 32-bit column.
-        rows = df.drop("id") if name == "track" else df
-        write_tsv(rows, f"{directory}/{manifest[name].file_name}", manifest[name])
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")

@@ -19,7 +19,8 @@ def norm(text: Column | str) -> Column:
     There is no trim. Capital sigma is mapped by hand because Java lower-cases a word-final one to
     a different letter, and both sides of a lookup must agree byte for byte.
     """
-    lowered = F.lower(F.translate(F.col(text) if isinstance(text, str) else text, "Σ", "σ"))
+    given = F.col(text) if isinstance(text, str) else text
+    lowered = F.lower(F.replace(given, F.lit("Σ"), F.lit("σ")))
     kept = F.regexp_replace(lowered, rf"[^\p{{L}}\p{{N}}{_SPACE}]+", "")
     return F.regexp_replace(kept, rf"[{_SPACE}]+", " ")
 

@@ -43,43 +43,51 @@ def sample_keys(
 ) -> dict[str, DataFrame]:
     """The key sets the first ``n_releases`` releases reach, each in a column ``key``.
 
-    Tables need their identity and reference columns, the tracks also ``artist_credit``. Each set
-    feeds the next ones, so each is staged once. Only the tables are large; the sets grow with the
-    sample, and Spark broadcasts them while they are small.
+    Tables need their identity and reference columns, the tracks also ``artist_credit``. Each step
+    narrows a large table by the sets before it, so its result is staged for the steps after it. The
+    sets grow with the sample only, and Spark broadcasts them while they are small.
     """
     seed = stage.save(
         "seed",
         tables["release"].select("id", "release_group", "artist_credit").orderBy("id").limit(n_releases),
     )
-    sets: dict[str, DataFrame] = {}
-
-    def put(name: str, *columns: DataFrame) -> None:
-        sets[name] = stage.save(name, _keys(*columns))
-
-    put("releases", seed.select("id"))
-    put("release_groups", seed.select("release_group"))
-    put("mediums", _among(tables["medium"], "release", sets["releases"]).select("id"))
+    releases, groups = _keys(seed.select("id")), _keys(seed.select("release_group"))
+    mediums = stage.save(
+        "mediums", _keys(_among(tables["medium"], "release", releases).select("id"))
+    )
     tracks = stage.save(
         "sampled_tracks",
-        _among(tables["track"], "medium", sets["mediums"]).select("id", "recording", "artist_credit"),
+        _among(tables["track"], "medium", mediums).select("id", "recording", "artist_credit"),
     )
-    put("tracks", tracks.select("id"))
-    put("recordings", tracks.select("recording"))
-    put(
+    recordings = _keys(tracks.select("recording"))
+    credits = stage.save(
         "artist_credits",
-        seed.select("artist_credit"),
-        tracks.select("artist_credit"),
-        _among(tables["recording"], "id", sets["recordings"]).select("artist_credit"),
-        _among(tables["release_group"], "id", sets["release_groups"]).select("artist_credit"),
+        _keys(
+            seed.select("artist_credit"),
+            tracks.select("artist_credit"),
+            _among(tables["recording"], "id", recordings).select("artist_credit"),
+            _among(tables["release_group"], "id", groups).select("artist_credit"),
+        ),
     )
-    credit_names = _among(tables["artist_credit_name"], "artist_credit", sets["artist_credits"])
-    put("artists", credit_names.select("artist"))
-    put(
+    credit_names = _among(tables["artist_credit_name"], "artist_credit", credits)
+    artists = stage.save("artists", _keys(credit_names.select("artist")))
+    urls = stage.save(
         "urls",
-        _among(tables["l_recording_url"], "entity0", sets["recordings"]).select("entity1"),
-        _among(tables["l_artist_url"], "entity0", sets["artists"]).select("entity1"),
+        _keys(
+            _among(tables["l_recording_url"], "entity0", recordings).select("entity1"),
+            _among(tables["l_artist_url"], "entity0", artists).select("entity1"),
+        ),
     )
-    return sets
+    return {
+        "releases": releases,
+        "release_groups": groups,
+        "mediums": mediums,
+        "tracks": _keys(tracks.select("id")),
+        "recordings": recordings,
+        "artist_credits": credits,
+        "artists": artists,
+        "urls": urls,
+    }
 
 
 def closed_sample(

@@ -3,7 +3,6 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from bench import write_dump
 from cratewise.operators import checks
 from cratewise.plans.build import Catalogue, assert_integrity, build
 from cratewise.plans.sample_dump import sample_dump
@@ -12,6 +11,7 @@ from cratewise.sources.sinks import TARGETS, with_surrogate_id
 from cratewise.sources.stage import Stage
 from cratewise.sources.tsv import load_all
 from verification.adapters import catalogue_tables
+from verification.registry import write_dump
 
 SF = "/root/testdata/sf0.001"
 

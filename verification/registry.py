@@ -12,7 +12,7 @@ from cratewise.operators import canonical, checks, dimensions, history, sample
 from cratewise.plans.build import Catalogue
 from cratewise.sources.manifest import catalogue_manifest
 from cratewise.sources.sinks import TARGETS
-from cratewise.sources.stage import Stage
+from cratewise.sources.stage import Stage, run_together
 from cratewise.sources.tsv import load_all, load_audit, write_tsv
 from verification import adapters
 from verification.adapters import Star, catalogue_tables
@@ -131,16 +131,20 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_audit(catalogue_tables(spark, sf_dir))
 
 
-def tsv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the views as a dump, read it back by the manifest, and join what was read.
+def write_dump(spark: SparkSession, sf_dir: str, directory: str) -> None:
+    """The views as a dump. Track ids outgrow its 32-bit column, so they are NULL in the file."""
+    manifest = catalogue_manifest()
+    tables = catalogue_tables(spark, sf_dir)
+    tables["track"] = tables["track"].drop("id")
+    paths = {name: f"{directory}/{spec.file_name}" for name, spec in manifest.items()}
+    run_together(lambda name: write_tsv(tables[name], paths[name], manifest[name]), tables)
 
-    Track ids outgrow the dump's 32-bit column, so they are left out, and NULL in the file.
-    """
+
+def tsv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the views as a dump, read it back by the manifest, and join what was read."""
     directory = f"{Stage(spark).path}/dump"
     manifest = catalogue_manifest()
-    for name, df in catalogue_tables(spark, sf_dir).items():
-        rows = df.drop("id") if name == "track" else df
-        write_tsv(rows, f"{directory}/{manifest[name].file_name}", manifest[name])
+    write_dump(spark, sf_dir, directory)
     tables = load_all(spark, directory, manifest)
     tracks = tables["track"].groupBy(F.col("recording").alias("id")).agg(
         F.count(F.lit(1)).alias("tracks"), F.min("name").alias("first_track")
