@@ -144,11 +144,17 @@ def release_group_credits(
     ).select("release_group_mbid", "artist_mbid", "position")
 
 
+def credit_row_keys(artist_credit_name: DataFrame) -> dict[str, DataFrame]:
+    """Fact column of :func:`dim_artist`, for :meth:`HotKeys.find`."""
+    return {"artist_credit_name.artist_credit": artist_credit_name.select("artist_credit")}
+
+
 def dim_artist(
     rank: DataFrame,
     artist_credit_name: DataFrame,
     artist: DataFrame,
     wikidata: DataFrame,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Every artist credited on a canonical recording or an elected release group.
 
@@ -156,11 +162,18 @@ def dim_artist(
     the artist table is touched. ``wikidata`` comes from :func:`artist_wikidata` and is reduced to the
     lowest id of each artist.
     """
+    hot = hot or HotKeys.find(credit_row_keys(artist_credit_name))
     recording_side = rank.select("artist_credit")
     group_side = elected_release_groups(rank).select("artist_credit")
     credits = recording_side.union(group_side).distinct()
     credited = (
-        artist_credit_name.join(credits, "artist_credit", "left_semi")
+        hot.join(
+            "artist_credit_name.artist_credit",
+            artist_credit_name.select("artist_credit", "artist"),
+            credits,
+            "artist_credit",
+            spread=["artist"],
+        )
         .select(F.col("artist").alias("id"))
         .distinct()
     )

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of one key that a single task is expected to join without strain.
-ROWS_PER_SALT = 1_000_000
+ROWS_PER_SALT = 4_000_000
 
 # Hash buckets of the first count, and the most keys of one fact column that can count as hot.
 BUCKETS = 1 << 16
@@ -57,7 +57,7 @@ class HotKeys:
         """
         number = {name: i for i, name in enumerate(facts)}
         every_row = [keys.select(F.lit(number[name]).alias("fact")) for name, keys in facts.items()]
-        counts = reduce(DataFrame.unionAll, every_row).groupBy("fact").count()
+        counts = reduce(DataFrame.union, every_row).groupBy("fact").count()
         # One row for each named frame at most.
         totals = {row["fact"]: row["count"] for row in counts.collect()}
         large = {n: df for n, df in facts.items() if totals.get(number[n], 0) > rows_per_salt}
@@ -72,7 +72,7 @@ class HotKeys:
             )
             for name, keys in large.items()
         ]
-        rows = reduce(DataFrame.unionAll, hashes).select(
+        rows = reduce(DataFrame.union, hashes).select(
             "*", F.pmod("key_hash", F.lit(BUCKETS)).alias("bucket")
         )
         overfull = rows.groupBy("fact", "unit", "bucket").count().filter(F.col("count") > F.col("unit"))

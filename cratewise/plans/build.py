@@ -50,6 +50,7 @@ class Catalogue:
                 **canonical.cluster_keys(self.recordings),
                 **dimensions.credit_keys(self.recordings, t["artist_credit_name"]),
                 "release_group.artist_credit": t["release_group"].select("artist_credit"),
+                **dimensions.credit_row_keys(t["artist_credit_name"]),
                 **dimensions.artist_link_keys(t["l_artist_url"]),
                 **lookups.recording_link_keys(t["l_recording_url"]),
             },
@@ -96,7 +97,7 @@ class Catalogue:
         return dimensions.dim_recording(self.rank, *self._credit_tables, self.hot)
 
     def artists(self) -> DataFrame:
-        return dimensions.dim_artist(self.rank, *self._credit_tables, self.wikidata)
+        return dimensions.dim_artist(self.rank, *self._credit_tables, self.wikidata, self.hot)
 
     def recording_artists(self) -> DataFrame:
         return dimensions.recording_credits(self.rank, *self._credit_tables, self.hot)

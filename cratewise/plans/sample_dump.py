@@ -11,7 +11,7 @@ from cratewise.operators.sample import (
     sample_statistics,
 )
 from cratewise.sources.manifest import catalogue_manifest
-from cratewise.sources.stage import Stage
+from cratewise.sources.stage import Stage, run_together
 from cratewise.sources.tsv import load_all
 
 # Columns the closure follows, where they differ from those the build keeps.
@@ -39,8 +39,12 @@ def sample_dump(
     manifest = catalogue_manifest()
     tables = load_all(spark, input_dir, manifest, _FOLLOWED, raw_line="line")
     sets = sample_keys(tables, n_releases, Stage(spark))
-    for name, rows in closed_sample(tables, sets).items():
+
+    def write(sampled: tuple[str, DataFrame]) -> None:
+        name, rows = sampled
         if not rows.isEmpty():
             target = f"{output_dir}/{manifest[name].file_name}"
             rows.select("line").write.mode("overwrite").text(target)
+
+    run_together(write, closed_sample(tables, sets).items())
     return sample_statistics(sets)
