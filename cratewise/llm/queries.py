@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cratewise.llm import bpe
+from cratewise.llm import bpe, token_output
 from cratewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,12 +15,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    description = bpe.read_description(public_tokenizers.path(TOKENIZER))
+    return token_output.token_output(table(spark, sf_dir, "documents"), description, end_id=2)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     description = bpe.read_description(public_tokenizers.path(TOKENIZER))
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), description)
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_blocks": op1_token_blocks,
     "op6_bpe": op6_bpe,
 }
 
