@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cratewise.llm import bpe, quality, token_output
+from cratewise.llm import bpe, mixing, quality, token_output
 from cratewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(table(spark, sf_dir, "documents"), description, end_id=2)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     description = bpe.read_description(public_tokenizers.path(TOKENIZER))
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), description)
@@ -31,6 +35,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1_token_blocks,
+    "op3_mixing": op3_mixing,
     "op6_bpe": op6_bpe,
     "op10_quality": op10_quality,
 }
