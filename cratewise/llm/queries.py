@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cratewise.llm import bpe, mixing, quality, token_output
+from cratewise.llm import bpe, mixing, quality, token_output, toxicity
 from cratewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     description = bpe.read_description(public_tokenizers.path(TOKENIZER))
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), description)
@@ -36,6 +40,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1_token_blocks,
     "op3_mixing": op3_mixing,
+    "op4_toxicity": op4_toxicity,
     "op6_bpe": op6_bpe,
     "op10_quality": op10_quality,
 }
