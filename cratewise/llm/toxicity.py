@@ -1,9 +1,10 @@
 """Toxicity (operator 4): maximum-scoring segments of token log-odds.
 
-Learning. Words of labelled documents are counted in Spark by class. A word's score is its log-odds of
-standing in a toxic rather than a clean document under an informative Dirichlet prior (``PRIOR_TOKENS``
-tokens dealt out as in all labelled text), drawn towards 0 by ``CAUTION`` standard deviations. Every token
-also costs ``DRIFT``, so that neutral text has a negative sum and segments end.
+Learning. Words of labelled documents, and the beginnings of longer words, are counted in Spark by class,
+once per document. A unit's score is its log-odds of standing in a toxic rather than a clean document under
+an informative Dirichlet prior (``PRIOR_TOKENS`` tokens dealt out as in all labelled text), drawn towards 0
+by ``CAUTION`` standard deviations. A token has the most decided score of its word and its beginnings.
+Every token also costs ``DRIFT``, so that neutral text has a negative sum and segments end.
 
 Scoring. One pass finds all maximal scoring segments of a document (linear time, whatever its length). The
 chance that neutral text of n tokens has a segment of score S or more is 1 - exp(-K n exp(-lambda S));
@@ -24,7 +25,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ from cratewise.llm.common import id_crc32
 
 PRIOR_TOKENS = 10_000.0
 CAUTION = 1.96
+# Weaker units count as neutral.
+LEAST_SCORE = 1.0
 DRIFT = 0.1
 EXPECTED = 0.05
 
@@ -43,21 +45,57 @@ LEARNED_PER_CLASS = 8192
 # One in so many of these is set aside to calibrate.
 CALIBRATE_EVERY = 4
 
+# Letters of word beginnings.
+BEGINNINGS = (7, 6, 5, 4)
+
+# Token scores that a worker remembers before it starts anew; results do not depend on it.
+REMEMBERED_TOKENS = 300_000
+
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
+class _Scores(dict):
+    """Scores by token, looked up among the units once."""
+
+    def __init__(self, units: dict[str, float]) -> None:
+        super().__init__()
+        self._units = units
+
+    def __missing__(self, token: str) -> float:
+        units = self._units
+        found = units.get(token, 0.0)
+        for n in BEGINNINGS:
+            if len(token) > n:
+                other = units.get(token[:n] + "*", 0.0)
+                if abs(other) > abs(found):
+                    found = other
+        self[token] = found - DRIFT
+        return found - DRIFT
+
+
+def _units(tokens: list[str]) -> set[str]:
+    words = set(tokens)
+    return words | {w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n}
+
+
 @dataclass
 class ToxicityModel:
-    """Word scores (without drift) and calibration. Its size is bounded by the labelled documents used."""
+    """Scores of units (without drift) and calibration. The labelled documents used bound its size."""
 
     words: dict[str, float] = field(default_factory=dict)
     scale: float = 1.0  # lambda
     log_k: float = 0.0
     weights: tuple[float, ...] = ()
+    _scores: _Scores | None = field(default=None, repr=False)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_scores": None}
 
     def segments(self, tokens: list[str]) -> list[tuple[int, int, float]]:
         """Maximal scoring segments (first token, token after the last, score)."""
-        values = np.fromiter(map(self.words.get, tokens, repeat(0.0)), np.float64, len(tokens)) - DRIFT
+        if self._scores is None or len(self._scores) > REMEMBERED_TOKENS:
+            self._scores = _Scores(self.words)
+        values = np.fromiter(map(self._scores.__getitem__, tokens), np.float64, len(tokens))
         gains = np.flatnonzero(values > 0)
         if not len(gains):
             return []
@@ -100,16 +138,12 @@ def tokens_of(text: str | None) -> list[str]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         totals: tuple[Counter, Counter] = (Counter(), Counter())
-        held: Counter = Counter()
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            tokens = tokens_of(text)
-            totals[toxic].update(tokens)
-            if toxic:
-                held.update(set(tokens))
+            totals[toxic].update(_units(tokens_of(text)))
         names = list(totals[0] | totals[1])
         yield pa.RecordBatch.from_pydict(
-            {"word": names, "clean": [totals[0][w] for w in names], "toxic": [totals[1][w] for w in names], "toxic_docs": [held[w] for w in names]},
-            pa.schema([("word", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64()), ("toxic_docs", pa.int64())]),
+            {"word": names, "clean": [totals[0][w] for w in names], "toxic": [totals[1][w] for w in names]},
+            pa.schema([("word", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())]),
         )
 
 
@@ -147,8 +181,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LEARNED_PER_CLASS)
     learned = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     counts = (
         learned.filter("not aside").select("text", "toxic")
-        .mapInArrow(_count, "word string, clean bigint, toxic bigint, toxic_docs bigint")
-        .groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.sum("toxic_docs").alias("toxic_docs"))
+        .mapInArrow(_count, "word string, clean bigint, toxic bigint")
+        .groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     ).persist()
     totals = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).first()
     n_clean, n_toxic = float(totals.clean or 0), float(totals.toxic or 0)
@@ -160,8 +194,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LEARNED_PER_CLASS)
     delta = odds("toxic", n_toxic) - odds("clean", n_clean)
     error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     score = F.signum(delta) * F.greatest(F.lit(0.0), F.abs(delta) - CAUTION * error)
-    # Words of two toxic documents at least whose score is sure; the labelled texts bound their number.
-    rows = counts.filter("toxic_docs >= 2").select("word", "clean", score.alias("score")).filter("score != 0").orderBy("word").collect()
+    # Units of two toxic documents at least whose score is sure; the labelled texts bound their number.
+    rows = counts.filter("toxic >= 2").select("word", "clean", score.alias("score")).filter(F.abs("score") >= LEAST_SCORE).orderBy("word").collect()
     counts.unpersist()
     model = ToxicityModel({r.word: r.score for r in rows})
 
