@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cratewise.llm import bpe, mixing, quality, token_output, toxicity
+from cratewise.llm import bpe, jaccard, mixing, quality, token_output, toxicity
 from cratewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), description)
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Query] = {
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op6_bpe": op6_bpe,
+    "op7_jaccard": op7_jaccard,
     "op10_quality": op10_quality,
 }
 
