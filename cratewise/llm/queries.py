@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cratewise.llm import bpe, jaccard, mixing, quality, token_output, toxicity
+from cratewise.llm import bpe, fingerprints, jaccard, mixing, quality, token_output, toxicity
 from cratewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(table(spark, sf_dir, "documents"), description, end_id=2)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1_token_blocks,
+    "op2_fingerprints": op2_fingerprints,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op6_bpe": op6_bpe,
