@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cratewise.llm import bpe, fingerprints, jaccard, mixing, quality, token_output, toxicity
+from cratewise.llm import bpe, fingerprints, jaccard, licenses, mixing, quality, token_output, toxicity
 from cratewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,7 +56,10 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op6_bpe": op6_bpe,
     "op7_jaccard": op7_jaccard,
+    "op8_licenses": op8_licenses,
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_licenses": licenses.license_sql(),
+}
