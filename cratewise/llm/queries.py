@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cratewise.llm import bpe, fingerprints, jaccard, licenses, mixing, quality, token_output, toxicity
+from cratewise.llm import bpe, fingerprints, jaccard, language, licenses, mixing, ppm, quality, token_output, toxicity
 from cratewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     description = bpe.read_description(public_tokenizers.path(TOKENIZER))
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), description)
@@ -45,6 +49,10 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -54,9 +62,11 @@ QUERIES: dict[str, Query] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
+    "op5_language": op5_language,
     "op6_bpe": op6_bpe,
     "op7_jaccard": op7_jaccard,
     "op8_licenses": op8_licenses,
+    "op9_ppm": op9_ppm,
     "op10_quality": op10_quality,
 }
 
