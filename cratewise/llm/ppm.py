@@ -1,15 +1,15 @@
 """LM scoring (operator 9): prediction by partial matching over bytes, and an add-one word model.
 
-The byte model is a trie of the contexts of up to three bytes before a byte, with counts from all training
-documents. A byte is coded in its longest context; there, and in each shorter one, an escape has the weight
-of the number of distinct bytes seen (method C), and what longer contexts have predicted is excluded from
+The byte model is a trie of the contexts of up to four bytes before a byte, with counts from all training
+documents. A byte is coded in its longest context; there, and in each shorter one, every distinct byte seen
+gives half a count to the escape (method D), and what longer contexts have predicted is excluded from
 shorter ones. A text's score is the sum of log10 probabilities of its bytes and of its end. The word model
 (``base_score``) adds one to the count of every word.
 
 Nothing that grows with the corpus is sent to the driver or broadcast. Documents are cut into blocks of
-some MB. A block lists its distinct words and byte 4-grams; counts are summed over all blocks by word and by
-4-gram, the model is made where the contexts that share their last two bytes meet, and each block gets back
-the numbers of just its own words and 4-grams. So a text of any length is scored with array lookups.
+some MB. A block lists its distinct words and byte 5-grams; counts are summed over all blocks by word and by
+5-gram, the model is made where the contexts that share their last two bytes meet, and each block gets back
+the numbers of just its own words and 5-grams. So a text of any length is scored with array lookups.
 
 Words are told apart by 64-bit hashes. Defined results: NULL and empty texts are scored as their end alone.
 Without training documents the counts are 0. Repeated rows are separate documents.
@@ -40,27 +40,23 @@ _WORD, _GRAM = 0, 1
 _END_WORD = 0x5851F42D4C957F2D
 
 
-def _framed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Byte 4-grams of all texts (three before, and the byte or end), and where each text's begin."""
-    joined = b"".join([b"\xfe\xfe\xfe" + t + b"\xff" for t in texts])
-    data = np.frombuffer(joined, np.uint8).astype(np.uint32)
-    grams = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 4
+def _framed(texts: list[bytes]) -> np.ndarray:
+    """Byte 5-grams (context of four and the byte) of all bytes of the texts, A-Z in lower case, and ends."""
+    joined = b"".join([b"\xfe\xfe\xfe\xfe" + t.lower() + b"\xff" for t in texts])
+    data = np.frombuffer(joined, np.uint8).astype(np.uint64)
+    grams = np.zeros(len(data) - 4, np.uint64)
+    for i in range(5):
+        grams = grams << np.uint64(8) | data[i : len(data) - 4 + i]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 5
     starts = np.cumsum(sizes) - sizes
-    return grams, starts
-
-
-def _own(grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Which 4-grams end within a text rather than in what stands before the next."""
     keep = np.ones(len(grams), bool)
-    for shift in (1, 2, 3):
-        at = starts[1:] - shift
-        keep[at] = False
-    return keep
+    for shift in (1, 2, 3, 4):  # those that end in what stands before the next text
+        keep[starts[1:] - shift] = False
+    return grams[keep]
 
 
 class _Block:
-    """Distinct words and 4-grams of a block with their training counts, and its documents."""
+    """Distinct words and 5-grams of a block with their training counts, and its documents."""
 
     def __init__(self) -> None:
         self.docs: list[tuple[int | None, bool, bytes]] = []
@@ -75,10 +71,9 @@ class _Block:
             for first, last in steps(texts):
                 part = texts[first:last]
                 words = sorted_counts(Words(part).hashes)
-                grams, starts = _framed(part)
-                grams = sorted_counts(grams[_own(grams, starts)])
+                grams = sorted_counts(_framed(part))
                 end = (np.array([_END_WORD], np.uint64), np.array([last - first]))
-                for kind, both in ((_WORD, words), (_WORD, end), (_GRAM, (grams[0].astype(np.uint64), grams[1]))):
+                for kind, both in ((_WORD, words), (_WORD, end), (_GRAM, grams)):
                     found[kind].append((both[0], both[1] * (not held)))
         merged = {
             kind: sorted_counts(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])) for kind, parts in found.items()
@@ -129,40 +124,50 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from close()
 
 
-def model_of_contexts(counts3: np.ndarray, counts1: np.ndarray, counts0: np.ndarray) -> np.ndarray:
-    """log10 probabilities (first byte, next byte) of the contexts that share their last two bytes.
+def model_of_contexts(counts: np.ndarray, *shorter: np.ndarray) -> np.ndarray:
+    """log10 probability of every next byte in each of several contexts with all but their first byte in
+    common.
 
-    ``counts3``: counts of (first byte, next byte), 256 x 256; ``counts1``: of the next byte after the last
-    byte; ``counts0``: of the next byte anywhere.
+    ``counts``: how often each byte follows, a row per context; ``shorter``: the same for the context without
+    its first byte, its first two and so on, down to none.
     """
-    levels = [counts3.astype(np.float64), np.broadcast_to(counts3.sum(axis=0), (256, 256)), np.broadcast_to(counts1, (256, 256)), np.broadcast_to(counts0, (256, 256))]
-    probability = np.zeros((256, 256))
-    left = np.ones((256, 1))  # of the escapes so far
-    excluded = np.zeros((256, 256), bool)
-    for counts in levels:
-        free = np.where(excluded, 0.0, counts)
-        kinds = (free > 0).sum(axis=1, keepdims=True)
-        total = free.sum(axis=1, keepdims=True) + kinds
+    probability = np.zeros(counts.shape)
+    left = np.ones((len(counts), 1))  # of the escapes so far
+    excluded = np.zeros(counts.shape, bool)
+    for level in (counts, *shorter):
+        free = np.where(excluded, 0.0, level)
+        new = free > 0
+        total = 2 * free.sum(axis=1, keepdims=True)
         seen = total > 0
-        safe = np.where(seen, total, 1.0)
-        new = (free > 0) & seen
-        probability = np.where(new, left * free / safe, probability)
-        left = np.where(seen, left * kinds / safe, left)
+        unit = left / np.where(seen, total, 1.0)
+        probability = np.where(new, unit * (2 * free - 1), probability)
+        left = np.where(seen, unit * new.sum(axis=1, keepdims=True), left)
         excluded |= new
     unseen = ~excluded
     probability = np.where(unseen, left / np.maximum(unseen.sum(axis=1, keepdims=True), 1), probability)
     return np.log10(probability)
 
 
-def _contexts(lower: tuple[np.ndarray, np.ndarray]):
-    counts1, counts0 = lower
+def _contexts(lower: np.ndarray):
+    anywhere = lower.sum(axis=0)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = rows["key"].to_numpy()
-        table = np.zeros((256, 256))
-        table[keys >> 24, keys & 255] = rows["n"].to_numpy()
-        scores = model_of_contexts(table, counts1[(keys[0] >> 8) & 255], counts0)
-        return pd.DataFrame({"key": keys, "value": scores[keys >> 24, keys & 255]})
+        rows = rows.sort_values("key", ignore_index=True)
+        keys, n = rows["key"].to_numpy(), rows["n"].to_numpy().astype(np.float64)
+        order = np.lexsort((keys, (keys >> 24) & 255))  # by the third byte before the last
+        keys, n = keys[order], n[order]
+        last, following = int(keys[0] >> 8) & 255, keys & 255
+        two = np.bincount(following, weights=n, minlength=256)
+        values = np.empty(len(keys))
+        third = (keys >> 24) & 255
+        cuts = np.flatnonzero(np.diff(third)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(keys)]):
+            first, row = np.unique(keys[a:b] >> 32, return_inverse=True)
+            four = np.zeros((len(first), 256))
+            four[row, following[a:b]] = n[a:b]
+            scores = model_of_contexts(four, four.sum(axis=0), two, lower[last], anywhere)
+            values[a:b] = scores[row, following[a:b]]
+        return pd.DataFrame({"key": keys, "value": values})
 
     return run
 
@@ -224,8 +229,7 @@ def _scores(train_tokens: int, distinct: int):
                 known = np.concatenate(([0], np.cumsum(counts > 0)))
                 a, b = words.bounds[:-1], words.bounds[1:]
                 end = (np.log10(counts[-1] + 1) - rest, int(counts[-1] > 0))
-                grams, starts = _framed(part)
-                sums = np.concatenate(([0.0], np.cumsum(gram(grams[_own(grams, starts)].astype(np.uint64)))))
+                sums = np.concatenate(([0.0], np.cumsum(gram(_framed(part)))))
                 stops = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
                 out.append(
                     pa.table(
@@ -262,13 +266,13 @@ def lm_scores(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
     words = stage.save("words", words.withColumn("first", F.row_number().over(by_word.orderBy("block")) == 1))
     known = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("first") & (F.col("value") > 0)).alias("v")).first()
 
-    # 4-grams: sums by key, then the contexts that share their last two bytes, at most 256 x 256 rows.
+    # 5-grams: sums by key, then the contexts that share their last two bytes, at most 256 ** 3 rows.
     grams = stage.save("grams", asked.filter(F.col("kind") == _GRAM).groupBy("key").agg(F.sum("n").alias("n")))
     lower = np.zeros((256, 256))
     pairs = grams.groupBy(F.expr("(key >> 8) & 255").cast("int").alias("last"), F.expr("key & 255").cast("int").alias("next")).agg(F.sum("n").alias("n"))
     for r in pairs.collect():  # 256 x 256 rows at most
         lower[r["last"], r["next"]] = r["n"]
-    model = grams.groupBy(F.expr("(key >> 8) & 65535")).applyInPandas(_contexts((lower, lower.sum(axis=0))), "key bigint, value double")
+    model = grams.groupBy(F.expr("(key >> 8) & 65535")).applyInPandas(_contexts(lower), "key bigint, value double")
     values = asked.filter(F.col("kind") == _GRAM).select("block", "kind", "key").join(stage.save("model", model), "key").select("block", "kind", "key", "value")
 
     texts = blocks.filter("kind = -1").select("block", "docs").groupBy("block")
