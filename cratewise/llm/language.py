@@ -173,7 +173,7 @@ def language_id(pages: DataFrame, docs: DataFrame) -> DataFrame:
     hosts = _sums(rows, "host", n, [F.first("suffix").alias("suffix")])
     hosts = stage.save("hosts", lookup(hosts, suffixes, "suffix", "suffix_pages", pages_total).drop("suffix", "suffix_pages"))
     declared = _sums(rows, "declared", n)
-    n_declared = declared.count()
+    n_declared = max(1, declared.count())
     declared = stage.save(
         "declared",
         declared.select(
