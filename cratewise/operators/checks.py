@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,28 +15,42 @@ def _count(name: str = "violations"):
     return F.count(F.lit(1)).alias(name)
 
 
+def _refuse_missing(outputs: Mapping[str, DataFrame], wanted: Mapping[str, Sequence[str]]) -> None:
+    missing = [f"{n}.{c}" for n, columns in wanted.items() for c in columns if c not in outputs[n].columns]
+    if missing:
+        raise ValueError(f"columns to check are missing: {missing}")
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return df.groupBy(*key).agg(_count("row_count")).filter("row_count > 1")
 
 
-def pk_violations(outputs: Mapping[str, DataFrame]) -> DataFrame:
-    """``(table_name, violations)``: keys that are not unique, for every table that has a key."""
+def pk_violations(outputs: Mapping[str, DataFrame], absent: Collection[str] = ()) -> DataFrame:
+    """``(table_name, violations)``: keys that are not unique, for every table that has a key.
+
+    A table without its key columns raises, unless ``absent`` names the table.
+    """
+    _refuse_missing(outputs, {n: t.key for n, t in TARGETS.items() if n not in absent})
     reports = [
         duplicate_keys(outputs[name], target.key)
         .agg(_count())
         .select(F.lit(name).alias("table_name"), "violations")
         for name, target in TARGETS.items()
-        if target.key and set(target.key) <= set(outputs[name].columns)
+        if target.key and name not in absent
     ]
     return reduce(DataFrame.unionByName, reports)
 
 
-def not_null_violations(outputs: Mapping[str, DataFrame]) -> DataFrame:
-    """``(table_name, column_name, violations)`` of every required column, one pass per table."""
+def not_null_violations(outputs: Mapping[str, DataFrame], absent: Collection[str] = ()) -> DataFrame:
+    """``(table_name, column_name, violations)`` of every required column, one pass per table.
+
+    A missing column raises, unless ``absent`` names it as ``table.column``.
+    """
+    wanted = {n: [c for c in t.required if f"{n}.{c}" not in absent] for n, t in TARGETS.items()}
+    _refuse_missing(outputs, wanted)
     reports = []
-    for name, target in TARGETS.items():
-        columns = [c for c in target.required if c in outputs[name].columns]
+    for name, columns in wanted.items():
         counts = outputs[name].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
         reports.append(
             counts.unpivot([], columns, "column_name", "violations").select(

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.functions.links import is_wikidata, wikidata_id
@@ -149,6 +149,11 @@ def credit_row_keys(artist_credit_name: DataFrame) -> dict[str, DataFrame]:
     return {"artist_credit_name.artist_credit": artist_credit_name.select("artist_credit")}
 
 
+def _lowest_id(column: str) -> Column:
+    """The lowest id that is not empty, or else what there is."""
+    return F.coalesce(F.min(F.nullif(F.col(column), F.lit(""))), F.min(column))
+
+
 def dim_artist(
     rank: DataFrame,
     artist_credit_name: DataFrame,
@@ -160,7 +165,7 @@ def dim_artist(
 
     Both kinds of owner are reduced to their distinct credits, and those to distinct artists, before
     the artist table is touched. ``wikidata`` comes from :func:`artist_wikidata` and is reduced to the
-    lowest id of each artist.
+    lowest id of each artist; the empty id counts only if there is no other.
     """
     hot = hot or HotKeys.find(credit_row_keys(artist_credit_name))
     recording_side = rank.select("artist_credit")
@@ -178,7 +183,7 @@ def dim_artist(
         .distinct()
     )
     ids = wikidata.groupBy(F.col("artist_id").alias("id")).agg(
-        F.min("wikidata_id").alias("wikidata_id")
+        _lowest_id("wikidata_id").alias("wikidata_id")
     )
     return (
         artist.select("id", "gid", "name")
@@ -187,7 +192,7 @@ def dim_artist(
         .groupBy(F.col("gid").alias("artist_mbid"))
         .agg(
             F.min("name").alias("artist_name"),
-            F.min("wikidata_id").alias("artist_wikidata_id"),
+            _lowest_id("wikidata_id").alias("artist_wikidata_id"),
         )
     )
 

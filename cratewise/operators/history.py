@@ -26,8 +26,15 @@ def with_lookup_keys(history: DataFrame) -> DataFrame:
 
 
 def one_per_key(lookup: DataFrame, key: list[str]) -> DataFrame:
-    """A key may stand for several recordings; the lowest one is taken, so that no play doubles."""
-    return lookup.groupBy(*key).agg(F.min("recording_mbid").alias("recording_mbid"))
+    """A key may stand for several recordings; one is taken, so that no play doubles.
+
+    It is the lowest one that has an album (:func:`_with_albums`), or else the lowest of all.
+    """
+    missing = F.col("release_group_mbid").isNull().alias("missing")
+    best = F.min(F.struct(missing, "recording_mbid", "release_group_mbid"))
+    return lookup.groupBy(*key).agg(best.alias("best")).select(
+        *key, "best.recording_mbid", "best.release_group_mbid"
+    )
 
 
 def _with_albums(lookup: DataFrame, recording: DataFrame, name: str, hot: HotKeys) -> DataFrame:
@@ -57,17 +64,17 @@ def resolve(
 ) -> DataFrame:
     """Rows of :func:`with_lookup_keys` with their recording, release group and ``matched_by``.
 
-    Links come first. Text is the fallback: rows that have found their link carry no text key into
-    the second join. Rows without a match stay, with NULLs. Release groups are put on the lookups,
+    Links come first, also if their recording has no album. Text is the fallback: rows that have found
+    their link carry no text key into the second join. Rows without a match stay, with NULLs. Release groups are put on the lookups,
     not on the plays, which saves the plays a third shuffle. A stream passes ``HotKeys.none()``, for
     it cannot count its keys.
     """
     hot = hot or HotKeys.find(history_keys(keyed, link_lookup, text_lookup))
-    links = _with_albums(
-        one_per_key(link_lookup, LINK_KEY), recording, "link_lookup.recording_mbid", hot
+    links = one_per_key(
+        _with_albums(link_lookup, recording, "link_lookup.recording_mbid", hot), LINK_KEY
     )
-    texts = _with_albums(
-        one_per_key(text_lookup, TEXT_KEY), recording, "text_lookup.recording_mbid", hot
+    texts = one_per_key(
+        _with_albums(text_lookup, recording, "text_lookup.recording_mbid", hot), TEXT_KEY
     )
     by_link = hot.join(
         "history.link",

@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 # Rows of one key that a single task is expected to join without strain.
 ROWS_PER_SALT = 4_000_000
@@ -46,9 +47,11 @@ class HotKeys:
         """Hot keys of every named frame, which holds just the key columns.
 
         A frame may be the joined facts themselves or the table they come from, whose counts are an
-        upper bound. Rows with a NULL in the key match nothing and are not counted.
+        upper bound. Rows with a NULL in the key match nothing and are not counted: :meth:`join` spreads
+        them in any case.
 
-        A key is hot from ``rows_per_salt`` rows and from one part in ``MAX_HOT`` of its table. So
+        A key is hot above ``rows_per_salt`` rows and one part in ``MAX_HOT`` of its table, and then gets
+        a salt for every ``rows_per_salt`` rows. So
         tables of fewer rows are done with after a row count, which for stored tables reads file
         footers. The rows of the others are counted per hash bucket, which tasks combine to
         ``BUCKETS`` rows each at most, and only keys in overfull buckets are counted one by one.
@@ -67,7 +70,7 @@ class HotKeys:
         hashes = [
             keys.dropna().select(
                 F.lit(number[name]).alias("fact"),
-                F.lit(max(rows_per_salt, math.ceil(totals[number[name]] / MAX_HOT))).alias("unit"),
+                F.lit(max(rows_per_salt, math.ceil(totals[number[name]] / MAX_HOT))).cast("bigint").alias("unit"),
                 F.xxhash64(*keys.columns).alias("key_hash"),
             )
             for name, keys in large.items()
@@ -80,8 +83,9 @@ class HotKeys:
             rows.join(F.broadcast(overfull.select("fact", "bucket")), ["fact", "bucket"], "left_semi")
             .groupBy("fact", "unit", "key_hash")
             .count()
-            .select("fact", "key_hash", F.ceil(F.col("count") / F.col("unit")).cast("int").alias("salts"))
-            .filter("salts > 1")
+            .select("fact", "key_hash", F.ceil(F.col("count") / rows_per_salt).cast("int").alias("salts"), "count", "unit")
+            .filter("salts > 1 and count > unit")
+            .drop("count", "unit")
             .persist()
         )
         # One row for each named frame at most.
@@ -112,24 +116,30 @@ class HotKeys:
         keys = [on] if isinstance(on, str) else list(on)
         if how not in ("inner", "left"):
             raise ValueError(f"only inner and left joins can be salted, not {how!r}")
-        if fact not in self._facts:
-            return facts.join(dim, keys, how)
         for key in keys:
             left, right = facts.schema[key].dataType, dim.schema[key].dataType
             if left != right:
-                raise TypeError(f"key {key!r} is {left} on one side and {right} on the other")
+                if not (isinstance(left, IntegralType) and isinstance(right, IntegralType)):
+                    raise TypeError(f"key {key!r} is {left} on one side and {right} on the other")
+                facts = facts.withColumn(key, F.col(key).cast("bigint"))
+                dim = dim.withColumn(key, F.col(key).cast("bigint"))
+        # No row of the other side matches a NULL, so such rows may go anywhere.
+        row_hash = F.xxhash64(*spread, F.spark_partition_id())
+        no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
+        anywhere = F.pmod(row_hash, F.lit(NULL_SALTS)).cast("int")
+        if fact not in self._facts:
+            if how == "inner":
+                return facts.join(dim, keys, how)
+            spread_facts = facts.withColumn("_salt", F.when(no_key, anywhere).otherwise(0))
+            one_salt = dim.withColumn("_salt", F.when(no_key, -1).otherwise(0))
+            return spread_facts.join(one_salt, [*keys, "_salt"], how).drop("_salt")
 
         hot = F.broadcast(
             self._keys.filter(F.col("fact") == self._facts[fact]).select("key_hash", "salts")
         )
         hashed = F.xxhash64(*keys) == F.col("key_hash")
-        row_hash = F.xxhash64(*spread, F.spark_partition_id())
-        # No row of the other side matches a NULL, so such rows may go anywhere.
-        no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
-        own_salt = (
-            F.when(no_key, F.pmod(row_hash, F.lit(NULL_SALTS)))
-            .otherwise(F.coalesce(F.pmod(row_hash, F.col("salts")), F.lit(0)))
-            .cast("int")
+        own_salt = F.when(no_key, anywhere).otherwise(
+            F.coalesce(F.pmod(row_hash, F.col("salts")), F.lit(0)).cast("int")
         )
         every_salt = F.when(F.col("salts").isNull(), F.array(F.lit(0))).otherwise(
             F.sequence(F.lit(0), F.col("salts") - 1)

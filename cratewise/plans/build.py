@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cratewise.operators import canonical, checks, dimensions, lookups
 from cratewise.operators.skew import ROWS_PER_SALT, HotKeys
 from cratewise.sources.manifest import TableSpec, catalogue_manifest
-from cratewise.sources.sinks import TARGETS, with_surrogate_id, write_target
+from cratewise.sources.sinks import TARGETS, laid_out, with_surrogate_id, write_target
 from cratewise.sources.stage import Stage, run_together
 from cratewise.sources.tsv import load_all, load_audit, with_dump_version
 
@@ -157,7 +158,8 @@ def build(
 
     With a ``dump_version`` each table goes to ``<table>/dump_version=<version>``, so that versions
     live side by side and readers see the tag as a column. ``check`` fails the job on a duplicate key
-    or a missing required value, as declared constraints would.
+    or a missing required value, as declared constraints would. Tables are written beside their targets
+    and take their places by renaming once all of them are written and checked.
     """
     stage = Stage(spark)
     tables = ingest(spark, input_dir, stage)
@@ -166,24 +168,47 @@ def build(
     def write(output: tuple[str, DataFrame]) -> DataFrame:
         name, df = output
         target = TARGETS[name]
-        path = f"{output_dir}/{name}"
-        if dump_version:
-            path = f"{path}/dump_version={dump_version}"
         if name == "text_lookup":
-            df = with_surrogate_id(df, target.layout, stage)
-        write_target(df, path, target, compression, sort=name != "text_lookup")
+            # Ids follow the layout order, so ranges of ids are ranges of the layout.
+            df = laid_out(with_surrogate_id(df, target.layout, stage), "id")
+        write_target(df, f"{fresh}/{name}", target, compression, sort=name != "text_lookup")
+        return read(fresh, name)
+
+    def read(folder: str, name: str, version: str = "") -> DataFrame:
         # Reading puts partition columns last; declared order again.
-        return spark.read.schema(target.schema).parquet(path).select(*target.schema.names)
+        schema = TARGETS[name].schema
+        return spark.read.schema(schema).parquet(f"{folder}/{name}{version}").select(*schema.names)
 
+    fresh = f"{output_dir}/.building-{uuid.uuid4().hex}"
     outputs = catalogue.outputs()
     written = dict(zip(outputs, run_together(write, outputs.items())))
     if check:
         assert_integrity(written)
+    version = f"/dump_version={dump_version}" if dump_version else ""
+    for name in written:
+        _replace(spark, f"{fresh}/{name}", f"{output_dir}/{name}{version}")
+    _remove(spark, fresh)
+    written = {name: read(output_dir, name, version) for name in written}
     if dump_version:
         written = {name: with_dump_version(df, dump_version) for name, df in written.items()}
     return BuildReport(written, load_audit(tables))
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    """Put a written folder in the place of another one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(place(target), True)
+    files.mkdirs(place(target).getParent())
+    if not files.rename(place(source), place(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def assert_integrity(outputs: Mapping[str, DataFrame]) -> None:
     """Raise when a primary key repeats or a required column is NULL."""
     # Both reports hold one row for each declared key or column.

@@ -34,7 +34,7 @@ def sample_dump(
 ) -> DataFrame:
     """Write the sampled lines, untouched, under the dump's file names; return the statistics.
 
-    Tables without a sampled row are not written, and :func:`load_all` reads them as empty.
+    Every table is written, also without a row, so that nothing of an earlier sample stays.
     """
     manifest = catalogue_manifest()
     tables = load_all(spark, input_dir, manifest, _FOLLOWED, raw_line="line")
@@ -42,9 +42,8 @@ def sample_dump(
 
     def write(sampled: tuple[str, DataFrame]) -> None:
         name, rows = sampled
-        if not rows.isEmpty():
-            target = f"{output_dir}/{manifest[name].file_name}"
-            rows.select("line").write.mode("overwrite").text(target)
+        target = f"{output_dir}/{manifest[name].file_name}"
+        rows.select("line").write.mode("overwrite").text(target)
 
     run_together(write, closed_sample(tables, sets).items())
     return sample_statistics(sets)

@@ -17,10 +17,13 @@ HISTORY_SCHEMA = (
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """Play records of one file or a folder of files. An array spans lines, so files do not split."""
-    return spark.read.schema(HISTORY_SCHEMA).option("multiLine", True).json(path)
+    """Play records of one file or a folder of files. An array spans lines, so files do not split.
+
+    A damaged record or a value of another type fails the job, so that no play vanishes.
+    """
+    return spark.read.schema(HISTORY_SCHEMA).options(multiLine=True, mode="FAILFAST").json(path)
 
 
 def stream_history(spark: SparkSession, folder: str) -> DataFrame:
     """The same records as a stream of the files that arrive in a folder."""
-    return spark.readStream.schema(HISTORY_SCHEMA).option("multiLine", True).json(folder)
+    return spark.readStream.schema(HISTORY_SCHEMA).options(multiLine=True, mode="FAILFAST").json(folder)

@@ -80,7 +80,7 @@ TARGETS = {
     "link_lookup": Target(
         _schema(
             ("url_identifier", _TEXT, False),
-            ("provider", _TEXT, True),
+            ("provider", _TEXT, False),
             ("recording_mbid", _TEXT, False),
         ),
         key=("provider", "url_identifier", "recording_mbid"),

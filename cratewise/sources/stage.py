@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
@@ -19,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return tempfile.mkdtemp(prefix="cratewise-")
 

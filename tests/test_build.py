@@ -55,6 +55,28 @@ def test_written_tables_have_the_declared_columns(spark, built):
         assert spark.read.parquet(f"{out}/{name}").first().dump_version == "20260101-000000"
 
 
+def test_a_failing_check_leaves_the_old_tables(spark, dump, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    old = build(spark, dump, out).outputs["recording"].count()
+
+    def broken(outputs):
+        raise ValueError("broken")
+
+    monkeypatch.setattr("cratewise.plans.build.assert_integrity", broken)
+    with pytest.raises(ValueError, match="broken"):
+        build(spark, dump, out)
+    assert spark.read.parquet(f"{out}/recording").count() == old
+
+
+def test_text_lookup_files_are_sorted_ranges(spark, built):
+    _, report = built
+    rows = report.outputs["text_lookup"].select("id", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("at"))
+    files = {}
+    for row in rows.orderBy("at").collect():
+        files.setdefault(row.f, []).append(row.id)
+    assert all(ids == list(range(ids[0], ids[0] + len(ids))) for ids in files.values())
+
+
 def test_surrogate_ids_are_dense_and_follow_the_layout(built):
     _, report = built
     rows = report.outputs["text_lookup"].orderBy("id").collect()

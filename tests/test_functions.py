@@ -59,6 +59,8 @@ def test_length_bucket(spark, length, bucket):
         ((2000, 2, 29), datetime.date(2000, 2, 29)),
         ((1900, 2, 29), datetime.date(9999, 12, 31)),
         ((999_999_999, 1, 1), datetime.date(9999, 12, 31)),
+        ((2000, 2, 29), datetime.date(2000, 2, 29)),
+        ((2000, -1, 1), datetime.date(9999, 12, 31)),
     ],
 )
 def test_repair_date(spark, parts, expected):
@@ -116,3 +118,9 @@ def test_wikidata(spark):
     rows = [("https://www.wikidata.org/wiki/Q42",), ("https://www.wikidata.org/wiki/x",), ("Q7",)]
     got = values(spark, rows, "u string", cf.wikidata_id("u"), is_wikidata("u"))
     assert got == [("Q42", True), ("", True), ("Q7", False)]
+
+
+def test_late_years_are_dates(spark):
+    row = spark.sql("select 300000 as y, 2 as m, 29 as d")
+    repaired = cf.repair_date(F.col("y"), F.col("m"), F.col("d"))
+    assert row.select(repaired.cast("string")).first()[0] == "+300000-02-29"

@@ -92,10 +92,45 @@ def test_several_facts_in_one_pass(facts):
     assert "k" in hot and "id" not in hot
 
 
-def test_unequal_key_types_are_refused(facts, dim):
-    hot = HotKeys.find({"facts.k": facts.select("k")}, rows_per_salt=1000)
+def test_key_types_count_alike_whether_hot_or_not(facts, dim):
     wide = dim.withColumn("k", F.col("k").cast("bigint"))
-    with pytest.raises(TypeError, match="bigint|LongType"):
-        hot.join("facts.k", facts, wide, "k", spread=["id"])
+    text = dim.withColumn("k", F.col("k").cast("string"))
+    for hot in (HotKeys.find({"facts.k": facts.select("k")}, rows_per_salt=1000), HotKeys.none()):
+        joined = hot.join("facts.k", facts, wide, "k", spread=["id"])
+        assert joined.count() == facts.join(dim, "k").count()
+        with pytest.raises(TypeError, match="StringType"):
+            hot.join("facts.k", facts, text, "k", spread=["id"])
+
+
+def test_salts_follow_rows_per_salt(spark, monkeypatch):
+    monkeypatch.setattr("cratewise.operators.skew.MAX_HOT", 2)
+    rows = spark.range(40_000).select(F.lit(1).alias("k"))
+    hot = HotKeys.find({"rows": rows}, rows_per_salt=1000)
+    assert hot._keys.collect()[0].salts == 40
+
+
+def test_rows_without_key_are_spread_without_any_hot_key(spark, dim):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id").cast("int")).alias("k"))
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        hot = HotKeys.find({"rows": rows.select("k")})
+        assert "rows" not in hot
+        left = hot.join("rows", rows, dim.dropDuplicates(["k"]), "k", "left", spread=["id"])
+        shares = [r["count"] for r in left.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(shares) == 20_000 and max(shares) < 20_000 / 4
+
+
+def test_other_joins_are_refused(facts, dim):
+    hot = HotKeys.none()
     with pytest.raises(ValueError, match="salted"):
         hot.join("facts.k", facts, dim, "k", "left_semi", spread=["id"])

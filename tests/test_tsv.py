@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import bz2
+
 import pytest
 from pyspark.sql import types as T
 
@@ -88,13 +90,36 @@ def test_load_all_with_missing_file_and_round_trip(spark, tmp_path):
     manifest = catalogue_manifest()
     rows = spark.createDataFrame([(1, "g", 'a "b"'), (2, "h", None)], "id int, gid string, name string")
     write_tsv(rows, str(tmp_path / "artist"), manifest["artist"])
-    tables = load_all(spark, str(tmp_path), manifest)
+    others = [name for name in manifest if name != "artist"]
+    with pytest.raises(FileNotFoundError, match="l_artist_url"):
+        load_all(spark, str(tmp_path), manifest)
+    tables = load_all(spark, str(tmp_path), manifest, absent=others)
     assert sorted(map(tuple, tables["artist"].collect())) == [(1, "g", 'a "b"'), (2, "h", None)]
     assert tables["url"].dtypes == [("id", "int"), ("url", "string")]
     counts = {r.table_name: r.row_count for r in load_audit(tables).collect()}
     assert counts == {name: 2 if name == "artist" else 0 for name in manifest}
 
 
+def test_compressed_files_are_found(spark, tmp_path):
+    manifest = catalogue_manifest()
+    (tmp_path / "url.bz2").write_bytes(bz2.compress(b"7\tx\thttp://a.example\n"))
+    others = [name for name in manifest if name != "url"]
+    assert load_all(spark, str(tmp_path), manifest, absent=others)["url"].first().id == 7
+
+
+def test_bad_values_fail_without_ansi(spark, tmp_path, spec):
+    (tmp_path / "t").write_text("x1\tx\t2\tt\n")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="is no"):
+            scan_tsv(spark, str(tmp_path / "t"), spec, keep=["id"]).collect()
+        kept = [c.name for c in spec.columns if c.name != "id" and str(c.dtype).lower() in ("string", "stringtype()")][:1]
+        assert scan_tsv(spark, str(tmp_path / "t"), spec, keep=kept).count() == 1
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_dump_version(spark):
     assert with_dump_version(spark.range(1), "v1").first().dump_version == "v1"
 

@@ -220,7 +220,7 @@ _STEPS = {
         JOIN credit USING (artist_credit)""",
     "out_artists": """
         SELECT a.gid AS artist_mbid, min(a.name) AS artist_name,
-               min(w.wikidata_id) AS artist_wikidata_id
+               ifnull(min(nullif(w.wikidata_id, '')), min(w.wikidata_id)) AS artist_wikidata_id
         FROM artist a LEFT JOIN wikidata w ON w.artist_id = a.id
         WHERE EXISTS (SELECT 1 FROM out_recording_artists c WHERE c.artist_mbid = a.gid)
            OR EXISTS (SELECT 1 FROM out_release_group_artists c WHERE c.artist_mbid = a.gid)
@@ -254,12 +254,17 @@ _STEPS = {
                CASE WHEN by_link.mbid IS NOT NULL THEN 'link'
                     WHEN by_text.mbid IS NOT NULL THEN 'text' END AS matched_by
         FROM play
-        LEFT JOIN (SELECT provider, url_identifier, min(recording_mbid) AS mbid
-                   FROM out_link_lookup GROUP BY ALL) by_link
+        LEFT JOIN (SELECT DISTINCT ON (provider, url_identifier) provider, url_identifier,
+                          recording_mbid AS mbid
+                   FROM out_link_lookup LEFT JOIN out_recording USING (recording_mbid)
+                   ORDER BY provider, url_identifier, release_group_mbid IS NULL, mbid) by_link
                ON by_link.provider = {_provider('play.uri')}
               AND by_link.url_identifier = {_identifier('play.uri', uri=True)}
-        LEFT JOIN (SELECT track_title, release_title, artist_name, min(recording_mbid) AS mbid
-                   FROM out_text_lookup GROUP BY ALL) by_text
+        LEFT JOIN (SELECT DISTINCT ON (track_title, release_title, artist_name)
+                          track_title, release_title, artist_name, recording_mbid AS mbid
+                   FROM out_text_lookup LEFT JOIN out_recording USING (recording_mbid)
+                   ORDER BY track_title, release_title, artist_name,
+                            release_group_mbid IS NULL, mbid) by_text
                ON by_text.track_title = {_norm('play.track')}
               AND by_text.release_title = {_norm('play.album')}
               AND by_text.artist_name = {_norm('play.artist')}""",
@@ -309,7 +314,7 @@ _REQUIRED = {
     "artists": ["artist_name"],
     "recording_artists": ["recording_mbid", "artist_mbid", "position"],
     "release_group_artists": ["release_group_mbid", "artist_mbid", "position"],
-    "link_lookup": ["url_identifier", "recording_mbid"],
+    "link_lookup": ["url_identifier", "provider", "recording_mbid"],
     "text_lookup": ["track_title", "release_title", "artist_name", "recording_mbid"],
 }
 _REFERENCES = [
