@@ -13,6 +13,7 @@ contains. Word results are remembered within a worker, up to a fixed number of w
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import sys
@@ -23,13 +24,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cratewise.llm.common import steps, text_bytes
 
 # Words whose encoding a worker remembers. Past that it starts anew; results do not depend on it.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 200_000
+# The same for pairs of tokens that were tried side by side.
+REMEMBERED_PAIRS = 400_000
 
 _ALONE = -1
 
@@ -111,6 +113,8 @@ class TrieBpe:
             fits = self._merged(self._symbols(token)) == [token]
         else:
             fits = self._merged(self._symbols(before) + self._symbols(token)) == [before, token]
+        if len(self._fits) >= REMEMBERED_PAIRS:
+            self._fits.clear()
         self._fits[before, token] = fits
         return fits
 
@@ -247,8 +251,10 @@ def bpe_encode(docs: DataFrame, description: str, text: str = "text", into: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = tokenizer(shared.value)
         for batch in batches:
-            ids = pa.array(engine.encode(text_bytes(batch.column(place))), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, into])
+            texts = text_bytes(batch.column(place))
+            for first, last in steps(texts):
+                ids = pa.array(engine.encode(texts[first:last]), pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, last - first).columns, ids], [*batch.schema.names, into])
 
     return kept.mapInArrow(run, _with(kept, into, "binary"))
 
@@ -262,9 +268,10 @@ def bpe_decode(docs: DataFrame, description: str, ids: str = "ids", into: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = tokenizer(shared.value)
         for batch in batches:
-            texts = [engine.decode(value or b"") for value in batch.column(place).to_pylist()]
-            column = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, into])
+            coded = [value or b"" for value in batch.column(place).to_pylist()]
+            for first, last in steps(coded):
+                column = pa.array(map(engine.decode, coded[first:last]), pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, last - first).columns, column], [*batch.schema.names, into])
 
     return kept.mapInArrow(run, _with(kept, into, "string"))
 
@@ -275,11 +282,27 @@ def _with(df: DataFrame, name: str, kind: str) -> str:
 
 
 def bpe_digests(docs: DataFrame, description: str) -> DataFrame:
-    """Per document of (doc_id, text): number of ids, and SHA-256 of the ids and of the decoded text."""
-    coded = bpe_encode(docs.select("doc_id", "text"), description).drop("text")
-    return bpe_decode(coded, description).select(
-        "doc_id",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
-    )
+    """Per document of (doc_id, text): number of ids, and SHA-256 of the ids and of the decoded text.
+
+    Encoding and decoding share a task and its tokenizer; ids and texts of a few MB are held at a time.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(description)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        engine = tokenizer(shared.value)
+        for batch in batches:
+            texts = text_bytes(batch.column(1))
+            for first, last in steps(texts):
+                ids = engine.encode(texts[first:last])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": batch.column(0)[first:last],
+                        "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
+                        "decoded_sha256": [hashlib.sha256(engine.decode(x)).hexdigest() for x in ids],
+                    }
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return docs.select("doc_id", "text").mapInArrow(run, names)

@@ -48,8 +48,8 @@ class _Mixer:
     """Predictions of all lanes (blocks). Lanes are in descending order of length."""
 
     def __init__(self, lanes: int) -> None:
-        self._first = np.zeros(lanes * _SLOTS1, np.int64)  # id * 4 + confidence; 0: none
-        self._second = np.zeros(lanes * _SLOTS2, np.int64)
+        self._first = np.zeros(lanes * _SLOTS1, np.int32)  # id * 4 + confidence; 0: none
+        self._second = np.zeros(lanes * _SLOTS2, np.int32)
         self._share1 = np.full(lanes * (_SURE + 1), 1 << 17, np.int64)
         self._share2 = np.full(lanes * (_SURE + 1), 1 << 18, np.int64)
         self._share1[:: _SURE + 1] = 0
@@ -68,7 +68,7 @@ class _Mixer:
         self._at1 = lane * _SLOTS1 + slot.astype(np.int64)
         slot = ((one + (two << np.uint64(20))) * _MULTIPLY2) >> np.uint64(51)
         self._at2 = lane * _SLOTS2 + slot.astype(np.int64)
-        self._v1, self._v2 = self._first[self._at1], self._second[self._at2]
+        self._v1, self._v2 = self._first[self._at1].astype(np.int64), self._second[self._at2].astype(np.int64)
         self._s1, self._s2 = lane * (_SURE + 1) + (self._v1 & 3), lane * (_SURE + 1) + (self._v2 & 3)
         self._e1, self._e2 = self._v1 >> 2, self._v2 >> 2
         p2 = np.minimum(self._share2[self._s2], _MOST)
@@ -120,7 +120,7 @@ def _encode_lanes(rows: np.ndarray, lengths: np.ndarray, wide: bool) -> tuple[np
     lanes, longest = rows.shape
     mixer = _Mixer(lanes)
     capacity = (2 + wide) * longest + 8
-    out = np.zeros(lanes * capacity, np.int64)
+    out = np.zeros(lanes * capacity, np.int32)
     base = np.arange(lanes, dtype=np.int64) * capacity
     place = base + 1  # word 0 takes a carry, which never comes
     low, span = np.zeros(lanes), np.full(lanes, _STATE)

@@ -27,7 +27,7 @@ from cratewise.sources.stage import Stage
 SEGMENT_IDS = 4 << 20
 
 # Words whose ids a worker remembers before it starts anew; results do not depend on it.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 200_000
 
 
 class WordCache:
