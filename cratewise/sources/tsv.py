@@ -48,7 +48,7 @@ def scan_tsv(
 def _typed(text: Column, kind: str, name: str) -> Column:
     """``text`` as a value of that type; an error if it is none."""
     value = text.try_cast(kind)
-    message = F.concat(F.lit(f"{name} is no {kind}: "), text)
+    message = F.concat(F.lit(f"CAST_INVALID_INPUT: {name} is no {kind}: "), text)
     return F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast(kind)).otherwise(value)
 
 
