@@ -44,12 +44,15 @@ def _with_albums(lookup: DataFrame, recording: DataFrame, name: str, hot: HotKey
 
 
 def history_keys(
-    keyed: DataFrame, link_lookup: DataFrame, text_lookup: DataFrame
+    keyed: DataFrame | None, link_lookup: DataFrame, text_lookup: DataFrame
 ) -> dict[str, DataFrame]:
-    """Fact columns of :func:`resolve`, for :meth:`HotKeys.find`."""
-    return {
+    """Fact columns of :func:`resolve`, for :meth:`HotKeys.find`; without plays, those of the lookups."""
+    plays = {} if keyed is None else {
         "history.link": keyed.select(*LINK_KEY),
         "history.text": keyed.select(*TEXT_KEY),
+    }
+    return {
+        **plays,
         "link_lookup.recording_mbid": link_lookup.select("recording_mbid"),
         "text_lookup.recording_mbid": text_lookup.select("recording_mbid"),
     }
@@ -70,12 +73,20 @@ def resolve(
     it cannot count its keys.
     """
     hot = hot or HotKeys.find(history_keys(keyed, link_lookup, text_lookup))
-    links = one_per_key(
-        _with_albums(link_lookup, recording, "link_lookup.recording_mbid", hot), LINK_KEY
-    )
-    texts = one_per_key(
-        _with_albums(text_lookup, recording, "text_lookup.recording_mbid", hot), TEXT_KEY
-    )
+    return resolve_reduced(keyed, *reduced_lookups(link_lookup, text_lookup, recording, hot), hot)
+
+
+def reduced_lookups(
+    link_lookup: DataFrame, text_lookup: DataFrame, recording: DataFrame, hot: HotKeys
+) -> tuple[DataFrame, DataFrame]:
+    """Links and texts with one recording, and its album, for each key."""
+    links = _with_albums(link_lookup, recording, "link_lookup.recording_mbid", hot)
+    texts = _with_albums(text_lookup, recording, "text_lookup.recording_mbid", hot)
+    return one_per_key(links, LINK_KEY), one_per_key(texts, TEXT_KEY)
+
+
+def resolve_reduced(keyed: DataFrame, links: DataFrame, texts: DataFrame, hot: HotKeys) -> DataFrame:
+    """:func:`resolve` against what :func:`reduced_lookups` returns."""
     by_link = hot.join(
         "history.link",
         keyed,

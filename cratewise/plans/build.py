@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cratewise.operators import canonical, checks, dimensions, lookups
 from cratewise.operators.skew import ROWS_PER_SALT, HotKeys
 from cratewise.sources.manifest import TableSpec, catalogue_manifest
-from cratewise.sources.sinks import TARGETS, laid_out, with_surrogate_id, write_target
+from cratewise.sources.sinks import TARGETS, laid_out, read_target, with_surrogate_id, write_target
 from cratewise.sources.stage import Stage, run_together
 from cratewise.sources.tsv import load_all, load_audit, with_dump_version
 
@@ -172,12 +172,7 @@ def build(
             # Ids follow the layout order, so ranges of ids are ranges of the layout.
             df = laid_out(with_surrogate_id(df, target.layout, stage), "id")
         write_target(df, f"{fresh}/{name}", target, compression, sort=name != "text_lookup")
-        return read(fresh, name)
-
-    def read(folder: str, name: str, version: str = "") -> DataFrame:
-        # Reading puts partition columns last; declared order again.
-        schema = TARGETS[name].schema
-        return spark.read.schema(schema).parquet(f"{folder}/{name}{version}").select(*schema.names)
+        return read_target(spark, fresh, name)
 
     fresh = f"{output_dir}/.building-{uuid.uuid4().hex}"
     outputs = catalogue.outputs()
@@ -188,7 +183,7 @@ def build(
     for name in written:
         _replace(spark, f"{fresh}/{name}", f"{output_dir}/{name}{version}")
     _remove(spark, fresh)
-    written = {name: read(output_dir, name, version) for name in written}
+    written = {name: read_target(spark, output_dir, name, dump_version) for name in written}
     if dump_version:
         written = {name: with_dump_version(df, dump_version) for name, df in written.items()}
     return BuildReport(written, load_audit(tables))

@@ -1,4 +1,4 @@
-"""Listening-history files: JSON arrays of play records."""
+"""Listening-history files: JSON arrays of play records, or one record per line."""
 
 from __future__ import annotations
 
@@ -16,12 +16,13 @@ HISTORY_SCHEMA = (
 )
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """Play records of one file or a folder of files. An array spans lines, so files do not split.
+def read_history(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Play records of one file or a folder of files.
 
+    An array spans lines, so its file is one task. ``lines`` reads one record per line; such files split.
     A damaged record or a value of another type fails the job, so that no play vanishes.
     """
-    return spark.read.schema(HISTORY_SCHEMA).options(multiLine=True, mode="FAILFAST").json(path)
+    return spark.read.schema(HISTORY_SCHEMA).options(multiLine=not lines, mode="FAILFAST").json(path)
 
 
 def stream_history(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,3 +152,11 @@ def write_target(
     if target.partition_by:
         writer = writer.partitionBy(*target.partition_by)
     writer.parquet(path)
+
+
+def read_target(spark: SparkSession, folder: str, name: str, dump_version: str | None = None) -> DataFrame:
+    """A written output table, or the version of it that ``dump_version`` names, in declared order."""
+    schema = TARGETS[name].schema
+    version = f"/dump_version={dump_version}" if dump_version else ""
+    # Reading puts partition columns last.
+    return spark.read.schema(schema).parquet(f"{folder}/{name}{version}").select(*schema.names)

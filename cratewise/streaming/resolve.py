@@ -5,16 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from cratewise.operators.history import resolve, with_lookup_keys
+from cratewise.operators.history import history_keys, reduced_lookups, resolve_reduced, with_lookup_keys
 from cratewise.operators.skew import HotKeys
+from cratewise.sources.stage import Stage
 
 
 def resolve_stream(
     history: DataFrame, link_lookup: DataFrame, text_lookup: DataFrame, recording: DataFrame
 ) -> DataFrame:
-    """Plays of a stream with recording, release group and ``matched_by``. Keeps no state."""
-    keyed = with_lookup_keys(history)
-    return resolve(keyed, link_lookup, text_lookup, recording, HotKeys.none())
+    """Plays of a stream with recording, release group and ``matched_by``. Keeps no state.
+
+    The lookups are reduced to one recording per key and stored before the stream starts; its batches
+    only join them. They hold what the lookups held then: start the stream anew after a build. Each key
+    has one row there, and plays without a key are spread, but the keys of plays that are yet to come
+    cannot be counted: adaptive execution does not split a batch, so keep batches small.
+    """
+    counted = history_keys(None, link_lookup, text_lookup)
+    links, texts = reduced_lookups(link_lookup, text_lookup, recording, HotKeys.find(counted))
+    stored = Stage(link_lookup.sparkSession).save_all({"links": links, "texts": texts})
+    return resolve_reduced(with_lookup_keys(history), stored["links"], stored["texts"], HotKeys.none())
 
 
 def write_resolved(resolved: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

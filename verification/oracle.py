@@ -330,6 +330,15 @@ _REFERENCES = [
 ]
 
 
+def _built(table: str) -> str:
+    """An output table as the build writes it: with its version, the text lookup with dense ids."""
+    ids = "row_number() OVER (ORDER BY track_title, artist_name, release_title, recording_mbid) AS id, "
+    return f"SELECT {ids if table == 'text_lookup' else ''}*, '20260101-000000' AS dump_version FROM out_{table}"
+
+
+_PLAYS = "SELECT event_id, user_id, CAST(ms_played AS BIGINT) AS ms_played, uri, track, album, artist FROM play"
+
+
 def _orphan_row(child: str, column: str, parent: str, key: str) -> str:
     return (
         f"SELECT '{child}.{column} in {parent}' AS rule, count(DISTINCT {column}) AS orphan_keys, "
@@ -457,6 +466,17 @@ _SELECTS = {
                r.primary_artist_mbid, a.artist_wikidata_id AS primary_artist_wikidata_id
         FROM out_recording r LEFT JOIN out_release_group g USING (release_group_mbid)
         LEFT JOIN out_artists a ON a.artist_mbid = r.primary_artist_mbid""",
+    "history_scan": _PLAYS,
+    "history_scan_lines": _PLAYS,
+}
+_SELECTS |= {f"built_{table}": _built(table) for table in _REQUIRED}
+_SELECTS |= {f"salted_{table}": f"FROM out_{table}" for table in _REQUIRED}
+_SELECTS |= {
+    "built_load_audit": _SELECTS["load_audit"],
+    "sampled_dump": _SELECTS["closed_sample_counts"],
+    # The ids of the text lookup are dense by definition.
+    "built_pk_violations": _SELECTS["pk_violations"] + " UNION ALL SELECT 'text_lookup', 0",
+    "built_not_null_violations": _SELECTS["not_null_violations"] + " UNION ALL SELECT 'text_lookup', 'id', 0",
 }
 
 ORACLE_SQL = {name: _query(select) for name, select in _SELECTS.items()}

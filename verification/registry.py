@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from cratewise import functions as cf
 from cratewise.operators import canonical, checks, dimensions, history, sample
-from cratewise.plans.build import Catalogue
+from cratewise.operators.skew import ROWS_PER_SALT
+from cratewise.plans.build import BuildReport, Catalogue, build
+from cratewise.plans.sample_dump import sample_dump
+from cratewise.sources.history import read_history
 from cratewise.sources.manifest import catalogue_manifest
 from cratewise.sources.sinks import TARGETS
 from cratewise.sources.stage import Stage, run_together
@@ -20,11 +23,19 @@ from verification.adapters import Star, catalogue_tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
+# Rows per salt at which the joins of small tables are salted too, and the tag of the built versions.
+SALTED_ROWS = 200
+DUMP_VERSION = "20260101-000000"
+
+# Plays per file where the history is written as JSON arrays.
+FILE_PLAYS = 1_000
+
+
+def _catalogue(spark: SparkSession, sf_dir: str, rows_per_salt: int = ROWS_PER_SALT) -> Catalogue:
     stage = Stage(spark)
     views = catalogue_tables(spark, sf_dir)
     staged = stage.save_all({f"view_{name}": df for name, df in views.items()})
-    return Catalogue(dict(zip(views, staged.values())), stage)
+    return Catalogue(dict(zip(views, staged.values())), stage, rows_per_salt)
 
 
 def norm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,8 +137,31 @@ def canonical_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.canonical_map(catalogue.recordings, catalogue.rank, catalogue.hot)
 
 
-def _output(name: str) -> Query:
-    return lambda spark, sf_dir: getattr(_catalogue(spark, sf_dir), name)()
+def _output(name: str, rows_per_salt: int = ROWS_PER_SALT) -> Query:
+    return lambda spark, sf_dir: getattr(_catalogue(spark, sf_dir, rows_per_salt), name)()
+
+
+def _build(spark: SparkSession, sf_dir: str) -> BuildReport:
+    """The views written as a dump, and the whole build from it, read back."""
+    folder = Stage(spark).path
+    write_dump(spark, sf_dir, f"{folder}/dump")
+    return build(spark, f"{folder}/dump", f"{folder}/out", DUMP_VERSION)
+
+
+def _built(name: str) -> Query:
+    return lambda spark, sf_dir: _build(spark, sf_dir).outputs[name]
+
+
+def built_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _build(spark, sf_dir).audit
+
+
+def built_pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.pk_violations(_build(spark, sf_dir).outputs)
+
+
+def built_not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.not_null_violations(_build(spark, sf_dir).outputs)
 
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,6 +231,52 @@ def closed_sample_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.closed_sample(*_sample_sets(spark, sf_dir))["track"]
 
 
+def sampled_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table of a sample that was written as a dump and is read back by the manifest."""
+    folder, manifest = Stage(spark).path, catalogue_manifest()
+    write_dump(spark, sf_dir, f"{folder}/dump")
+    sample_dump(spark, f"{folder}/dump", f"{folder}/sample")
+    return load_audit(load_all(spark, f"{folder}/sample", manifest))
+
+
+def _read_plays(spark: SparkSession, folder: str, lines: bool) -> DataFrame:
+    return read_history(spark, folder, lines).select(
+        F.col("ts").cast("bigint").alias("event_id"),
+        F.col("platform").cast("bigint").alias("user_id"),
+        "ms_played",
+        F.col("spotify_track_uri").alias("uri"),
+        F.col("master_metadata_track_name").alias("track"),
+        F.col("master_metadata_album_album_name").alias("album"),
+        F.col("master_metadata_album_artist_name").alias("artist"),
+    )
+
+
+def _play_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plays with the fields of a record; ids travel in two of its text fields."""
+    plays = adapters.history(spark, sf_dir)
+    texts = {"ts": F.col("event_id").cast("string"), "platform": F.col("user_id").cast("string")}
+    return plays.withColumns(texts)
+
+
+def history_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the plays as JSON arrays, a file for each range of event ids, and read them back."""
+    folder = f"{Stage(spark).path}/history"
+    plays = _play_records(spark, sf_dir)
+    record = F.struct(*[c for c in plays.columns if c not in ("event_id", "user_id")])
+    files = plays.groupBy(F.floor(F.col("event_id") / FILE_PLAYS).alias("file")).agg(
+        F.to_json(F.collect_list(record)).alias("value")
+    )
+    files.write.partitionBy("file").text(folder)
+    return _read_plays(spark, folder, lines=False)
+
+
+def history_scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the plays as JSON lines and read them back."""
+    folder = f"{Stage(spark).path}/history"
+    _play_records(spark, sf_dir).drop("event_id", "user_id").write.json(folder)
+    return _read_plays(spark, folder, lines=True)
+
+
 def _staged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plays as a stored table, which they are in practice."""
     return Stage(spark).save("history", adapters.history(spark, sf_dir))
@@ -279,4 +359,12 @@ QUERIES: dict[str, Query] = {
     "ordered_credits": ordered_credits,
     "release_group_ordered_credits": release_group_ordered_credits,
     "track_details": track_details,
+    **{f"built_{name}": _built(name) for name in TARGETS},
+    "built_load_audit": built_load_audit,
+    "built_pk_violations": built_pk_violations,
+    "built_not_null_violations": built_not_null_violations,
+    **{f"salted_{name}": _output(name, SALTED_ROWS) for name in TARGETS},
+    "sampled_dump": sampled_dump,
+    "history_scan": history_scan,
+    "history_scan_lines": history_scan_lines,
 }
