@@ -36,7 +36,7 @@ BUDGET = 1.5
 MOST_COPIES = 2
 
 # Documents that round to copies together.
-GROUP_ROWS = 20_000
+GROUP_ROWS = 1_000
 
 # Tables of sources up to this number of rows are broadcast.
 BROADCAST_SOURCES = 100_000
