@@ -5,7 +5,9 @@ the document's stratum. The cutoff is an order statistic of labelled good docume
 above it, then at most a share ``alpha`` of all good documents does, unless an event of probability
 P(Bin(n, alpha) <= k) occurred. So the exact binomial bound picks the largest ``k`` for which that
 probability is at most ``delta``; both are divided by the number of rules, and ``delta`` also by the number
-of strata (Bonferroni). A rule that cannot be certified in a stratum rejects nothing there.
+of strata (Bonferroni). A rule that cannot be certified in a stratum rejects nothing there. All labelled good
+documents count, however many there are: equal values are counted, distinct ones dealt to ranges, and only the
+range that holds the order statistic is summed up.
 
 Defined results: NULL and empty texts have no words and fail the base check. Repeated rows and ids are
 judged each by itself; labels of a repeated id count as good only if all of them are. A NULL stratum is
@@ -14,7 +16,9 @@ a stratum. No labels: only the base check rejects.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratewise.llm.common import SPACES, WORD, words
@@ -25,8 +29,10 @@ from cratewise.sources.stage import Stage
 FALSE_REJECTION = 0.02
 FAILURE = 0.05
 
-# Good labelled documents that set the cutoffs of one stratum; of more, a hash picks about as many.
-HOLDOUT = 50_000
+# Above this expected count, the binomial tail is summed from BAND standard deviations below it; what lies
+# further down has a probability below exp(-BAND**2 / 2).
+LONG_TAIL = 10_000
+BAND = 20
 
 # Strata up to this number are broadcast as one table of cutoffs.
 BROADCAST_STRATA = 10_000
@@ -114,6 +120,7 @@ def allowed_above(n: Column, alpha: float, delta: Column) -> Column:
     The tail is summed in logarithms, so that no count underflows.
     """
     n = n.cast("double")
+    mean = n * alpha
     log_add = lambda a, b: F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b)))
     odds = F.lit(alpha / (1 - alpha))
 
@@ -126,9 +133,16 @@ def allowed_above(n: Column, alpha: float, delta: Column) -> Column:
             F.when(ok, i.cast("long")).otherwise(acc["k"]).alias("k"),
         )
 
-    first = n * F.log(F.lit(1 - alpha))
-    start = F.struct(first.alias("term"), first.alias("total"), F.lit(-1).cast("long").alias("k"))
-    return F.aggregate(F.sequence(F.lit(0).cast("long"), F.ceil(n * alpha).cast("long")), start, step, lambda acc: acc["k"])
+    low = F.when(mean > LONG_TAIL, F.floor(mean - BAND * F.sqrt(mean))).otherwise(0).cast("long")
+    x = low.cast("double")
+    # Probability of exactly ``low``, by Stirling's series where ``low`` is not 0.
+    stirling = (
+        x * F.log(mean / x) + (n - x) * F.log(n * (1 - alpha) / (n - x))
+        + F.log(n / (2 * math.pi * x * (n - x))) / 2 + (1 / n - 1 / x - 1 / (n - x)) / 12
+    )
+    first = F.when(x > 0, stirling).otherwise(n * math.log1p(-alpha))
+    start = F.struct(first.alias("term"), first.alias("total"), (low - 1).alias("k"))
+    return F.aggregate(F.sequence(low, F.ceil(mean).cast("long")), start, step, lambda acc: acc["k"])
 
 
 def cutoffs(
@@ -137,7 +151,6 @@ def cutoffs(
     stratum: str = "lang",
     alpha: float = FALSE_REJECTION,
     delta: float = FAILURE,
-    holdout: int = HOLDOUT,
 ) -> DataFrame:
     """One row (stratum, cutoff of each rule) per stratum with labelled good documents.
 
@@ -153,24 +166,36 @@ def cutoffs(
     kept = measured.filter(~F.col("_quality.base_failed")).select(
         "doc_id", F.col(stratum).alias("stratum"), *[F.col(f"_quality.{r}").alias(r) for r in RULES]
     )
-    labelled = Stage(measured.sparkSession).save("labelled", kept.join(good, "doc_id"))
-    sizes = labelled.groupBy(F.col("stratum").alias("own")).agg(F.count(F.lit(1)).alias("n"))
+    stage = Stage(measured.sparkSession)
+    labelled = stage.save("labelled", kept.join(good, "doc_id"))
+    sizes = stage.save("sizes", labelled.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")))
     n_strata = sizes.count()
-    part = F.pmod(F.xxhash64("doc_id", F.lit("holdout")), F.lit(1 << 30)) / float(1 << 30)
-    rows = (
-        labelled.join(F.broadcast(sizes) if n_strata <= BROADCAST_STRATA else sizes, F.col("stratum").eqNullSafe(F.col("own")))
-        .filter(part * F.col("n") < holdout)
-        .select("stratum", F.explode(F.map_from_arrays(F.array(*map(F.lit, RULES)), F.array(*RULES))).alias("rule", "value"))
-    )
-    # A group is one rule in one stratum: HOLDOUT values or little more.
-    groups = rows.groupBy("stratum", "rule").agg(
-        F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("value"), asc=False).alias("top")
-    )
+    few = lambda frame: F.broadcast(frame) if n_strata <= BROADCAST_STRATA else frame
     k = allowed_above(F.col("n"), alpha / len(RULES), F.lit(delta / (len(RULES) * max(n_strata, 1))))
-    chosen = groups.select("stratum", "rule", "top", k.cast("int").alias("k")).select(
-        "stratum", "rule", F.when(F.col("k") >= 0, F.get("top", F.col("k"))).alias("cutoff")
+    ranks = stage.save("ranks", sizes.select("stratum", k.alias("k")))
+    values = labelled.select("stratum", F.explode(F.map_from_arrays(F.array(*map(F.lit, RULES)), F.array(*RULES))).alias("rule", "value"))
+    counted = values.groupBy("stratum", "rule", "value").agg(F.count(F.lit(1)).alias("n"))
+    dealt = stage.save(
+        "values", counted.repartitionByRange("stratum", "rule", F.desc("value")).withColumn("part", F.spark_partition_id())
+    )
+    # Rows (stratum, rule, part): one per range and where a group begins. Of each group, one part holds rank k.
+    parts = dealt.groupBy("stratum", "rule", "part").agg(F.sum("n").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("stratum", "rule").orderBy("part")) - F.col("n")
+    own = lambda frame: frame.withColumnRenamed("stratum", "_stratum")
+    same = F.col("stratum").eqNullSafe(F.col("_stratum"))
+    holds = (
+        parts.withColumn("before", before)
+        .join(few(own(ranks)), same)
+        .filter((F.col("before") <= F.col("k")) & (F.col("k") < F.col("before") + F.col("n")))
+        .select("_stratum", F.col("rule").alias("_rule"), F.col("part").alias("_part"), "before", "k")
     )
-    return chosen.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in RULES])
+    at = dealt.join(few(holds), same & (F.col("rule") == F.col("_rule")) & (F.col("part") == F.col("_part")))
+    # The largest value is the first; rank k is the first value that more than k values reach.
+    reach = F.col("before") + F.sum("n").over(Window.partitionBy("stratum", "rule").orderBy(F.desc("value")))
+    chosen = at.withColumn("reach", reach).filter("reach > k").groupBy("stratum", "rule").agg(F.max("value").alias("cutoff"))
+    # Strata in which no rule is certified keep their row.
+    every = chosen.unionByName(sizes.select("stratum", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("double").alias("cutoff")))
+    return every.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in RULES])
 
 
 def verdicts(measured: DataFrame, limits: DataFrame, stratum: str = "lang") -> DataFrame:

@@ -446,6 +446,44 @@ def test_cutoffs_spare_good_documents(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_cutoffs_count_all_good_documents(spark):
+    n = 120_000
+    value = lambda rule: F.pmod(F.xxhash64("id", F.lit(rule)), F.lit(9 if rule == "capital_share" else 1 << 40)).cast("double")
+    lang = F.when(F.col("id") % 4 > 0, "en").when(F.col("id") % 100 == 0, "xx")  # NULL is a stratum, xx too small to certify
+    measured = spark.range(n).select(
+        F.col("id").alias("doc_id"), lang.alias("lang"),
+        F.struct(F.lit(False).alias("base_failed"), *[value(r).alias(r) for r in quality.RULES]).alias("_quality"),
+    ).repartition(5)
+    got = {r.stratum: r for r in quality.cutoffs(measured, spark.range(n).selectExpr("id as doc_id", "1 as quality")).collect()}
+    held = {}
+    for r in measured.select("lang", "_quality.*").collect():
+        held.setdefault(r.lang, []).append(r)
+    assert set(got) == set(held) == {"en", "xx", None}
+    for lang, rows in held.items():
+        k = _allowed(len(rows), quality.FALSE_REJECTION / 6, quality.FAILURE / 18)
+        assert (k < 0) == (lang == "xx")
+        for rule in quality.RULES:
+            expected = sorted((r[rule] for r in rows), reverse=True)[k] if k >= 0 else None
+            assert got[lang][f"_cut_{rule}"] == expected, (lang, rule)
+
+
+def _allowed(n, alpha, delta):
+    total, k = 0.0, -1
+    for i in range(n):
+        total += math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(alpha) + (n - i) * math.log1p(-alpha))
+        if total > delta:
+            return k
+        k = i
+    return k
+
+
+def test_binomial_bound_of_many_documents(spark):
+    for n in (2_999_000, 3_001_000, 1_000_000_000):
+        alpha, delta = quality.FALSE_REJECTION / 6, 0.001
+        k = spark.range(1).select(quality.allowed_above(F.lit(n), alpha, F.lit(delta))).first()[0]
+        assert k == _allowed(n, alpha, delta) if n < 1e7 else abs(k - (n * alpha - 3.09 * (n * alpha) ** 0.5)) < 20, n
+
+
 def test_pipeline_runs(spark):
     import corpus_pipeline
 
