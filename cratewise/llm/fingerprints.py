@@ -1,16 +1,18 @@
 """Document fingerprints (operator 2): a homomorphic multiset hash of paragraphs.
 
-A paragraph (a line that is not blank) becomes a wide vector of 16-bit numbers; a document's fingerprint is
-the sum of its paragraphs' vectors modulo 2**16. So paragraph order does not matter, and a paragraph is
-put in or taken out by adding or subtracting its vector. The vector has two parts:
+A paragraph (a line that is not blank) becomes a wide vector of numbers; a document's fingerprint is the
+sum of its paragraphs' vectors. So paragraph order does not matter, and a paragraph is put in or taken out
+by adding or subtracting its vector. The vector has two parts:
 
-* ``DIGEST`` numbers read off a cryptographic hash of the paragraph. Sums of these are equal only for equal
+* ``DIGEST`` numbers modulo 2**16, read off a cryptographic hash of the paragraph. Sums of these are equal only for equal
   multisets of paragraphs, up to chance.
-* ``SKETCH`` numbers that hold the paragraph's word pairs, each counted with a random sign at a random
-  place. Sums of these keep inner products: their cosine estimates how alike two documents' word pairs are,
+* ``SKETCH`` numbers modulo 2**32, more than a text of Spark's 2 GB has pairs either way, that hold the
+  paragraph's word pairs, each counted with a random sign at a random place. Sums of these keep inner products: their cosine estimates how alike two documents' word pairs are,
   also where an edit cuts through a paragraph.
 
-Fingerprints are printed as base64. Likeness is the cosine of the sketches, from 0 to 1; it is 1 for equal
+Fingerprints are printed as base64: the digest, then the lower and the upper halves of the sketch with its
+signs folded in (0, -1, 1, -2, ...), so that the upper halves of all but very long texts are zeros, which
+compress. Likeness is the cosine of the sketches, from 0 to 1; it is 1 for equal
 fingerprints, and 0 if just one of the documents has no words.
 
 Defined results: NULL and empty texts have the zero fingerprint. Neighbours are by descending doc_id with
@@ -59,7 +61,7 @@ def _digest(text: bytes) -> np.ndarray:
 
 def vectors(texts: list[bytes]) -> np.ndarray:
     """Fingerprint of each text, one row of ``WIDTH`` numbers."""
-    out = np.zeros((len(texts), WIDTH), np.uint16)
+    out = np.zeros((len(texts), WIDTH), np.uint32)
     for first, last in steps(texts):
         part = texts[first:last]
         for i, text in enumerate(part):
@@ -77,16 +79,21 @@ def vectors(texts: list[bytes]) -> np.ndarray:
         at = owner * SKETCH + (pair & np.uint64(SKETCH - 1)).astype(np.int64)
         sign = 1.0 - 2.0 * ((pair >> np.uint64(40)) & np.uint64(1)).astype(np.float64)
         sums = np.bincount(at, weights=sign, minlength=len(part) * SKETCH).astype(np.int64)
-        out[first:last, DIGEST:] = (sums & 0xFFFF).astype(np.uint16).reshape(len(part), SKETCH)
+        out[first:last, DIGEST:] = (sums & 0xFFFFFFFF).astype(np.uint32).reshape(len(part), SKETCH)
     return out
 
 
 def printed(vector: np.ndarray) -> str:
-    return base64.b64encode(vector.astype("<u2").tobytes()).decode()
+    signed = vector[DIGEST:].astype(np.uint32).view(np.int32)
+    folded = ((signed << 1) ^ (signed >> 31)).view(np.uint32)
+    parts = (vector[:DIGEST] & 0xFFFF, folded & 0xFFFF, folded >> 16)
+    return base64.b64encode(np.concatenate(parts).astype("<u2").tobytes()).decode()
 
 
 def parsed(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(fingerprint), "<u2")
+    digest, low, high = np.split(np.frombuffer(base64.b64decode(fingerprint), "<u2").astype(np.uint32), [DIGEST, WIDTH])
+    folded = low | (high << 16)
+    return np.concatenate((digest, (folded >> 1) ^ -(folded & 1)))
 
 
 def added(fingerprint: str, text: str) -> str:
@@ -101,7 +108,7 @@ def removed(fingerprint: str, text: str) -> str:
 
 def likeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Of the fingerprints in the rows of two matrices."""
-    a, b = x[:, DIGEST:].astype(np.int16).astype(np.float64), y[:, DIGEST:].astype(np.int16).astype(np.float64)
+    a, b = x[:, DIGEST:].astype(np.int32).astype(np.float64), y[:, DIGEST:].astype(np.int32).astype(np.float64)
     norms = np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
     cosine = np.divide((a * b).sum(axis=1), norms, out=np.zeros(len(a)), where=norms > 0)
     return np.where((x == y).all(axis=1), 1.0, np.clip(cosine, 0.0, 1.0))

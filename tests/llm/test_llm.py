@@ -155,6 +155,16 @@ def test_fingerprints_are_homomorphic():
     assert fingerprints.removed(of("one two\nthree"), "three") == of("one two")
 
 
+def test_likeness_of_many_equal_lines():
+    long, short = "aa bb\n" * 48_000, "aa bb\n" * 32_000 + "cc dd\n" * 10
+    x, y = fingerprints.vectors([long.encode(), short.encode()])
+    assert fingerprints.likeness(x[None], y[None])[0] > 0.99
+    assert np.array_equal(fingerprints.parsed(fingerprints.printed(x)), x)
+    assert fingerprints.added(fingerprints.printed(x), short) == fingerprints.printed(fingerprints.vectors([(long + short).encode()])[0])
+    assert fingerprints.removed(fingerprints.printed(y), long) == fingerprints.removed(fingerprints.removed(fingerprints.printed(y), "aa bb\n" * 47_999), "aa bb")
+    assert fingerprints.removed(fingerprints.printed(x), "aa bb\n" * 47_999) == fingerprints.printed(fingerprints.vectors([b"aa bb"])[0])
+
+
 # Mixing
 
 
