@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.llm.common import Words, mix, steps, text_bytes
+from cratewise.llm.common import WORD, Words, mix, steps, text_bytes
 from cratewise.llm.components import components, lookup
 from cratewise.sources.stage import Stage
 
@@ -175,6 +175,7 @@ class JaccardJoin:
         classes = own.groupBy("digest").agg(
             F.first("n").alias("n"), F.first("group").alias("group"), F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
             F.min(F.struct("key", "key2")).alias("at"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first"),
         )
         self.classes = self.stage.save("classes", classes.withColumn("cid", F.monotonically_increasing_id()))
         groups = self.classes.groupBy("group").agg(
@@ -344,13 +345,22 @@ class JaccardJoin:
         expanded = pairs.union(own).join(side("g", "p"), "g").join(side("h", "q"), "h").filter("p_in != q_in")
         return expanded.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
-    def components(self) -> DataFrame:
-        """Per document: doc_id, n_shingles, component_id."""
+    def _labelled(self) -> DataFrame:
+        """Staged classes with their component."""
         labels = components(self.links(), self.stage, "all").withColumnRenamed("node", "cid")
-        labelled = self.classes.select("digest", "cid", "doc_id", "copies").join(labels, "cid", "left").withColumn(
+        labelled = self.classes.select("digest", "cid", "doc_id", "copies", "first").join(labels, "cid", "left").withColumn(
             "component", F.coalesce("component", "cid")
         )
-        labelled = self.stage.save("class-labels", labelled)
+        return self.stage.save("class-labels", labelled)
+
+    def kept(self) -> DataFrame:
+        """Distinct (doc_id, key) of the row that stays of each component, and of all rows without words."""
+        first = self._labelled().groupBy("component").agg(F.min("first").alias("first")).select("first.doc_id", "first.key")
+        return first.unionByName(self.sets.filter("n = 0").select("doc_id", "key").distinct())
+
+    def components(self) -> DataFrame:
+        """Per document: doc_id, n_shingles, component_id."""
+        labelled = self._labelled()
         ids = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
         whole = labelled.select("digest", "copies", "component").join(ids, "component")
         rows = lookup(
@@ -413,10 +423,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def jaccard_filter(docs: DataFrame) -> DataFrame:
-    """One document of each component stays: the one with the smallest doc_id, with its columns.
+    """One row of each component stays, with its columns: the smallest doc_id, NULL last; of several texts
+    of that id, any fixed one.
 
-    Documents without an id or without words stay as they are; of repeated rows of an id, one stays.
+    Rows without words stay, but of equal texts of an id, one. An id may occur on rows with different texts;
+    each is judged by its own component.
     """
-    found = jaccard_components(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = docs.join(found, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    alone = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    stay = JaccardJoin(docs.select("doc_id", "text")).kept().select(F.col("doc_id").alias("_kept_id"), F.col("key").alias("_kept_key"))
+    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept_id")) & (F.xxhash64("text") == F.col("_kept_key"))
+    kept = docs.filter(~alone).join(stay, own, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.select(*docs.columns).unionByName(docs.filter(alone))

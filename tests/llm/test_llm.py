@@ -332,6 +332,15 @@ def test_jaccard_filter_and_empty_table(docs):
     assert jaccard.jaccard_components(empty(docs)).count() == 0
 
 
+def test_jaccard_filter_judges_rows_of_an_id_by_their_text(spark):
+    x, y, z = ("the quick brown fox jumps over it", "an unlike text that has its own words", "a third one of other things")
+    rows = [(3, x), (5, x), (5, y), (5, y), (None, y), (None, z), (None, z), (7, ""), (7, None), (None, " "), (None, " ")]
+    for n in (1, 4):  # whichever row comes first
+        kept = jaccard.jaccard_filter(spark.createDataFrame(rows[::-1] if n > 1 else rows, "doc_id bigint, text string").repartition(n))
+        expected = [(3, x), (5, y), (None, z), (7, ""), (7, None), (None, " "), (None, " ")]
+        assert Counter(map(tuple, kept.collect())) == Counter(expected)
+
+
 def test_bitmap_bounds_the_difference():
     rng = np.random.default_rng(0)
     for n, m in ((5, 9), (600, 640), (500, 540), (3000, 1100)):
