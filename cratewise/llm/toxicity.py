@@ -100,20 +100,27 @@ class ToxicityModel:
         if not len(gains):
             return []
         sums = np.concatenate(([0.0], np.cumsum(values)))
-        # Each candidate: first, end, sum before it, sum at its end, nearest candidate with a lower start.
-        held: list[tuple[int, int, float, float]] = []
+        # Each candidate: first, end, sum before it, sum at its end, place of the nearest candidate with a lower start.
+        # A candidate that starts lower than all held ones makes these final.
+        final: list[tuple[int, int, float, float, int]] = []
+        held: list[tuple[int, int, float, float, int]] = []
         for i in gains.tolist():
             first, end, low, high = i, i + 1, float(sums[i]), float(sums[i + 1])
+            j = len(held) - 1
             while True:
-                j = len(held) - 1
                 while j >= 0 and held[j][2] >= low:
-                    j -= 1
-                if j < 0 or held[j][3] >= high:
-                    held.append((first, end, low, high))
+                    j = held[j][4]
+                if j < 0:
+                    final += held
+                    held = [(first, end, low, high, -1)]
                     break
-                first, low = held[j][0], held[j][2]
+                if held[j][3] >= high:
+                    held.append((first, end, low, high, j))
+                    break
+                first, _, low, _, lower = held[j]
                 del held[j:]
-        return [(first, end, high - low) for first, end, low, high in held]
+                j = lower
+        return [(first, end, high - low) for first, end, low, high, _ in final + held]
 
     def features(self, tokens: list[str]) -> tuple[list[tuple[int, int, float]], list[float]]:
         """Significant segments with their normalised scores, and the calibrated features."""

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -224,6 +225,19 @@ def test_maximal_segments_by_definition():
         assert [(a, b) for a, b, _ in found] == split(0, len(tokens))
 
 
+def test_segments_of_long_texts_take_linear_time():
+    drift = toxicity.DRIFT
+    model = toxicity.ToxicityModel({"up": 1.5 * drift, "top": 11 * drift})
+    n = 100_000
+    falling = ["up", "x"] * n  # each gain starts below all before it
+    rising = ["top", *"x" * 5, *["up", "x"] * 4] * (n // 4)  # each group starts above all before it
+    began = time.process_time()
+    assert [(a, b) for a, b, _ in model.segments(falling)] == [(2 * i, 2 * i + 1) for i in range(n)]
+    last = len(rising) - 13  # the last top ends the long segment; four gains follow
+    assert [(a, b) for a, b, _ in model.segments(rising)] == [(0, last), *((last + i, last + i + 1) for i in (5, 7, 9, 11))]
+    assert time.process_time() - began < 10
+
+
 def test_toxicity_learns_and_holds_out(spark):
     rng = random.Random(2)
     plain = ["w%s" % "".join(rng.choices("abcd", k=3)) for _ in range(60)]
