@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import Generic, TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,44 @@ def steps(texts: list[bytes], limit: int = STEP_BYTES) -> Iterator[tuple[int, in
         yield first, len(texts)
 
 
+_Key = TypeVar("_Key")
+_Value = TypeVar("_Value")
+
+
+class TwoGenerations(Generic[_Key, _Value]):
+    """A memory of bounded size that keeps what is in use.
+
+    Entries that are found move to the younger of two generations; when it is full, the older one is
+    dropped and the younger takes its place.
+    """
+
+    def __init__(self, size: int) -> None:
+        self._size = size
+        self._young: dict[_Key, _Value] = {}
+        self._old: dict[_Key, _Value] = {}
+
+    def find(self, keys: Iterable[_Key]) -> dict[_Key, _Value]:
+        """The known ones of some keys."""
+        young, old = self._young, self._old
+        found = {key: young[key] for key in keys if key in young}
+        moved = {key: old[key] for key in keys if key in old and key not in found}
+        found.update(moved)
+        self.update(moved)
+        return found
+
+    def update(self, entries: dict[_Key, _Value]) -> None:
+        if len(self._young) + len(entries) > self._size:
+            self._old, self._young = self._young, {}
+        self._young.update(entries)
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    shifted = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in visible)}
+    return [shifted.get(b, chr(b)) for b in range(256)]
+
+
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
