@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import random
@@ -47,13 +48,17 @@ def tokenizers():
     return description, Path(public_tokenizers.path(PIECE_TOKENIZER)).read_bytes()
 
 
-def brute_groups(text, tokenizers):
-    """Groups of a whole text from the byte lengths of its tokens; None without tokens."""
+@functools.lru_cache
+def loaded(tokenizers):
     description, model = tokenizers
     a = Tokenizer.from_str(description)
     a.encode_special_tokens = True
-    b = sentencepiece.SentencePieceProcessor(model_proto=model)
-    both = alignment.Aligner(*tokenizers)
+    return a, sentencepiece.SentencePieceProcessor(model_proto=model), alignment.Aligner(*tokenizers)
+
+
+def brute_groups(text, tokenizers):
+    """Groups of a whole text from the byte lengths of its tokens; None without tokens."""
+    a, b, both = loaded(tokenizers)
     if not text:
         return None
     one, two = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
