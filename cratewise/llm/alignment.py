@@ -26,9 +26,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +40,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cratewise.llm.common import TwoGenerations, byte_letters
+from cratewise.llm.common import byte_letters, steps, text_bytes
 from cratewise.sources.stage import Stage
 
-# Chunks that a worker remembers in each of two generations.
-REMEMBERED_CHUNKS = 60_000
-# Chunks that the tokenizers get at once.
+# Chunks that a worker remembers from block to block, beyond those of the last block.
+REMEMBERED_CHUNKS = 300_000
+# Chunks that the tokenizers get at once, and as one string.
 ENCODED_AT_ONCE = 20_000
+JOINED_CHUNKS = 64
 # Characters of a long text that are cut into chunks at once.
 PIECE_CHARS = 1 << 20
 # Text characters of a block: it is closed with the document that reaches them.
@@ -58,40 +61,23 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
-@dataclass(frozen=True)
-class Group:
-    """Tokens of both sides between two cuts, which are byte positions in a space and the text."""
-
-    start: int
-    end: int
-    a: tuple[int, ...]
-    b: tuple[int, ...]
-
-
-def group_tokens(a: Sequence[int], a_ends: Sequence[int], b: Sequence[int], b_ends: Sequence[int]) -> list[Group]:
-    """Groups of two token sequences whose byte ends are given and whose last ends are equal."""
-    groups, i, j, start, first_a, first_b = [], 0, 0, 0, 0, 0
-    while i < len(a) and j < len(b):
-        if a_ends[i] < b_ends[j]:
-            i += 1
-        elif a_ends[i] > b_ends[j]:
-            j += 1
-        else:
-            i, j = i + 1, j + 1
-            # Tokens of no bytes belong to the group that ends where they do.
-            while i < len(a) and a_ends[i] == a_ends[i - 1]:
-                i += 1
-            while j < len(b) and b_ends[j] == b_ends[j - 1]:
-                j += 1
-            groups.append(Group(start, a_ends[i - 1], tuple(a[first_a:i]), tuple(b[first_b:j])))
-            start, first_a, first_b = a_ends[i - 1], i, j
-    return groups
+@dataclass
+class Aligned:
+    """Tokens and groups of a list of chunks, each after a space, as flat arrays."""
+
+    a: np.ndarray  # ids of A
+    b: np.ndarray
+    a_group: np.ndarray  # group of each token
+    b_group: np.ndarray
+    cuts: np.ndarray  # byte end of each group
+    chunk: np.ndarray  # chunk of each group
 
 
 class Aligner:
     """Both tokenizers and the bytes of their tokens. Special tokens in a text are plain text."""
 
     def __init__(self, description: str, model: bytes) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self._a = Tokenizer.from_str(description)
         self._a.no_truncation()
         self._a.no_padding()
@@ -102,62 +88,93 @@ class Aligner:
             raise ValueError("A must be a byte-level tokenizer without normalisation")
         special = {t["content"] for t in spec["added_tokens"]}
         vocab = spec["model"]["vocab"]
-        self._a_bytes = {i: bytes(map(byte_of.__getitem__, entry)) for entry, i in vocab.items() if entry not in special}
+        self.a_bytes = [b""] * (max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]) + 1)
+        for entry, i in vocab.items():
+            if entry not in special:
+                self.a_bytes[i] = bytes(map(byte_of.__getitem__, entry))
 
         self._b = sentencepiece.SentencePieceProcessor(model_proto=model)
         pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
         if any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", piece) for piece in pieces):
             raise ValueError("a piece of B reaches over a space")
-        self._is_byte = [self._b.is_byte(i) for i in range(len(pieces))]
-        self._b_bytes = [
+        is_byte = [self._b.is_byte(i) for i in range(len(pieces))]
+        self.b_bytes = [
             bytes([int(_BYTE_PIECE.fullmatch(piece)[1], 16)]) if byte else piece.replace(SPACE_MARK, " ").encode()
-            for piece, byte in zip(pieces, self._is_byte)
+            for piece, byte in zip(pieces, is_byte)
         ]
-
-    def groups(self, chunks: list[str]) -> Iterator[list[Group] | None]:
-        """Groups of each chunk, a text that both tokenizers get after a space; None if its bytes differ."""
-        first = self._a.encode_batch([" " + chunk for chunk in chunks], add_special_tokens=False)
-        second = self._b.encode(chunks, return_type="offset_mapping", num_threads=1)
-        a_bytes, b_bytes = self._a_bytes, self._b_bytes
-        for chunk, one, two in zip(chunks, first, second):
-            a, b = one.ids, two["ids"]
-            whole = (" " + chunk).encode()
-            if b"".join([a_bytes.get(i, b"") for i in a]) != whole or b"".join([b_bytes[i] for i in b]) != whole:
-                yield None
-            elif len(a) == 1 and len(b) == 1:
-                yield [Group(0, len(whole), (a[0],), (b[0],))]
-            elif chunk.isascii() and not any([self._is_byte[i] for i in b]):
-                # Characters are bytes, and every token ends with one.
-                yield group_tokens(a, [end for _, end in one.offsets], b, [end + 1 for _, end in two["offsets"]])
+        self._is_byte = np.array(is_byte)
+        self._a_size, self._b_size = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
+
+    def _encode(self, chunks: list[str]) -> tuple[list, list, list[str]]:
+        # Both cut before the spaces that join visible characters, so a few long strings serve for many chunks.
+        # The first and the last chunk of a text may have white space at their ends and stay alone.
+        strings, run = [], []
+        for chunk in chunks:
+            alone = chunk[0].isspace() or chunk[-1].isspace()
+            if run and (alone or len(run) == JOINED_CHUNKS):
+                strings.append(" ".join(run))
+                run = []
+            if alone:
+                strings.append(chunk)
             else:
-                yield group_tokens(a, self._a_ends(chunk, a, one.offsets), b, self._b_ends(chunk, b, two["offsets"]))
-
-    def _a_ends(self, chunk: str, ids: list[int], offsets: list[tuple[int, int]]) -> list[int]:
-        places = _byte_places(" " + chunk)
-        ends, last = [], len(ids) - 1
-        for i, (_, end) in enumerate(offsets):
-            whole_character = i == last or offsets[i + 1][0] >= end
-            before = ends[-1] if ends else 0
-            ends.append(places[end] if whole_character else before + len(self._a_bytes[ids[i]]))
-        return ends
-
-    def _b_ends(self, chunk: str, ids: list[int], offsets: list[tuple[int, int]]) -> list[int]:
-        places = _byte_places(chunk)
-        ends: list[int] = []
-        for i, (start, end) in zip(ids, offsets):
-            whole_character = not self._is_byte[i] or end > start
-            before = ends[-1] if ends else 0
-            ends.append(1 + places[end] if whole_character else before + len(self._b_bytes[i]))
-        return ends
-
-
-def _byte_places(text: str) -> list[int]:
-    """Byte position of every character position."""
-    places, at = [0], 0
-    for c in text:
-        at += 1 if c < "\x80" else 2 if c < "ࠀ" else 3 if c < "\U00010000" else 4
-        places.append(at)
-    return places
+                run.append(chunk)
+        if run:
+            strings.append(" ".join(run))
+        first = self._a.encode_batch([" " + x for x in strings], add_special_tokens=False)
+        return first, self._b.encode(strings, return_type="offset_mapping", num_threads=1), strings
+
+    def gives_back(self, chunk: str) -> bool:
+        """Whether the tokens of both hold the bytes of the chunk."""
+        first, second, _ = self._encode([chunk])
+        whole = (" " + chunk).encode()
+        a, b = first[0].ids, second[0]["ids"]
+        return b"".join([self.a_bytes[i] for i in a]) == whole == b"".join([self.b_bytes[i] for i in b])
+
+    def align(self, chunks: list[str]) -> Aligned | None:
+        """Tokens and groups of chunks that are not empty as a list; None if the bytes of any differ."""
+        first, second, strings = self._encode(chunks)
+        text = (" " + " ".join(chunks)).encode()
+        flat = chain.from_iterable
+        a_lists, b_lists = [x.ids for x in first], [x["ids"] for x in second]
+        a, b = np.fromiter(flat(a_lists), np.int64), np.fromiter(flat(b_lists), np.int64)
+        for ids, table in ((a, self.a_bytes), (b, self.b_bytes)):
+            if b"".join(map(table.__getitem__, ids.tolist())) != text:
+                return None
+        a_spans = np.fromiter(flat(flat(x.offsets for x in first)), np.int64).reshape(-1, 2)
+        b_spans = np.fromiter(flat(flat(x["offsets"] for x in second)), np.int64).reshape(-1, 2)
+        # Byte position of every character position.
+        letters = np.frombuffer(text, np.uint8)
+        places = np.append(np.flatnonzero((letters & 0xC0) != 0x80), len(letters))
+        before = np.concatenate(([0], np.cumsum([len(x) + 1 for x in strings])))[:-1]
+
+        base = np.repeat(before, [len(x) for x in a_lists])
+        start, end = a_spans[:, 0] + base, a_spans[:, 1] + base
+        # Parts of one character share its span; the last of them ends with it.
+        whole = np.append(start[1:] >= end[:-1], True)
+        a_ends = _ends(places[end], whole, self._a_size[a])
+        base = np.repeat(before, [len(x) for x in b_lists])
+        # Spans of B do not count the space in front. Of the bytes of one character the last has its span.
+        end = b_spans[:, 1] + base + 1
+        whole = ~self._is_byte[b] | (b_spans[:, 1] > b_spans[:, 0])
+        b_ends = _ends(places[end], whole, self._b_size[b])
+
+        at = np.searchsorted(b_ends, a_ends)
+        cuts = a_ends[b_ends[np.minimum(at, len(b_ends) - 1)] == a_ends]
+        sizes = np.fromiter((len(c) for c in chunks), np.int64, len(chunks))
+        chunk_ends = places[np.cumsum(sizes + 1)]
+        return Aligned(
+            a, b, np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends), cuts, np.searchsorted(chunk_ends, cuts)
+        )
+
+
+def _ends(spanned: np.ndarray, whole: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Byte end of every token: that of its span if it ends with a whole character, else its own bytes
+    after the end of the token before."""
+    row = np.arange(len(whole))
+    known = np.maximum.accumulate(np.where(whole, row, -1))
+    total = np.cumsum(sizes)
+    start = np.where(known >= 0, spanned[known] - total[known], 0)
+    return np.where(whole, spanned, start + total)
 
 
 def chunks_of(text: str) -> Iterator[list[str]]:
@@ -170,111 +187,172 @@ def chunks_of(text: str) -> Iterator[list[str]]:
         start = stop + 1
 
 
-class _Record:
-    """What a block needs of a distinct chunk."""
-
-    __slots__ = ("counts", "digest", "pairs", "times")
-
-    def __init__(self, groups: list[Group]) -> None:
-        links: dict[int, int] = {}
-        for g in groups:
-            for x in g.a:
-                for y in g.b:
-                    key = x << 32 | y
-                    links[key] = links.get(key, 0) + 1
-        self.counts = (
-            sum([len(g.a) for g in groups]),
-            sum([len(g.b) for g in groups]),
-            len(groups),
-            sum([len(g.a) * len(g.b) for g in groups]),
-        )
-        self.digest = ";".join([f"{','.join(map(str, g.a))}|{','.join(map(str, g.b))}" for g in groups]).encode()
-        self.pairs = np.fromiter(links, np.int64, len(links)).tobytes()
-        self.times = np.fromiter(links.values(), np.int64, len(links)).tobytes()
-
+class _Pool:
+    """What blocks need of distinct chunks, remembered within a worker.
 
-class _Records:
-    """Records of chunks, remembered within a worker; None for a chunk whose bytes differ."""
+    At the beginning of a block, a pool that has grown too large keeps what the last block used.
+    """
 
     def __init__(self, aligner: Aligner) -> None:
         self.aligner = aligner
-        self._known: TwoGenerations[str, _Record | None] = TwoGenerations(REMEMBERED_CHUNKS)
-
-    def of(self, chunks: list[str]) -> list[_Record | None]:
-        """Records of distinct chunks."""
-        found = self._known.find(chunks)
-        new = [chunk for chunk in chunks if chunk not in found]
-        for at in range(0, len(new), ENCODED_AT_ONCE):
-            part = new[at : at + ENCODED_AT_ONCE]
-            made = {c: None if g is None else _Record(g) for c, g in zip(part, self.aligner.groups(part))}
-            found.update(made)
-            self._known.update(made)
-        return [found[chunk] for chunk in chunks]
+        commas, ends = (",", "|"), (",", ";", "\n")
+        self._a_base = 0
+        self._b_base = len(commas) * len(aligner.a_bytes)
+        self._texts = [f"{i}{c}" for i in range(len(aligner.a_bytes)) for c in commas]
+        self._texts += [f"{i}{c}" for i in range(len(aligner.b_bytes)) for c in ends]
+        self.place: dict[str, int] = {}
+        self.digests: list[bytes] = []
+        self.known = np.zeros(0, bool)
+        self.counts = np.zeros((0, 4), np.int64)
+        self.length = np.zeros(0, np.int64)  # distinct pairs of each chunk
+        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def trim(self, used: np.ndarray) -> None:
+        """Keep the chunks of these numbers, if there are too many."""
+        if len(self.place) <= REMEMBERED_CHUNKS:
+            return
+        keep = np.zeros(len(self.digests), bool)
+        keep[used] = True
+        number = (np.cumsum(keep) - 1).tolist()
+        stays = keep.tolist()
+        self.place = {chunk: number[i] for chunk, i in self.place.items() if stays[i]}
+        self.digests = [d for d, k in zip(self.digests, stays) if k]
+        of_pair = np.repeat(keep, self.length)
+        self.pairs, self.times = self.pairs[of_pair], self.times[of_pair]
+        self.known, self.counts, self.length = self.known[keep], self.counts[keep], self.length[keep]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Add distinct new chunks."""
+        for at in range(0, len(chunks), ENCODED_AT_ONCE):
+            part = chunks[at : at + ENCODED_AT_ONCE]
+            aligned = self.aligner.align(part)
+            if aligned is None:
+                good = [c for c in part if self.aligner.gives_back(c)]
+                have = set(good)
+                self._without_tokens([c for c in part if c not in have])
+                part, aligned = good, self.aligner.align(good) if good else None
+            if aligned is not None:
+                self._add(part, aligned)
+
+    def _without_tokens(self, chunks: list[str]) -> None:
+        self.place.update(zip(chunks, range(len(self.digests), len(self.digests) + len(chunks))))
+        self.digests += [b""] * len(chunks)
+        zeros = np.zeros(len(chunks), np.int64)
+        self.known = np.append(self.known, zeros > 0)
+        self.counts = np.concatenate((self.counts, np.zeros((len(chunks), 4), np.int64)))
+        self.length = np.append(self.length, zeros)
+
+    def _add(self, chunks: list[str], x: Aligned) -> None:
+        n, n_groups = len(chunks), len(x.cuts)
+        a_of, b_of = np.bincount(x.a_group, minlength=n_groups), np.bincount(x.b_group, minlength=n_groups)
+        per_chunk = lambda values: np.bincount(x.chunk, values, n).astype(np.int64)
+        counts = np.column_stack((per_chunk(a_of), per_chunk(b_of), per_chunk(np.ones(n_groups)), per_chunk(a_of * b_of)))
+
+        # Distinct ids of each group, and all pairs of them.
+        a_key, a_times = np.unique(x.a_group << 32 | x.a, return_counts=True)
+        b_key, b_times = np.unique(x.b_group << 32 | x.b, return_counts=True)
+        b_size = np.bincount(b_key >> 32, minlength=n_groups)
+        width = b_size[a_key >> 32]
+        left = np.repeat(np.arange(len(a_key)), width)
+        begin = (np.cumsum(b_size) - b_size)[a_key >> 32]
+        right = np.repeat(begin - (np.cumsum(width) - width), width) + np.arange(len(left))
+        pairs = (a_key[left] & 0xFFFFFFFF) << 32 | (b_key[right] & 0xFFFFFFFF)
+
+        # The tokens in the order of the digest, each with the mark that follows it.
+        a_last = np.append(x.a_group[1:] != x.a_group[:-1], True)
+        b_last = np.append(x.b_group[1:] != x.b_group[:-1], True)
+        chunk_last = np.append(x.chunk[1:] != x.chunk[:-1], True)[x.b_group]
+        codes = np.empty(len(x.a) + len(x.b), np.int64)
+        codes[np.arange(len(x.a)) + (np.cumsum(b_of) - b_of)[x.a_group]] = self._a_base + 2 * x.a + a_last
+        codes[np.arange(len(x.b)) + np.cumsum(a_of)[x.b_group]] = self._b_base + 3 * x.b + b_last * (1 + chunk_last)
+        digests = "".join(map(self._texts.__getitem__, codes.tolist())).encode().split(b"\n")[:-1]
+
+        self.place.update(zip(chunks, range(len(self.digests), len(self.digests) + n)))
+        self.digests += digests
+        self.known = np.append(self.known, np.ones(n, bool))
+        self.counts = np.concatenate((self.counts, counts))
+        self.length = np.append(self.length, np.bincount(x.chunk[a_key >> 32], width, n).astype(np.int64))
+        self.pairs = np.append(self.pairs, pairs)
+        self.times = np.append(self.times, a_times[left] * b_times[right])
 
 
 class _Block:
     """Documents whose links are counted together."""
 
-    def __init__(self, records: _Records) -> None:
-        self._records = records
-        self._place: dict[str, int] = {}
-        self._held: list[_Record | None] = []
-        self._rows: list[dict] = []
+    def __init__(self, pool: _Pool) -> None:
+        self._pool = pool
+        self._ids: list = []
+        self._counts: list[np.ndarray] = []
+        self._digests: list[str] = []
         self._chunks: list[np.ndarray] = []
         self.chars = 0
 
-    def add(self, doc_id: object, text: str | None) -> None:
-        text = text or ""
-        self.chars += len(text)
-        digest, numbers, counts, known = hashlib.sha256(), [], np.zeros(4, np.int64), True
-        for n, part in enumerate(chunks_of(text)):
-            # In order of first occurrence, so that a task that runs again numbers alike.
-            new = [chunk for chunk in dict.fromkeys(part) if chunk not in self._place]
-            self._place.update(zip(new, range(len(self._held), len(self._held) + len(new))))
-            self._held += self._records.of(new)
-            own = np.fromiter(map(self._place.__getitem__, part), np.int32, len(part))
-            found = [self._held[i] for i in own.tolist()]
-            if None in found:
-                known = False
+    def __len__(self) -> int:
+        return len(self._ids)
+
+    def add(self, rows: list[tuple[object, str | None]]) -> None:
+        """Rows (doc_id, text) of a few MB, or one of any size."""
+        self.chars += sum(len(text or "") for _, text in rows)
+        small = [list(chunks_of(text or "")) for _, text in rows if len(text or "") <= PIECE_CHARS]
+        self._learn([part for parts in small for part in parts])
+        small.reverse()
+        for doc_id, text in rows:
+            parts = small.pop() if len(text or "") <= PIECE_CHARS else None
+            self._add(doc_id, parts, text or "")
+
+    def _learn(self, parts: list[list[str]]) -> None:
+        # In order of first occurrence.
+        place = self._pool.place
+        self._pool.learn([c for c in dict.fromkeys(chain.from_iterable(parts)) if c not in place])
+
+    def _add(self, doc_id: object, parts: list[list[str]] | None, text: str) -> None:
+        pool, digest, numbers, counts = self._pool, hashlib.sha256(), [], np.zeros(4, np.int64)
+        for n, part in enumerate(chunks_of(text) if parts is None else parts):
+            if parts is None:
+                self._learn([part])
+            own = np.fromiter(map(pool.place.__getitem__, part), np.int32, len(part))
+            if not pool.known[own].all():
+                numbers = []
                 break
-            counts += np.array([r.counts for r in found], np.int64).sum(axis=0)
-            digest.update((b";" if n else b"") + b";".join([r.digest for r in found]))
+            counts += pool.counts[own].sum(axis=0)
+            digest.update((b";" if n else b"") + b";".join(map(pool.digests.__getitem__, own.tolist())))
             numbers.append(own)
-        if not text or not known:
-            counts, numbers = np.zeros(4, np.int64), []
+        self._ids.append(doc_id)
+        self._counts.append(counts if numbers else np.zeros(4, np.int64))
+        self._digests.append(digest.hexdigest() if numbers else "")
         self._chunks.append(np.concatenate(numbers) if numbers else np.zeros(0, np.int32))
-        self._rows.append({"doc_id": doc_id, "counts": counts, "sha": digest.hexdigest() if numbers else ""})
 
     def close(self, block: int, kind: pa.DataType) -> pa.RecordBatch:
         """Rows of the documents, then one that holds the distinct pairs."""
-        n_chunks, n_docs = max(len(self._held), 1), len(self._rows)
-        sizes = np.fromiter(map(len, self._chunks), np.int64, n_docs)
-        owner = np.repeat(np.arange(n_docs), sizes)
+        pool, n_docs = self._pool, len(self)
+        n_chunks = max(len(pool.digests), 1)
+        owner = np.repeat(np.arange(n_docs), [len(x) for x in self._chunks])
         occurring, often = np.unique(owner * n_chunks + np.concatenate(self._chunks), return_counts=True)
         owner, number = occurring // n_chunks, occurring % n_chunks
 
-        records = [r for r in self._held if r is not None]
-        key_of = np.frombuffer(b"".join([r.pairs for r in records]), np.int64)
-        times_of = np.frombuffer(b"".join([r.times for r in records]), np.int64)
-        length = np.fromiter((0 if r is None else len(r.pairs) // 8 for r in self._held), np.int64, len(self._held))
-        pairs, place_of = np.unique(key_of, return_inverse=True)
-        begin = np.cumsum(length) - length
-
-        own = length[number] if len(number) else np.zeros(0, np.int64)
-        first = np.cumsum(own) - own
-        source = np.repeat(begin[number] - first, own) + np.arange(own.sum()) if len(number) else np.zeros(0, np.int64)
+        # The pairs of every chunk of a document, then the sums of equal ones.
+        own = pool.length[number]
+        begin = (np.cumsum(pool.length) - pool.length)[number]
+        source = np.repeat(begin - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        used = np.unique(number)
+        mine = np.zeros(n_chunks, bool)
+        mine[used] = True
+        in_use = np.repeat(mine[: len(pool.length)], pool.length)
+        pairs, inverse = np.unique(pool.pairs[in_use], return_inverse=True)
+        place_of = np.zeros(len(in_use), np.int64)
+        place_of[in_use] = inverse
         n_pairs = max(len(pairs), 1)
         key = np.repeat(owner, own) * n_pairs + place_of[source]
-        weight = times_of[source] * np.repeat(often, own)
+        weight = pool.times[source] * np.repeat(often, own)
         order = np.argsort(key, kind="stable")
         key, weight = key[order], weight[order]
         edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
         key, weight = key[edge], np.add.reduceat(weight, edge) if len(edge) else weight
-        owner, place = key // n_pairs, key % n_pairs
-        bounds = np.searchsorted(owner, np.arange(n_docs + 1)).astype(np.int32)
+        place = key % n_pairs
+        bounds = np.searchsorted(key // n_pairs, np.arange(n_docs + 1)).astype(np.int32)
         linked = np.bincount(place, minlength=len(pairs))
-        # Chunks of documents that turned out to have no tokens may leave pairs that nothing holds.
-        counts = np.array([r["counts"] for r in self._rows], np.int64).reshape(n_docs, 4)
+        counts = np.array(self._counts, np.int64).reshape(n_docs, 4)
+        pool.trim(used)
 
         def lists(values: np.ndarray, of: pa.DataType) -> pa.Array:
             return pa.ListArray.from_arrays(pa.array(np.append(bounds, bounds[-1])), pa.array(values, of))
@@ -285,9 +363,9 @@ class _Block:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([block] * (n_docs + 1), pa.int64()),
-                pa.array([r["doc_id"] for r in self._rows] + [None], kind),
+                pa.array([*self._ids, None], kind),
                 *[pa.array(np.append(counts[:, i], 0)) for i in range(4)],
-                pa.array([r["sha"] for r in self._rows] + [None], pa.string()),
+                pa.array([*self._digests, None], pa.string()),
                 lists(place.astype(np.int32), pa.int32()),
                 lists(weight, pa.int64()),
                 last((pairs >> 32).astype(np.int32)),
@@ -304,37 +382,46 @@ _BLOCK_TYPES = (
     "places array<int>, times array<bigint>, a array<int>, b array<int>, docs array<int>"
 )
 
-_built: dict[tuple[int, int], _Records] = {}
+_built: dict[tuple[int, int], _Pool] = {}
 
 
-def _worker(description: str, model: bytes) -> _Records:
-    """The worker's aligner; it keeps the last one."""
+def _worker(description: str, model: bytes) -> _Pool:
+    """The worker's pool and aligner; it keeps the last one."""
     name = (hash(description), hash(model))
     if name not in _built:
         _built.clear()
-        _built[name] = _Records(Aligner(description, model))
+        _built[name] = _Pool(Aligner(description, model))
     return _built[name]
 
 
+def document_groups(aligner: Aligner, text: str | None) -> list[dict] | None:
+    """Byte positions, in a space and the text, and ids of every group; None where there are no tokens."""
+    out, at = [], 0
+    for part in chunks_of(text or ""):
+        found = aligner.align(part)
+        if found is None:
+            return None
+        starts = np.concatenate(([0], found.cuts[:-1])) + at
+        a_of = np.searchsorted(found.a_group, np.arange(len(found.cuts) + 1)).tolist()
+        b_of = np.searchsorted(found.b_group, np.arange(len(found.cuts) + 1)).tolist()
+        a, b = found.a.tolist(), found.b.tolist()
+        for g, (start, end) in enumerate(zip(starts.tolist(), (found.cuts + at).tolist())):
+            ids = {"a": a[a_of[g] : a_of[g + 1]], "b": b[b_of[g] : b_of[g + 1]]}
+            out.append({"start": start, "end": end, **ids})
+        at += int(found.cuts[-1])
+    return out or None
+
+
 def align(docs: DataFrame, description: str, model: bytes) -> DataFrame:
     """(doc_id, groups) of (doc_id, text): byte positions and ids of every group; NULL where there are no tokens."""
     shared = docs.sparkSession.sparkContext.broadcast((description, model))  # two vocabulary files
     group = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])
 
-    def whole(text: str | None) -> list[dict] | None:
-        aligner, out, at = _worker(*shared.value).aligner, [], 0
-        for part in chunks_of(text or ""):
-            for chunk, found in zip(part, aligner.groups(part)):
-                if found is None:
-                    return None
-                out += [{"start": at + g.start, "end": at + g.end, "a": g.a, "b": g.b} for g in found]
-                at += 1 + len(chunk.encode())
-        return out or None
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = _worker(*shared.value).aligner
         for batch in batches:
             for row in range(batch.num_rows):
-                groups = pa.array([whole(batch.column(1)[row].as_py())], pa.list_(group))
+                groups = pa.array([document_groups(aligner, batch.column(1)[row].as_py())], pa.list_(group))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, 1), groups], ["doc_id", "groups"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -348,16 +435,17 @@ def aligned_blocks(docs: DataFrame, description: str, model: bytes) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast((description, model))  # two vocabulary files
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        records, number = _worker(*shared.value), TaskContext.get().partitionId() << 33
-        block, kind = _Block(records), None
+        pool, number = _worker(*shared.value), TaskContext.get().partitionId() << 33
+        block, kind = _Block(pool), None
         for batch in batches:
             kind = batch.column(0).type
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                block.add(doc_id, text.as_py())
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for first, last in steps(text_bytes(texts)):
+                block.add(list(zip(ids[first:last], texts[first:last].to_pylist())))
                 if block.chars >= BLOCK_CHARS:
                     yield block.close(number, kind)
-                    block, number = _Block(records), number + 1
-        if block._rows:
+                    block, number = _Block(pool), number + 1
+        if len(block):
             yield block.close(number, kind)
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -62,7 +62,7 @@ def brute_groups(text, tokenizers):
     if not text:
         return None
     one, two = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
-    bytes_one, bytes_two = [both._a_bytes[i] for i in one], [both._b_bytes[i] for i in two]
+    bytes_one, bytes_two = [both.a_bytes[i] for i in one], [both.b_bytes[i] for i in two]
     whole = (" " + text).encode()
     if b"".join(bytes_one) != whole or b"".join(bytes_two) != whole:
         return None
@@ -87,18 +87,8 @@ def test_groups_are_those_of_whole_texts(spark, tokenizers, monkeypatch):
     monkeypatch.setattr(alignment, "PIECE_CHARS", 40)
     aligner = alignment.Aligner(*tokenizers)
     for text in ODD:
-        want = brute_groups(text, tokenizers)
-        got, at = [], 0
-        for part in alignment.chunks_of(text or ""):
-            for chunk, groups in zip(part, aligner.groups(part)):
-                if groups is None:
-                    got = None
-                    break
-                got += [(at + g.start, at + g.end, g.a, g.b) for g in groups]
-                at += 1 + len(chunk.encode())
-            if got is None:
-                break
-        assert (got or None) == want, repr(text)
+        got = alignment.document_groups(aligner, text)
+        assert (got and [(g["start"], g["end"], tuple(g["a"]), tuple(g["b"])) for g in got]) == brute_groups(text, tokenizers), repr(text)
     shown = alignment.align(frame(spark, ODD), *tokenizers).collect()
     for row in shown:
         want = brute_groups(ODD[row.doc_id], tokenizers)
