@@ -74,11 +74,6 @@ def release_names(release: DataFrame) -> DataFrame:
     return release.select("id", "name")
 
 
-def official_release_names(release: DataFrame) -> DataFrame:
-    """:func:`release_names` of :func:`official_releases`, in one pass instead of a self-join."""
-    return release.filter(F.col("status") == OFFICIAL).select("id", "name")
-
-
 def earliest_dates(release_country: DataFrame, release_unknown_country: DataFrame) -> DataFrame:
     """Earliest repaired date of every release that has any date row."""
     parts = ["release", "date_year", "date_month", "date_day"]
@@ -132,8 +127,7 @@ def official_tracks(
     return hot.join("track.medium", track, media, "medium", spread=rest).drop("medium")
 
 
-def _candidates(
-    recordings: DataFrame,
+def placed_tracks(
     track: DataFrame,
     medium: DataFrame,
     release: DataFrame,
@@ -141,14 +135,31 @@ def _candidates(
     groups: DataFrame,
     hot: HotKeys,
 ) -> DataFrame:
-    """One row per track of a recording on an official release, with all columns of ``groups``."""
-    official = official_releases(release).select(F.col("id").alias("release"), "release_group")
+    """One row per track on an official release, with what the outputs need of both.
+
+    These are the recording, the normalised titles of track and release, the earliest date, and the
+    columns of ``groups`` (:func:`typed_release_groups`). Election and text lookup read the same rows, so
+    the track table is shuffled once for its medium, and once more for its recording where these rows are
+    stored.
+    """
+    official = release.filter(F.col("status") == OFFICIAL).select(
+        F.col("id").alias("release"), "release_group", norm("name").alias("release_title")
+    )
     grouped = hot.join(
         "release.release_group", official, groups, "release_group", "left", spread=["release"]
     )
     # Dates come last: media are joined on the release too, and find the rows placed for it.
-    dated = grouped.join(dates, "release", "left")
-    tracks = official_tracks(track.select("recording", "medium"), medium, dated, hot)
+    dated = grouped.join(dates, "release", "left").drop("release_group")
+    tracks = official_tracks(track.select("recording", "medium", "name"), medium, dated, hot)
+    return tracks.withColumn("track_title", norm("name")).drop("name")
+
+
+# Columns that tell the placed tracks of one recording apart.
+PLACED_SPREAD = ["release", "track_title"]
+
+
+def _candidates(recordings: DataFrame, placed: DataFrame, hot: HotKeys) -> DataFrame:
+    """One row per track of a recording on an official release, with its score."""
     own = recordings.select(
         F.col("id").alias("recording"),
         F.col("gid").alias("recording_mbid"),
@@ -157,7 +168,7 @@ def _candidates(
         "artist_credit",
         "length_bucket",
     )
-    pairs = hot.join("track.recording", tracks, own, "recording", spread=["release"])
+    pairs = hot.join_placed("track.recording", placed.drop("track_title", "release_title"), own, "recording")
     bonus = credit_bonus(F.col("release_group_artist_credit"), F.col("artist_credit"))
     date = F.coalesce("normalized_release_date", F.lit(UNKNOWN_DATE))
     # A release without a release group has no type, and an unknown type scores 0.
@@ -181,8 +192,9 @@ def score_candidates(
     """
     hot = hot or HotKeys.find(track_keys(track, medium, release))
     groups = typed_release_groups(release_group, rg_type)
-    rows = _candidates(recordings, track, medium, release, dates, groups, hot)
-    return rows.select(*SCORED_COLUMNS)
+    rows = placed_tracks(track, medium, release, dates, groups, hot)
+    placed, _ = hot.place("track.recording", rows, "recording", spread=PLACED_SPREAD)
+    return _candidates(recordings, placed, hot).select(*SCORED_COLUMNS)
 
 
 def _best_of_cluster(scored: DataFrame) -> DataFrame:
@@ -210,26 +222,14 @@ def canonical_rank(scored: DataFrame) -> DataFrame:
     return winners.select(*[c for c in RANK_COLUMNS if c in winners.columns])
 
 
-def elect(
-    recordings: DataFrame,
-    track: DataFrame,
-    medium: DataFrame,
-    release: DataFrame,
-    dates: DataFrame,
-    release_group: DataFrame,
-    rg_type: DataFrame,
-    hot: HotKeys | None = None,
-) -> DataFrame:
+def elect(recordings: DataFrame, placed: DataFrame, hot: HotKeys) -> DataFrame:
     """The columns of ``canonical_rank(score_candidates(...))`` but for title and type.
 
-    Those two follow from the release group, so the outputs fetch them once per elected group
-    instead of carrying them through every shuffle of the track table.
+    ``placed`` holds :func:`placed_tracks` as :meth:`HotKeys.place` wants them for ``track.recording``. Title
+    and type follow from the release group, so the outputs fetch them once per elected group.
     """
-    hot = hot or HotKeys.find(track_keys(track, medium, release))
-    groups = typed_release_groups(release_group, rg_type).drop(*TITLE_COLUMNS)
-    rows = _candidates(recordings, track, medium, release, dates, groups, hot)
     slim = [c for c in SCORED_COLUMNS if c not in TITLE_COLUMNS]
-    return canonical_rank(rows.select(*slim))
+    return canonical_rank(_candidates(recordings, placed, hot).select(*slim))
 
 
 def cluster_keys(recordings: DataFrame) -> dict[str, DataFrame]:

@@ -6,39 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.functions import has_provider, norm, url_identifier, url_provider
-from cratewise.operators.canonical import (
-    official_release_names,
-    official_tracks,
-    track_keys,
-)
-from cratewise.operators.dimensions import credit_keys, primary_artists
+from cratewise.operators.dimensions import primary_artists
 from cratewise.operators.skew import HotKeys
 
 
 def text_lookup(
     members: DataFrame,
-    track: DataFrame,
-    medium: DataFrame,
-    release: DataFrame,
+    placed: DataFrame,
     artist_credit_name: DataFrame,
     artist: DataFrame,
-    hot: HotKeys | None = None,
+    hot: HotKeys,
 ) -> DataFrame:
     """Distinct ``(track_title, release_title, artist_name, recording_mbid)``, titles normalised.
 
-    ``members`` comes from :func:`cratewise.operators.canonical.cluster_members`. Titles of official
+    ``members`` comes from :func:`cratewise.operators.canonical.cluster_members` and ``placed`` from
+    :func:`cratewise.operators.canonical.placed_tracks`, stored for ``track.recording``. Titles of official
     releases only. Release and artist names are normalised once per release and artist, and artists
     meet the recordings before the far more numerous tracks do.
     """
-    hot = hot or HotKeys.find(
-        {**track_keys(track, medium, release), **credit_keys(members, artist_credit_name)}
-    )
-    titles = official_release_names(release).select(
-        F.col("id").alias("release"), norm("name").alias("release_title")
-    )
-    tracks = official_tracks(
-        track.select("recording", "medium", "name"), medium, titles, hot
-    ).select("recording", norm("name").alias("track_title"), "release_title")
     names = primary_artists(artist_credit_name, artist, hot).select(
         "artist_credit", norm("artist_name").alias("artist_name")
     )
@@ -53,14 +38,9 @@ def text_lookup(
         "artist_credit",
         spread=["recording"],
     )
+    titles = [c for c in placed.columns if c in ("recording", "_salt", "track_title", "release_title")]
     return (
-        hot.join(
-            "track.recording",
-            tracks,
-            named,
-            "recording",
-            spread=["track_title", "release_title"],
-        )
+        hot.join_placed("track.recording", placed.select(*titles), named, "recording")
         .select("track_title", "release_title", "artist_name", "recording_mbid")
         .distinct()
     )

@@ -13,7 +13,7 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -123,33 +123,64 @@ class HotKeys:
                     raise TypeError(f"key {key!r} is {left} on one side and {right} on the other")
                 facts = facts.withColumn(key, F.col(key).cast("bigint"))
                 dim = dim.withColumn(key, F.col(key).cast("bigint"))
-        # No row of the other side matches a NULL, so such rows may go anywhere.
-        row_hash = F.xxhash64(*spread, F.spark_partition_id())
-        no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
-        anywhere = F.pmod(row_hash, F.lit(NULL_SALTS)).cast("int")
         if fact not in self._facts:
             if how == "inner":
                 return facts.join(dim, keys, how)
+            no_key, anywhere, _ = _salts(keys, spread)
             spread_facts = facts.withColumn("_salt", F.when(no_key, anywhere).otherwise(0))
             one_salt = dim.withColumn("_salt", F.when(no_key, -1).otherwise(0))
             return spread_facts.join(one_salt, [*keys, "_salt"], how).drop("_salt")
+        if how == "inner":
+            facts = facts.dropna(subset=keys)
+        salted = self._salted(fact, facts, keys, spread)
+        return salted.join(self._replicated(fact, dim, keys), [*keys, "_salt"], how).drop("_salt")
 
-        hot = F.broadcast(
-            self._keys.filter(F.col("fact") == self._facts[fact]).select("key_hash", "salts")
-        )
-        hashed = F.xxhash64(*keys) == F.col("key_hash")
-        own_salt = F.when(no_key, anywhere).otherwise(
-            F.coalesce(F.pmod(row_hash, F.col("salts")), F.lit(0)).cast("int")
+    def place(self, fact: str, facts: DataFrame, on: str, *, spread: Sequence[str]) -> tuple[DataFrame, list[str]]:
+        """``facts`` as :meth:`join_placed` wants them stored, and the columns to deal them out by.
+
+        Rows without a key are left out, as in any inner join.
+        """
+        kept = facts.dropna(subset=[on])
+        if fact not in self._facts:
+            return kept, [on]
+        return self._salted(fact, kept, [on], spread), [on, "_salt"]
+
+    def join_placed(self, fact: str, placed: DataFrame, dim: DataFrame, on: str) -> DataFrame:
+        """Inner join of facts that were stored by the columns of :meth:`place`: they are not shuffled again.
+
+        A key of another type on the other side is cast there; a cast of the stored one would cost the shuffle.
+        """
+        if fact not in self._facts:
+            return placed.join(dim.withColumn(on, F.col(on).cast(placed.schema[on].dataType)), on)
+        typed = dim.withColumn(on, F.col(on).cast(placed.schema[on].dataType))
+        return placed.join(self._replicated(fact, typed, [on]), [on, "_salt"]).drop("_salt")
+
+    def _hot(self, fact: str) -> DataFrame:
+        found = self._keys.filter(F.col("fact") == self._facts[fact])
+        return F.broadcast(found.select("key_hash", "salts"))
+
+    def _salted(self, fact: str, facts: DataFrame, keys: list[str], spread: Sequence[str]) -> DataFrame:
+        no_key, anywhere, row_hash = _salts(keys, spread)
+        own = F.coalesce(F.pmod(row_hash, F.col("salts")), F.lit(0)).cast("int")
+        return facts.join(self._hot(fact), F.xxhash64(*keys) == F.col("key_hash"), "left").select(
+            *facts.columns, F.when(no_key, anywhere).otherwise(own).alias("_salt")
         )
-        every_salt = F.when(F.col("salts").isNull(), F.array(F.lit(0))).otherwise(
+
+    def _replicated(self, fact: str, dim: DataFrame, keys: list[str]) -> DataFrame:
+        """The other side, once for each salt of its key."""
+        every = F.when(F.col("salts").isNull(), F.array(F.lit(0))).otherwise(
             F.sequence(F.lit(0), F.col("salts") - 1)
         )
-        if how == "inner":
-            facts = facts.dropna(subset=keys)
-        salted_facts = facts.join(hot, hashed, "left").select(
-            *facts.columns, own_salt.alias("_salt")
-        )
-        salted_dim = dim.join(hot, hashed, "left").select(
-            *dim.columns, F.explode(every_salt).alias("_salt")
+        return dim.join(self._hot(fact), F.xxhash64(*keys) == F.col("key_hash"), "left").select(
+            *dim.columns, F.explode(every).alias("_salt")
         )
-        return salted_facts.join(salted_dim, [*keys, "_salt"], how).drop("_salt")
+
+
+def _salts(keys: Sequence[str], spread: Sequence[str]) -> tuple[Column, Column, Column]:
+    """Whether a key is missing, the salt of such a row, and the hash that tells rows apart.
+
+    No row of the other side matches a NULL, so rows without a key may go anywhere.
+    """
+    row_hash = F.xxhash64(*spread, F.spark_partition_id())
+    no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
+    return no_key, F.pmod(row_hash, F.lit(NULL_SALTS)).cast("int"), row_hash

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cratewise.operators import canonical, checks, dimensions, lookups
 from cratewise.operators.skew import ROWS_PER_SALT, HotKeys
@@ -21,8 +22,8 @@ from cratewise.sources.tsv import load_all, load_audit, with_dump_version
 class Catalogue:
     """Shared intermediates and outputs over one set of catalogue tables.
 
-    The three frames that several outputs read are staged on first use: normalised recordings, rank
-    and cluster members. Everything else stays lazy.
+    The four frames that several outputs read are staged on first use: normalised recordings, tracks on
+    official releases, rank and cluster members. Everything else stays lazy.
     """
 
     tables: Mapping[str, DataFrame]
@@ -59,19 +60,25 @@ class Catalogue:
         )
 
     @cached_property
-    def rank(self) -> DataFrame:
+    def placed(self) -> DataFrame:
+        """Tracks on official releases, stored by their recording for the election and the text lookup."""
         t = self.tables
-        elected = canonical.elect(
-            self.recordings,
+        groups = canonical.typed_release_groups(t["release_group"], t["rg_type"])
+        rows = canonical.placed_tracks(
             t["track"],
             t["medium"],
             t["release"],
             self.dates,
-            t["release_group"],
-            t["rg_type"],
+            groups.drop(*canonical.TITLE_COLUMNS),
             self.hot,
         )
-        return self.stage.save("rank", elected)
+        rows = rows.withColumn("recording", F.col("recording").cast(self.recordings.schema["id"].dataType))
+        placed, keys = self.hot.place("track.recording", rows, "recording", spread=canonical.PLACED_SPREAD)
+        return self.stage.save_bucketed("placed", placed, keys)
+
+    @cached_property
+    def rank(self) -> DataFrame:
+        return self.stage.save("rank", canonical.elect(self.recordings, self.placed, self.hot))
 
     @cached_property
     def members(self) -> DataFrame:
@@ -107,15 +114,7 @@ class Catalogue:
         return dimensions.release_group_credits(self.rank, *self._credit_tables, self.hot)
 
     def text_lookup(self) -> DataFrame:
-        t = self.tables
-        return lookups.text_lookup(
-            self.members,
-            t["track"],
-            t["medium"],
-            t["release"],
-            *self._credit_tables,
-            self.hot,
-        )
+        return lookups.text_lookup(self.members, self.placed, *self._credit_tables, self.hot)
 
     def link_lookup(self) -> DataFrame:
         return lookups.link_lookup(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -50,6 +50,25 @@ class Stage:
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def save_bucketed(self, name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """:meth:`save` as a table dealt out by ``keys``, as shuffles are.
+
+        Joins on exactly these keys read it as it lies; only their other side is shuffled. There are as many
+        buckets as shuffle partitions, with one sorted file for each. The table's name lives in the session's
+        catalogue and its files in the stage folder.
+        """
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = re.sub(r"\W", "_", f"{self.path.rsplit('/', 1)[-1]}_{name}")
+        (
+            df.repartition(buckets, *keys)
+            .write.format("parquet")
+            .bucketBy(buckets, *keys)
+            .sortBy(*keys)
+            .option("path", f"{self.path}/{name}")
+            .saveAsTable(table)
+        )
+        return self.spark.table(table)
+
     def save_all(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         """:meth:`save` of independent frames, side by side."""
         return dict(zip(frames, run_together(lambda item: self.save(*item), frames.items())))
