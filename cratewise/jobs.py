@@ -1,6 +1,7 @@
-"""Jobs for ``spark-submit``: build the lookup tables, cut a sample, resolve listening history.
+"""Jobs for ``spark-submit``: build the lookup tables, tidy their folder, cut a sample, resolve listening history.
 
     spark-submit --py-files cratewise.zip cratewise/jobs.py build DUMP OUT --dump-version 20260101-000000
+    spark-submit --py-files cratewise.zip cratewise/jobs.py tidy OUT --keep 2
     spark-submit --py-files cratewise.zip cratewise/jobs.py sample DUMP OUT --releases 50
     spark-submit --py-files cratewise.zip cratewise/jobs.py history HISTORY TABLES OUT
 
@@ -19,7 +20,8 @@ from cratewise.operators.sample import SAMPLE_RELEASES
 from cratewise.plans.build import build
 from cratewise.plans.sample_dump import sample_dump
 from cratewise.sources.history import read_history
-from cratewise.sources.sinks import read_target
+from cratewise.sources.sinks import read_targets
+from cratewise.sources.snapshots import SnapshotStore
 from cratewise.sources.stage import Stage
 
 
@@ -34,13 +36,20 @@ def sample_job(spark: SparkSession, args: argparse.Namespace) -> None:
 def history_job(spark: SparkSession, args: argparse.Namespace) -> None:
     """Write ``plays``, every play with its recording and album, and ``albums``, the plays of each album."""
     names = ("link_lookup", "text_lookup", "recording", "release_group")
-    links, texts, recording, groups = [read_target(spark, args.tables, n, args.dump_version) for n in names]
+    links, texts, recording, groups = read_targets(spark, args.tables, names, args.dump_version).values()
     plays = Stage(spark).save("plays", read_history(spark, args.history, args.lines))
     resolve_history(plays, links, texts, recording).write.mode("overwrite").parquet(f"{args.out}/plays")
     albums = plays_per_release_group(plays, links, texts, recording, groups)
     albums.write.mode("overwrite").parquet(f"{args.out}/albums")
 
 
+def tidy_job(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Remove replaced sets of tables, and what killed builds left behind."""
+    store = SnapshotStore(spark, args.out)
+    gone = store.expire(args.keep) + store.remove_orphans(args.hours)
+    print(f"removed {len(gone)} sets of tables")
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="cratewise", description=__doc__.splitlines()[0])
     jobs = top.add_subparsers(required=True)
@@ -51,6 +60,12 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--dump-version", help="tag of the dump; versions live side by side")
     job.set_defaults(run=build_job)
 
+    job = jobs.add_parser("tidy", help="remove replaced and abandoned sets of tables")
+    job.add_argument("out")
+    job.add_argument("--keep", type=int, default=2, help="snapshots that stay readable")
+    job.add_argument("--hours", type=float, default=72, help="age from which an uncommitted set is abandoned")
+    job.set_defaults(run=tidy_job)
+
     job = jobs.add_parser("sample", help="a referentially closed sample of a dump")
     job.add_argument("dump")
     job.add_argument("out")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
@@ -13,7 +12,8 @@ from pyspark.sql import functions as F
 from cratewise.operators import canonical, checks, dimensions, lookups
 from cratewise.operators.skew import ROWS_PER_SALT, HotKeys
 from cratewise.sources.manifest import TableSpec, catalogue_manifest
-from cratewise.sources.sinks import TARGETS, laid_out, read_target, with_surrogate_id, write_target
+from cratewise.sources.sinks import TARGETS, laid_out, read_written, with_surrogate_id, write_target
+from cratewise.sources.snapshots import SnapshotStore
 from cratewise.sources.stage import Stage, run_together
 from cratewise.sources.tsv import load_all, load_audit, with_dump_version
 
@@ -152,17 +152,21 @@ def build(
     compression: str = "zstd",
     check: bool = True,
     rows_per_salt: int = ROWS_PER_SALT,
+    keep_snapshots: int = 2,
 ) -> BuildReport:
     """Run the whole job and return the written tables with the row counts of the loaded ones.
 
-    With a ``dump_version`` each table goes to ``<table>/dump_version=<version>``, so that versions
-    live side by side and readers see the tag as a column. ``check`` fails the job on a duplicate key
-    or a missing required value, as declared constraints would. Tables are written beside their targets
-    and take their places by renaming once all of them are written and checked.
+    The tables are written to a new folder and checked there; then one commit makes all seven of them
+    current at once (:mod:`cratewise.sources.snapshots`). With a ``dump_version`` they become that version,
+    which lives beside the others, and the returned tables carry the tag as a column. ``check`` fails
+    the job on a duplicate key or a missing required value, as declared constraints would. Sets that were
+    replaced more than ``keep_snapshots - 1`` commits ago are removed; until then readers may finish.
     """
     stage = Stage(spark)
     tables = ingest(spark, input_dir, stage)
     catalogue = Catalogue(tables, stage, rows_per_salt)
+    store = SnapshotStore(spark, output_dir)
+    fresh = store.new_folder()
 
     def write(output: tuple[str, DataFrame]) -> DataFrame:
         name, df = output
@@ -171,38 +175,23 @@ def build(
             # Ids follow the layout order, so ranges of ids are ranges of the layout.
             df = laid_out(with_surrogate_id(df, target.layout, stage), "id")
         write_target(df, f"{fresh}/{name}", target, compression, sort=name != "text_lookup")
-        return read_target(spark, fresh, name)
+        return read_written(spark, f"{fresh}/{name}", name)
 
-    fresh = f"{output_dir}/.building-{uuid.uuid4().hex}"
     outputs = catalogue.outputs()
-    written = dict(zip(outputs, run_together(write, outputs.items())))
-    if check:
-        assert_integrity(written)
-    version = f"/dump_version={dump_version}" if dump_version else ""
-    for name in written:
-        _replace(spark, f"{fresh}/{name}", f"{output_dir}/{name}{version}")
-    _remove(spark, fresh)
-    written = {name: read_target(spark, output_dir, name, dump_version) for name in written}
+    try:
+        written = dict(zip(outputs, run_together(write, outputs.items())))
+        if check:
+            assert_integrity(written)
+    except Exception:
+        store.discard(fresh)
+        raise
+    store.commit(fresh, written, dump_version)
+    store.expire(keep_snapshots)
     if dump_version:
         written = {name: with_dump_version(df, dump_version) for name, df in written.items()}
     return BuildReport(written, load_audit(tables))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def _replace(spark: SparkSession, source: str, target: str) -> None:
-    """Put a written folder in the place of another one."""
-    place = spark._jvm.org.apache.hadoop.fs.Path
-    files = place(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(place(target), True)
-    files.mkdirs(place(target).getParent())
-    if not files.rename(place(source), place(target)):
-        raise OSError(f"{source} could not be moved to {target}")
-
-
 def assert_integrity(outputs: Mapping[str, DataFrame]) -> None:
     """Raise when a primary key repeats or a required column is NULL."""
     # Both reports hold one row for each declared key or column.

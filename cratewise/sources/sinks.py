@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cratewise.sources.snapshots import SnapshotStore
 from cratewise.sources.stage import Stage
 
 
@@ -154,9 +157,36 @@ def write_target(
     writer.parquet(path)
 
 
-def read_target(spark: SparkSession, folder: str, name: str, dump_version: str | None = None) -> DataFrame:
-    """A written output table, or the version of it that ``dump_version`` names, in declared order."""
+def read_written(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """An output table from its own folder, in declared order."""
     schema = TARGETS[name].schema
-    version = f"/dump_version={dump_version}" if dump_version else ""
     # Reading puts partition columns last.
-    return spark.read.schema(schema).parquet(f"{folder}/{name}{version}").select(*schema.names)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def read_targets(
+    spark: SparkSession, folder: str, names: Iterable[str] = tuple(TARGETS), dump_version: str | None = None
+) -> dict[str, DataFrame]:
+    """Output tables of one snapshot: the current one, or the current one of ``dump_version``."""
+    store = SnapshotStore(spark, folder)
+    snapshot = store.latest()
+    return {name: read_written(spark, store.table_path(snapshot, name, dump_version), name) for name in names}
+
+
+def read_target(spark: SparkSession, folder: str, name: str, dump_version: str | None = None) -> DataFrame:
+    """One output table; tables that belong together are read by one call of :func:`read_targets`."""
+    return read_targets(spark, folder, [name], dump_version)[name]
+
+
+def read_versions(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """All tagged versions of an output table side by side, with the tag as a column."""
+    store = SnapshotStore(spark, folder)
+    snapshot = store.latest()
+    tags = sorted(tag for tag in snapshot.versions if tag) if snapshot else []
+    if not tags:
+        raise FileNotFoundError(f"{folder} has no tagged version of {name}")
+    tagged = [
+        read_written(spark, store.table_path(snapshot, name, tag), name).withColumn("dump_version", F.lit(tag))
+        for tag in tags
+    ]
+    return reduce(DataFrame.unionByName, tagged)

@@ -7,7 +7,7 @@ from cratewise.operators import checks
 from cratewise.plans.build import Catalogue, assert_integrity, build
 from cratewise.plans.sample_dump import sample_dump
 from cratewise.sources.manifest import catalogue_manifest
-from cratewise.sources.sinks import TARGETS, with_surrogate_id
+from cratewise.sources.sinks import TARGETS, read_target, read_versions, with_surrogate_id
 from cratewise.sources.stage import Stage
 from cratewise.sources.tsv import load_all
 from verification.adapters import catalogue_tables
@@ -52,7 +52,7 @@ def test_written_tables_have_the_declared_columns(spark, built):
     for name, target in TARGETS.items():
         fields = [(f.name, f.dataType.simpleString()) for f in target.schema.fields]
         assert report.outputs[name].drop("dump_version").dtypes == fields
-        assert spark.read.parquet(f"{out}/{name}").first().dump_version == "20260101-000000"
+        assert read_versions(spark, out, name).first().dump_version == "20260101-000000"
 
 
 def test_a_failing_check_leaves_the_old_tables(spark, dump, tmp_path, monkeypatch):
@@ -65,7 +65,7 @@ def test_a_failing_check_leaves_the_old_tables(spark, dump, tmp_path, monkeypatc
     monkeypatch.setattr("cratewise.plans.build.assert_integrity", broken)
     with pytest.raises(ValueError, match="broken"):
         build(spark, dump, out)
-    assert spark.read.parquet(f"{out}/recording").count() == old
+    assert read_target(spark, out, "recording").count() == old
 
 
 def test_text_lookup_files_are_sorted_ranges(spark, built):
@@ -180,5 +180,5 @@ def test_sample_of_a_sample_builds(spark, dump, tmp_path):
     sample_dump(spark, dump, str(tmp_path / "sample"), n_releases=400)
     report = build(spark, str(tmp_path / "sample"), str(tmp_path / "out"))
     assert report.outputs["recording"].count() > 0
-    layout = (tmp_path / "out" / "link_lookup").glob("provider=*")
-    assert all(p.name.split("=")[1] in {"spotify", "applemusic", "tidal"} for p in layout)
+    layout = list((tmp_path / "out" / "data").glob("*/link_lookup/provider=*"))
+    assert layout and all(p.name.split("=")[1] in {"spotify", "applemusic", "tidal"} for p in layout)
