@@ -1,6 +1,7 @@
 """Jobs for ``spark-submit``: build the lookup tables, tidy their folder, cut a sample, resolve listening history.
 
     spark-submit --py-files cratewise.zip cratewise/jobs.py build DUMP OUT --dump-version 20260101-000000
+    spark-submit --py-files cratewise.zip cratewise/jobs.py update OLD_DUMP DUMP OUT --old-version A --new-version B
     spark-submit --py-files cratewise.zip cratewise/jobs.py tidy OUT --keep 2
     spark-submit --py-files cratewise.zip cratewise/jobs.py sample DUMP OUT --releases 50
     spark-submit --py-files cratewise.zip cratewise/jobs.py history HISTORY TABLES OUT
@@ -18,6 +19,7 @@ from pyspark.sql import SparkSession
 from cratewise.operators.history import plays_per_release_group, resolve_history
 from cratewise.operators.sample import SAMPLE_RELEASES
 from cratewise.plans.build import build
+from cratewise.plans.delta import update
 from cratewise.plans.sample_dump import sample_dump
 from cratewise.sources.history import read_history
 from cratewise.sources.sinks import read_targets
@@ -43,6 +45,11 @@ def history_job(spark: SparkSession, args: argparse.Namespace) -> None:
     albums.write.mode("overwrite").parquet(f"{args.out}/albums")
 
 
+def update_job(spark: SparkSession, args: argparse.Namespace) -> None:
+    report = update(spark, args.old_dump, args.new_dump, args.out, args.old_version, args.new_version)
+    report.audit.show(truncate=False)
+
+
 def tidy_job(spark: SparkSession, args: argparse.Namespace) -> None:
     """Remove replaced sets of tables, and what killed builds left behind."""
     store = SnapshotStore(spark, args.out)
@@ -60,6 +67,14 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--dump-version", help="tag of the dump; versions live side by side")
     job.set_defaults(run=build_job)
 
+    job = jobs.add_parser("update", help="the tables of a new dump from those of the old one")
+    job.add_argument("old_dump")
+    job.add_argument("new_dump")
+    job.add_argument("out")
+    job.add_argument("--old-version", help="tag of the tables of the old dump")
+    job.add_argument("--new-version", help="tag of the new tables")
+    job.set_defaults(run=update_job)
+
     job = jobs.add_parser("tidy", help="remove replaced and abandoned sets of tables")
     job.add_argument("out")
     job.add_argument("--keep", type=int, default=2, help="snapshots that stay readable")

@@ -18,6 +18,10 @@ from cratewise.sources.stage import Stage, run_together
 from cratewise.sources.tsv import load_all, load_audit, with_dump_version
 
 
+# The elected rank, which is stored with the outputs but is none of them.
+RANK = "_rank"
+
+
 @dataclass
 class Catalogue:
     """Shared intermediates and outputs over one set of catalogue tables.
@@ -165,31 +169,52 @@ def build(
     stage = Stage(spark)
     tables = ingest(spark, input_dir, stage)
     catalogue = Catalogue(tables, stage, rows_per_salt)
+    written = publish(
+        spark, catalogue.outputs(), catalogue.rank, stage, output_dir, dump_version, compression, check, keep_snapshots
+    )
+    return BuildReport(written, load_audit(tables))
+
+
+def publish(
+    spark: SparkSession,
+    outputs: Mapping[str, DataFrame],
+    rank: DataFrame,
+    stage: Stage,
+    output_dir: str,
+    dump_version: str | None,
+    compression: str,
+    check: bool,
+    keep_snapshots: int,
+) -> dict[str, DataFrame]:
+    """Write, check and commit the outputs, and the rank beside them for the next delta build."""
     store = SnapshotStore(spark, output_dir)
     fresh = store.new_folder()
 
-    def write(output: tuple[str, DataFrame]) -> DataFrame:
+    def write(output: tuple[str, DataFrame]) -> None:
         name, df = output
+        if name == RANK:
+            df.write.option("compression", compression).parquet(f"{fresh}/{name}")
+            return
         target = TARGETS[name]
         if name == "text_lookup":
             # Ids follow the layout order, so ranges of ids are ranges of the layout.
             df = laid_out(with_surrogate_id(df, target.layout, stage), "id")
         write_target(df, f"{fresh}/{name}", target, compression, sort=name != "text_lookup")
-        return read_written(spark, f"{fresh}/{name}", name)
 
-    outputs = catalogue.outputs()
+    tables = {**outputs, RANK: rank}
     try:
-        written = dict(zip(outputs, run_together(write, outputs.items())))
+        run_together(write, tables.items())
+        written = {name: read_written(spark, f"{fresh}/{name}", name) for name in outputs}
         if check:
             assert_integrity(written)
     except Exception:
         store.discard(fresh)
         raise
-    store.commit(fresh, written, dump_version)
+    store.commit(fresh, tables, dump_version)
     store.expire(keep_snapshots)
     if dump_version:
         written = {name: with_dump_version(df, dump_version) for name, df in written.items()}
-    return BuildReport(written, load_audit(tables))
+    return written
 
 
 def assert_integrity(outputs: Mapping[str, DataFrame]) -> None:

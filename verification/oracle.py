@@ -471,6 +471,7 @@ _SELECTS = {
 }
 _SELECTS |= {f"built_{table}": _built(table) for table in _REQUIRED}
 _SELECTS |= {f"salted_{table}": f"FROM out_{table}" for table in _REQUIRED}
+_SELECTS |= {f"delta_{table}": f"FROM out_{table}" for table in ("recording", "text_lookup", "link_lookup", "artists")}
 _SELECTS |= {
     "built_load_audit": _SELECTS["load_audit"],
     "sampled_dump": _SELECTS["closed_sample_counts"],

@@ -11,6 +11,7 @@ from cratewise import functions as cf
 from cratewise.operators import canonical, checks, dimensions, history, sample
 from cratewise.operators.skew import ROWS_PER_SALT
 from cratewise.plans.build import BuildReport, Catalogue, build
+from cratewise.plans.delta import delta_outputs
 from cratewise.plans.sample_dump import sample_dump
 from cratewise.sources.history import read_history
 from cratewise.sources.manifest import catalogue_manifest
@@ -27,6 +28,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 SALTED_ROWS = 200
 DUMP_VERSION = "20260101-000000"
 
+# Outputs that are registered by way of a delta build too.
+DELTA_OUTPUTS = ("recording", "text_lookup", "link_lookup", "artists")
+
 # Plays per file where the history is written as JSON arrays.
 FILE_PLAYS = 1_000
 
@@ -164,6 +168,45 @@ def built_not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.not_null_violations(_build(spark, sf_dir).outputs)
 
 
+def earlier_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """An earlier version of the views: rows of every table that differ, are missing or are more."""
+    t = dict(tables)
+    key = F.col("id")
+    t["recording"] = t["recording"].filter(key % 89 != 3).withColumns(
+        {
+            "name": F.when(key % 97 == 0, F.concat("name", F.lit(" early"))).otherwise(F.col("name")),
+            "length": F.when(key % 83 == 5, F.col("length") + 90_000).otherwise(F.col("length")),
+        }
+    )
+    more = t["track"].filter(key % 101 == 0).withColumn("id", -key)
+    t["track"] = t["track"].filter(key % 71 != 0).unionByName(more)
+    t["medium"] = t["medium"].withColumn("release", F.when(key % 73 == 0, F.col("release") + 1).otherwise(F.col("release")))
+    status = F.when(key % 67 == 0, F.lit(1)).otherwise(F.col("status"))
+    t["release"] = t["release"].withColumn("status", status.cast(t["release"].schema["status"].dataType))
+    kind = F.when(key % 59 == 0, F.lit(1)).otherwise(F.col("type"))
+    t["release_group"] = t["release_group"].withColumn("type", kind.cast(t["release_group"].schema["type"].dataType))
+    t["release_country"] = t["release_country"].filter("release % 53 != 0")
+    t["release_unknown_country"] = t["release_unknown_country"].filter("release % 47 != 0")
+    t["artist"] = t["artist"].withColumn("name", F.when(key % 29 == 0, F.lit("Early")).otherwise(F.col("name")))
+    t["artist_credit_name"] = t["artist_credit_name"].filter("artist_credit % 31 != 0 or position = 0")
+    t["url"] = t["url"].withColumn("url", F.when(key % 37 == 0, F.lit("https://early.example/")).otherwise(F.col("url")))
+    t["l_recording_url"] = t["l_recording_url"].filter("entity1 % 41 != 0")
+    t["l_artist_url"] = t["l_artist_url"].filter("entity1 % 43 != 0")
+    return t
+
+
+def _delta(name: str) -> Query:
+    """An output of the views by way of an earlier version of them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        later = _catalogue(spark, sf_dir)
+        first = Catalogue(earlier_tables(dict(later.tables)), Stage(spark))
+        outputs = first.stage.save_all(first.outputs())
+        return delta_outputs(first.tables, later.tables, outputs, first.rank, later.stage)[0][name]
+
+    return run
+
+
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_audit(catalogue_tables(spark, sf_dir))
 
@@ -364,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "built_pk_violations": built_pk_violations,
     "built_not_null_violations": built_not_null_violations,
     **{f"salted_{name}": _output(name, SALTED_ROWS) for name in TARGETS},
+    **{f"delta_{name}": _delta(name) for name in DELTA_OUTPUTS},
     "sampled_dump": sampled_dump,
     "history_scan": history_scan,
     "history_scan_lines": history_scan_lines,
