@@ -270,6 +270,9 @@ def cluster_members(
 def canonical_map(
     recordings: DataFrame, rank: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
-    """``(recording_id, recording_mbid, canonical_recording_mbid)``, distinct."""
+    """``(recording_id, recording_mbid, canonical_recording_mbid)``, one row for each recording.
+
+    A recording id is unique and so is the cluster key of the rank, so the rows are distinct as they are.
+    """
     members = cluster_members(recordings, rank, hot)
-    return members.select("recording_id", "recording_mbid", "canonical_recording_mbid").distinct()
+    return members.select("recording_id", "recording_mbid", "canonical_recording_mbid")

@@ -114,3 +114,19 @@ def lookup_cardinality(outputs: Mapping[str, DataFrame]) -> DataFrame:
             F.coalesce("texts", F.lit(0)).alias("texts"),
         )
     )
+
+
+def stored_layout(outputs: Mapping[str, DataFrame]) -> DataFrame:
+    """``(table_name, folder, codec, row_count)`` of written tables: their partition folders, empty where
+    they have none, and the codec, both as Spark names its files."""
+    parts = [
+        df.select(
+            F.lit(name).alias("table_name"),
+            F.regexp_extract(F.input_file_name(), r"/([^/]+=[^/]+)/[^/]+$", 1).alias("folder"),
+            F.regexp_extract(F.input_file_name(), r"\.([a-z0-9]+)\.parquet$", 1).alias("codec"),
+        )
+        for name, df in outputs.items()
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy("table_name", "folder", "codec").agg(
+        F.count(F.lit(1)).alias("row_count")
+    )

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cratewise.sources.sinks import with_surrogate_id
 from cratewise.sources.stage import Stage
 
 SAMPLE_RELEASES = 50
@@ -47,10 +48,10 @@ def sample_keys(
     narrows a large table by the sets before it, so its result is staged for the steps after it. The
     sets grow with the sample only, and Spark broadcasts them while they are small.
     """
-    seed = stage.save(
-        "seed",
-        tables["release"].select("id", "release_group", "artist_credit").orderBy("id").limit(n_releases),
-    )
+    rows = tables["release"].select(F.col("id").alias("release"), "release_group", "artist_credit")
+    # Numbered in the order of the ids, so that no task has to sort all of the first ones.
+    first = with_surrogate_id(rows, ("release",), stage).filter(F.col("id") <= n_releases)
+    seed = stage.save("seed", first.drop("id").withColumnRenamed("release", "id"))
     releases, groups = _keys(seed.select("id")), _keys(seed.select("release_group"))
     mediums = stage.save(
         "mediums", _keys(_among(tables["medium"], "release", releases).select("id"))

@@ -474,6 +474,13 @@ _SELECTS |= {f"salted_{table}": f"FROM out_{table}" for table in _REQUIRED}
 _SELECTS |= {f"delta_{table}": f"FROM out_{table}" for table in ("recording", "text_lookup", "link_lookup", "artists")}
 _SELECTS |= {
     "built_load_audit": _SELECTS["load_audit"],
+    "built_layout": "SELECT 'link_lookup' AS table_name, 'provider=' || provider AS folder, 'zstd' AS codec, "
+    "count(*) AS row_count FROM out_link_lookup GROUP BY provider"
+    + "".join(
+        f" UNION ALL SELECT '{table}', '', 'zstd', count(*) FROM out_{table}"
+        for table in _REQUIRED
+        if table != "link_lookup"
+    ),
     "sampled_dump": _SELECTS["closed_sample_counts"],
     # The ids of the text lookup are dense by definition.
     "built_pk_violations": _SELECTS["pk_violations"] + " UNION ALL SELECT 'text_lookup', 0",

@@ -168,6 +168,10 @@ def built_not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.not_null_violations(_build(spark, sf_dir).outputs)
 
 
+def built_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.stored_layout(_build(spark, sf_dir).outputs)
+
+
 def earlier_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """An earlier version of the views: rows of every table that differ, are missing or are more."""
     t = dict(tables)
@@ -404,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "track_details": track_details,
     **{f"built_{name}": _built(name) for name in TARGETS},
     "built_load_audit": built_load_audit,
+    "built_layout": built_layout,
     "built_pk_violations": built_pk_violations,
     "built_not_null_violations": built_not_null_violations,
     **{f"salted_{name}": _output(name, SALTED_ROWS) for name in TARGETS},
