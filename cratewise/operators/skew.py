@@ -20,9 +20,11 @@ from pyspark.sql.types import IntegralType
 # Rows of one key that a single task is expected to join without strain.
 ROWS_PER_SALT = 4_000_000
 
-# Hash buckets of the first count, and the most keys of one fact column that can count as hot.
-BUCKETS = 1 << 16
-MAX_HOT = 1 << 13
+# Hash buckets of the first count, and the most keys of one fact column that can count as hot. Both are
+# held as a few bytes each. A table of MAX_HOT * ROWS_PER_SALT rows (4 * 10^12) is the first in which a key
+# needs more than ROWS_PER_SALT rows to count.
+BUCKETS = 1 << 18
+MAX_HOT = 1 << 20
 
 # Salts for rows without a key, which need no partner; more than any sensible number of tasks.
 NULL_SALTS = 1 << 20
@@ -55,8 +57,8 @@ class HotKeys:
         tables of fewer rows are done with after a row count, which for stored tables reads file
         footers. The rows of the others are counted per hash bucket, which tasks combine to
         ``BUCKETS`` rows each at most, and only keys in overfull buckets are counted one by one.
-        Neither the overfull buckets nor the hot keys can exceed ``MAX_HOT`` rows for each frame,
-        which is why they may be broadcast.
+        The overfull buckets cannot exceed ``BUCKETS`` nor the hot keys ``MAX_HOT`` rows of a dozen bytes
+        for each frame, which is why they may be broadcast.
         """
         number = {name: i for i, name in enumerate(facts)}
         every_row = [keys.select(F.lit(number[name]).alias("fact")) for name, keys in facts.items()]

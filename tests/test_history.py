@@ -7,7 +7,7 @@ import pytest
 from cratewise.operators import history as h
 from cratewise.operators.skew import HotKeys
 from cratewise.sources.history import read_history, stream_history
-from cratewise.streaming.resolve import resolve_stream, write_resolved
+from cratewise.streaming.resolve import resolve_batches, resolve_stream, write_resolved
 
 PLAY = {
     "ts": "2024-05-02T08:00:00Z",
@@ -107,6 +107,24 @@ def test_stream(spark, folder, lookups, tmp_path):
     assert [r.matched_by for r in rows] == ["text", None, "link"]
 
 
+def test_batches_of_a_stream_are_salted(spark, folder, lookups, tmp_path):
+    """Nine in ten plays have one link; the tasks of the batch's joins share them, and no row changes."""
+    many = [{**PLAY, "ms_played": i} if i % 10 else {**PLAYS[0], "ms_played": i} for i in range(2_000)]
+    (tmp_path / "history" / "b.json").write_text(json.dumps(many))
+    out, progress = str(tmp_path / "resolved"), str(tmp_path / "progress")
+    for _ in range(2):  # a second run finds nothing new
+        resolve_batches(stream_history(spark, folder), *lookups, out, progress, rows_per_salt=100).awaitTermination(240)
+    plain = h.resolve_history(read_history(spark, folder), *lookups, HotKeys.none())
+    found = spark.read.parquet(out).select(*plain.columns)
+    assert found.count() == 2_000 + len(PLAYS)
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+    keyed = h.with_lookup_keys(read_history(spark, folder))
+    hot = HotKeys.find({"history.link": keyed.select(*h.LINK_KEY)}, rows_per_salt=100)
+    salted = hot._salted("history.link", keyed, list(h.LINK_KEY), keyed.columns)
+    shares = [r["count"] for r in salted.groupBy(*h.LINK_KEY, "_salt").count().collect()]
+    assert len(shares) > 10 and max(shares) < 400
+
+
 def test_ordered_credits_and_details(spark, lookups, groups):
     artists = spark.createDataFrame(
         [("art-1", "A", "Q1"), ("art-2", "B", None)],
