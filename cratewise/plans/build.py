@@ -82,7 +82,7 @@ class Catalogue:
 
     @cached_property
     def rank(self) -> DataFrame:
-        return self.stage.save("rank", canonical.elect(self.recordings, self.placed, self.hot))
+        return self.stage.save("rank", canonical.elect_placed(self.recordings, self.placed, self.hot))
 
     @cached_property
     def members(self) -> DataFrame:

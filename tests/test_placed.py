@@ -42,7 +42,7 @@ def path_to_bucketed_scan(df):
 def test_no_exchange_between_stored_tracks_and_their_join(spark, no_broadcast, rows_per_salt):
     catalogue = Catalogue(catalogue_tables(spark, SF), Stage(spark), rows_per_salt)
     assert ("track.recording" in catalogue.hot) == (rows_per_salt == 30)
-    elected = canonical.elect(catalogue.recordings, catalogue.placed, catalogue.hot)
+    elected = canonical.elect_placed(catalogue.recordings, catalogue.placed, catalogue.hot)
     for df in (elected, catalogue.text_lookup()):
         path = path_to_bucketed_scan(df)
         joins = [i for i, node in enumerate(path) if node.startswith(("SortMergeJoin", "ShuffledHashJoin"))]
