@@ -26,11 +26,11 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from cratewise.llm.common import steps, text_bytes
+from cratewise.llm.common import WordMemory, steps, text_bytes
 
-# Words whose encoding a worker remembers. Past that it starts anew; results do not depend on it.
+# Words whose encoding a worker remembers, in each of two generations; results do not depend on it.
 REMEMBERED_WORDS = 200_000
-# The same for pairs of tokens that were tried side by side.
+# Pairs of tokens that were tried side by side, and steps from token to token. Past that a worker starts anew.
 REMEMBERED_PAIRS = 400_000
 
 _ALONE = -1
@@ -72,12 +72,15 @@ class TrieBpe:
         # The tokens that can end a word, without the mark of a word's end.
         self._final = {k.removesuffix(suffix): v for k, v in vocab.items() if k.endswith(suffix)} if suffix else self._inner
         self._suffix, self._vocab = suffix, vocab
-        self._longest = max(map(len, vocab), default=1)
+        self._longest = max(map(len, self._final), default=1)
+        # Beginnings of tokens, and what follows from each with a letter.
+        self._begins = {k[:n] for k in self._inner for n in range(1, len(k) + 1)}
+        self._steps: dict[tuple[str, str], tuple[str, tuple[tuple[int, int], ...]]] = {}
         self._strings = {v: k for k, v in vocab.items()}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self._merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
         self._fits: dict[tuple[int, int], bool] = {}
-        self._known: dict[bytes, bytes] = {}
+        self._memory = WordMemory(REMEMBERED_WORDS)
         self._tokens = {v: k.encode() for k, v in (vocab | self._special).items()}
 
         patterns = [p["pattern"]["Regex"] for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if p["type"] == "Split" and "Regex" in p["pattern"]]
@@ -118,29 +121,45 @@ class TrieBpe:
         self._fits[before, token] = fits
         return fits
 
+    def _suffixes(self, state: str, letter: str) -> tuple[str, tuple[tuple[int, int], ...]]:
+        """After ``state`` and a letter: the longest end of both that begins a token, and the (length, id) of
+        the tokens that stand at the end of it, the longest first."""
+        text = state + letter
+        while text and text not in self._begins:
+            text = text[1:]
+        found = [(len(text) - i, self._inner[text[i:]]) for i in range(len(text)) if text[i:] in self._inner]
+        if len(self._steps) >= REMEMBERED_PAIRS:
+            self._steps.clear()
+        step = self._steps[state, letter] = text, tuple(found)
+        return step
+
     def encode_sorted(self, pieces: Iterable[str]) -> Iterator[list[int]]:
         """Ids of words in byte-level letters, which come in order: the walk over their trie."""
-        inner, final, fits, check, longest = self._inner, self._final, self._fits, self._check, self._longest
-        last, begin = [_ALONE], [0]  # states on the path: last token of the prefix, and where it begins
+        final, fits, check, longest = self._final, self._fits, self._check, self._longest
+        steps_, suffixes = self._steps, self._suffixes
+        # Of the prefixes on the path: last token, where it begins, and the end of it that may begin a token.
+        last, begin, ends = [_ALONE], [0], [""]
         previous = ""
         for piece in pieces:
             end = len(piece) - 1
             depth, most = 0, min(len(last) - 1, end)
             while depth < most and piece[depth] == previous[depth]:
                 depth += 1
-            del last[depth + 1 :], begin[depth + 1 :]
-            for stop in range(depth + 1, end + 1):
-                for start in range(max(0, stop - longest), stop):
-                    token = inner.get(piece[start:stop])
-                    if token is not None:
-                        before = last[start]
-                        fit = fits.get((before, token))
-                        if fit or fit is None and check(before, token):
-                            break
+            del last[depth + 1 :], begin[depth + 1 :], ends[depth + 1 :]
+            state = ends[depth]
+            for stop in range(depth, end):
+                step = state, piece[stop]
+                state, found = steps_.get(step) or suffixes(*step)
+                for length, token in found:
+                    before = last[stop + 1 - length]
+                    fit = fits.get((before, token))
+                    if fit or fit is None and check(before, token):
+                        break
                 else:
                     raise ValueError(f"no token for {piece!r}")
                 last.append(token)
-                begin.append(start)
+                begin.append(stop + 1 - length)
+                ends.append(state)
             for start in range(max(0, end + 1 - longest), end + 1):
                 token = final.get(piece[start:])
                 if token is not None:
@@ -192,24 +211,22 @@ class TrieBpe:
                 cut[word] = parts
         pieces = sorted(distinct)
         coded = {p: array("I", ids).tobytes() for p, ids in zip(pieces, self.encode_sorted(pieces))}
+        known = self._memory.known
         for word, parts in cut.items():
             if isinstance(parts, str):
-                self._known[word] = coded[parts]
+                known[word] = coded[parts]
             else:
-                self._known[word] = b"".join([coded[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in parts])
+                known[word] = b"".join([coded[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in parts])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        known, out = self._known, []
+        out = []
         for first, last in steps(texts):
             split = [text.split() for text in texts[first:last]]
-            new = set().union(*split).difference(known)
-            if len(known) + len(new) > REMEMBERED_WORDS and known:
-                known.clear()
-                new = set().union(*split)
+            new = self._memory.missing(set().union(*split))
             if new:
                 self._learn(new)
-            find = known.__getitem__
+            find = self._memory.known.__getitem__
             out += [b"".join(map(find, row)) for row in split]
         return out
 

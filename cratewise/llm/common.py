@@ -55,6 +55,29 @@ def steps(texts: list[bytes], limit: int = STEP_BYTES) -> Iterator[tuple[int, in
         yield first, len(texts)
 
 
+class WordMemory:
+    """Results by word, in two generations of at most ``most`` words each (or one step's words).
+
+    Words that are asked for move to the younger one. When that is full it becomes the older one, whose
+    predecessor goes; so frequent words stay, and a word that is rare is forgotten after a while.
+    """
+
+    def __init__(self, most: int) -> None:
+        self._most = most
+        self.known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
+
+    def missing(self, words: set[bytes]) -> set[bytes]:
+        """Words without a result, which the caller then adds to ``known``; all others are in it."""
+        new = words.difference(self.known)
+        if self.known and len(self.known) + len(new) > self._most:
+            self.known, self._older, new = {}, self.known, words
+        older = self._older
+        kept = {w: older[w] for w in new if w in older}
+        self.known.update(kept)
+        return new.difference(kept)
+
+
 _Key = TypeVar("_Key")
 _Value = TypeVar("_Value")
 

@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cratewise.llm import idcoder
-from cratewise.llm.common import shuffle_partitions, steps, text_bytes
+from cratewise.llm.common import WordMemory, shuffle_partitions, steps, text_bytes
 from cratewise.sources.stage import Stage
 
 # Ids of a segment: it is closed with the document that reaches them.
 SEGMENT_IDS = 4 << 20
 
-# Words whose ids a worker remembers before it starts anew; results do not depend on it.
+# Words whose ids a worker remembers, in each of two generations; results do not depend on it.
 REMEMBERED_WORDS = 200_000
 
 
@@ -44,16 +44,14 @@ class WordCache:
         ids = lambda text: self._library.encode(text, add_special_tokens=False).ids
         if ids(" ab\n\t\rc \x0b\x0c") != ids("ab") + ids("c"):
             raise ValueError("the tokenizer keeps white space")
-        self._known: dict[bytes, bytes] = {}
+        self._memory = WordMemory(REMEMBERED_WORDS)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        known, out = self._known, []
+        out = []
         for first, last in steps(texts):
             split = [text.split() for text in texts[first:last]]
-            new = set().union(*split).difference(known)
-            if len(known) + len(new) > REMEMBERED_WORDS and known:
-                known.clear()
-                new = set().union(*split)
+            new = self._memory.missing(set().union(*split))
+            known = self._memory.known
             if new:
                 order = list(new)
                 coded = self._library.encode_batch_fast([w.decode() for w in order], add_special_tokens=False)
