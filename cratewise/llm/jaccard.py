@@ -9,11 +9,12 @@ Jaccard similarity is 0.9 or more. In a common order of all shingles, linked set
    of the shingle allow the overlap.
 3. First round: in every block, groups are compared with the smallest group that fits (a star), and the
    members of a group with its first member. What is linked becomes components.
-4. Second round: only blocks that still hold several components yield their other pairs, and of these only
-   members of different components are expanded. So neither copies nor near copies meet all against all,
-   while every link between components is found.
-5. Pairs of classes are checked by parity bitmaps, which give a lower bound of the difference, and what
-   passes is verified on the whole sets.
+4. Blocks and groups that still hold several components go on as cells of classes with their parity bitmaps,
+   and a pair leaves its cell only if sizes, positions and bitmaps allow a link between two components. In the
+   second round a cell yields no more pairs than connect its components (a forest), so mutual near copies do
+   not meet all against all either. The third round yields every remaining pair: what the forest took for near
+   and the whole sets were not. So every link between components is found.
+5. What leaves a cell is verified on the whole sets.
 
 The order puts shingles that are frequent in a sample of documents last, which keeps blocks small. Any
 order gives the same result; the sample decides about speed alone. Blocks of very frequent shingles are
@@ -46,10 +47,19 @@ ORDER_SAMPLE = 8192
 ORDER_LEAST = 3
 ORDER_MOST = 1 << 19
 
-# Groups of a block that one task handles in the second round, and pairs of one class per task.
+# Classes of a block that one task holds in the later rounds, and pairs of one class per task.
 BLOCK_ROWS = 20_000
 PAIRS_PER_SALT = 2_000
 
+# Widest bitmap; of larger sets it gives a weaker bound.
+BITMAP_BUCKETS = 1 << 13
+
+# Rows of cells that are handled together, pairs whose bitmaps are compared at once, and the rows from which
+# a cell compares only its lesser components with the rest.
+CELL_ROWS = 1 << 15
+PAIRS_AT_ONCE = 1 << 15
+LARGE_CELL = 64
+
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _TOP = np.uint64(1 << 63)
 
@@ -77,7 +87,7 @@ def prefix_size(n: int, similarity: int = SIMILARITY) -> int:
 def bitmap(tokens: np.ndarray) -> bytes:
     """Parity of the tokens per bucket, as bits; half as many buckets as tokens, 256 at least."""
     buckets = 256
-    while 2 * buckets < len(tokens):
+    while 2 * buckets < len(tokens) and buckets < BITMAP_BUCKETS:
         buckets *= 2
     odd = np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
@@ -300,54 +310,59 @@ class JaccardJoin:
         counted = both.select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("sum"))
         return counted.filter(100 * F.col("common") >= similarity * (F.col("sum") - F.col("common"))).select("a", "b")
 
-    def links(self) -> DataFrame:
-        """Staged links (a, b) between classes that connect every component, a < b."""
+    def _components(self) -> DataFrame:
+        """Staged (node, component) of the linked classes."""
         blocks = self.stage.save("blocks", self._blocks())
         pivot = lambda side: self.groups.select(F.col("gid").alias(side), F.col("pivot").alias("a" if side == "star" else "b"))
         stars = blocks.filter("star >= 0").select("star", "gid").distinct().join(pivot("star"), "star").join(pivot("gid"), "gid").select("a", "b")
         inside = self.members.filter("cid != pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
-        first = self.stage.save("links-1", self._verified(stars.union(inside), "first"))
-        second = self.stage.save("links-2", self._verified(self._others(blocks, first), "second"))
-        return first.union(second)
-
-    def _others(self, blocks: DataFrame, links: DataFrame) -> DataFrame:
-        """Pairs of classes that share a block but not a component."""
-        similarity = self.similarity
+        links = self.stage.save("links-1", self._verified(stars.union(inside), "first"))
         known = components(links, self.stage, "first")
-        labelled = self.members.join(known.withColumnRenamed("node", "cid"), "cid", "left").select(
-            "gid", "cid", F.coalesce("component", "cid").alias("component")
+        for name, forest in (("second", True), ("third", False)):
+            pairs = self.stage.save(f"{name}-pairs", self._others(blocks, known, name, forest))
+            if not pairs.limit(1).count():
+                break
+            more = self.stage.save(f"{name}-links", self._verified(pairs, name))
+            if more.limit(1).count():
+                links = links.union(more)
+                known = components(links, self.stage, name)
+        return known
+
+    def _others(self, blocks: DataFrame, known: DataFrame, name: str, forest: bool) -> DataFrame:
+        """Pairs (a, b) of classes that share a block or a group but not a component, and may be near."""
+        similarity, block_rows = self.similarity, self.block_rows
+        of_class = self.members.select("gid", "cid").join(self.classes.select("cid", "n", "bits"), "cid")
+        labelled = self.stage.save(
+            f"{name}-labelled",
+            of_class.join(known.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid")),
         )
-        labelled = self.stage.save("labelled", labelled)
-        of_group = labelled.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        of_group = labelled.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
+        salts = lambda rows: F.ceil(F.col(rows) / block_rows).cast("int").alias("salts")
+        rows = blocks.select("token", "place", "gid").join(of_group, "gid")
+        mixed = (
+            rows.groupBy("token").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.sum("members").alias("rows"))
+            .filter("least != most").select("token", salts("rows"))
+        )
+        # Tokens are not negative; a negative one stands for the inside of a group.
+        own = of_group.filter("low != high").select((-1 - F.col("gid")).alias("token"), F.lit(0).alias("place"), "gid", salts("members"))
+        of_block = rows.join(mixed, "token").select("token", "place", "gid", "salts").unionByName(own)
         # A cell holds two salts of a block; blocks with one salt are one cell.
-        rows = blocks.select("token", "salt", "salts", "n", "place", "gid").join(of_group, "gid")
-        mixed = rows.groupBy("token").agg(F.min("low").alias("least"), F.max("high").alias("most")).filter("least != most").select("token")
-        cells = rows.join(mixed, "token").select(
-            "token", "n", "place", "gid", "low", "high", "salt",
-            F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("other"),
-        ).select(
-            "token", F.least("salt", "other").alias("one"), F.greatest("salt", "other").alias("two"), "n", "place", "gid", "low", "high",
-            (F.col("salt") > F.col("other")).cast("int").alias("side"),
+        salted = of_block.join(labelled, "gid").withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts")).cast("int"))
+        cells = salted.select("*", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("other")).select(
+            "token", F.least("salt", "other").alias("one"), F.greatest("salt", "other").alias("two"), "n", "place", "gid", "cid", "component",
+            (F.col("salt") > F.col("other")).cast("int").alias("side"), "bits",
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for cell in _cells(batches):
-                yield from _cell_pairs(cell, similarity)
-
-        names = "token bigint, one int, two int, n bigint, place int, gid bigint, low bigint, high bigint, side int"
-        pairs = (
-            cells.select(*[x.split()[0] for x in names.split(", ")])
-            .repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "n", "gid")
-            .mapInArrow(run, "g bigint, h bigint").distinct()
-        )
-        own = of_group.filter("low != high").select(F.col("gid").alias("g"), F.col("gid").alias("h"))
-        side = lambda g, c: labelled.select(F.col("gid").alias(g), F.col("cid").alias(c), F.col("component").alias(f"{c}_in"))
-        expanded = pairs.union(own).join(side("g", "p"), "g").join(side("h", "q"), "h").filter("p_in != q_in")
-        return expanded.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+            for rows, bits in _whole_cells(batches):
+                yield from _Cells(rows, bits, similarity, forest).pairs()
+
+        dealt = cells.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "n", "cid")
+        return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
     def _labelled(self) -> DataFrame:
         """Staged classes with their component."""
-        labels = components(self.links(), self.stage, "all").withColumnRenamed("node", "cid")
+        labels = self._components().withColumnRenamed("node", "cid")
         labelled = self.classes.select("digest", "cid", "doc_id", "copies", "first").join(labels, "cid", "left").withColumn(
             "component", F.coalesce("component", "cid")
         )
@@ -376,45 +391,137 @@ def _rows(rows: np.ndarray, stars: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*columns, pa.array(stars, pa.int64())], ["token", "salt", "salts", "n", "place", "gid", "star"])
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Rows of each cell; a cell is held at once."""
-    held: list[np.ndarray] = []
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Rows and bitmaps of whole cells, many small cells or a large one at once."""
+    rows, bits = np.zeros((0, 9), np.int64), []
     for batch in batches:
-        rows = np.column_stack([np.asarray(c, dtype=np.int64) for c in batch.columns])
-        if not len(rows):
-            continue
-        cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
-        for part in np.split(rows, cuts):
-            if held and (held[-1][-1, :3] != part[0, :3]).any():
-                yield np.concatenate(held)
-                held = []
-            held.append(part)
-    if held:
-        yield np.concatenate(held)
-
-
-def _cell_pairs(cell: np.ndarray, similarity: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of groups of a cell, in order of size, that may link different components."""
-    n, place, gid, low, high, side = cell[:, 3:].T
-    across = cell[0, 1] != cell[0, 2]
-    ends = np.searchsorted(n, 100 * n // similarity, side="right")
-    out: list[np.ndarray] = []
-    held = 0
-    for i in range(len(cell)):
-        j = slice(i + 1, ends[i])
-        fits = ~((low[j] == low[i]) & (high[j] == high[i]) & (low[i] == high[i]))
-        if across:
-            fits &= side[j] != side[i]
-        least = -(-similarity * (n[i] + n[j]) // (100 + similarity))
-        most = np.minimum(place[i], place[j]) + 1 + np.minimum(n[i] - place[i], n[j] - place[j]) - 1
-        partners = gid[j][fits & (most >= least)]
-        if len(partners):
-            out.append(np.column_stack((np.full(len(partners), gid[i]), partners)))
-            held += len(partners)
-        if held > 1 << 16 or i == len(cell) - 1 and out:
-            both = np.sort(np.concatenate(out), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["g", "h"])
-            out, held = [], 0
+        rows = np.concatenate((rows, np.column_stack([np.asarray(c, dtype=np.int64) for c in batch.columns[:9]])))
+        bits += batch.column(9).to_pylist()
+        if len(rows) >= CELL_ROWS:
+            cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
+            if len(cuts):
+                yield rows[: cuts[-1]], bits[: cuts[-1]]
+                rows, bits = rows[cuts[-1] :], bits[cuts[-1] :]
+    if len(rows):
+        yield rows, bits
+
+
+class _Bitmaps:
+    """Bitmaps of rows, as words by width."""
+
+    def __init__(self, bits: list[bytes]) -> None:
+        self.widths = np.fromiter(map(len, bits), np.int64, len(bits))
+        self.at, self.words = np.zeros(len(bits), np.int64), {}
+        for width in np.unique(self.widths).tolist():
+            rows = np.flatnonzero(self.widths == width)
+            self.at[rows] = np.arange(len(rows))
+            self.words[width] = np.frombuffer(b"".join([bits[i] for i in rows.tolist()]), "<u8").reshape(len(rows), -1)
+
+    def differ_at_least(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """:func:`differ_at_least` of many pairs of rows."""
+        out = np.zeros(len(i), np.int64)
+        kinds = self.widths[i] << 32 | self.widths[j]
+        for kind in np.unique(kinds).tolist():
+            chosen = np.flatnonzero(kinds == kind)
+            x, y = self.words[kind >> 32][self.at[i[chosen]]], self.words[kind & 0xFFFFFFFF][self.at[j[chosen]]]
+            if x.shape[1] < y.shape[1]:
+                x, y = y, x
+            while x.shape[1] > y.shape[1]:  # buckets modulo half as many
+                half = x.shape[1] // 2
+                x = x[:, :half] ^ x[:, half:]
+            out[chosen] = np.bitwise_count(x ^ y).sum(axis=1)
+        return out
+
+
+class _Cells:
+    """Whole cells: rows (token, one, two, n, place, gid, cid, component, side), in order of size, with bitmaps."""
+
+    def __init__(self, rows: np.ndarray, bits: list[bytes], similarity: int, forest: bool) -> None:
+        self.similarity, self.forest = similarity, forest
+        new = np.concatenate(([True], (rows[1:, :3] != rows[:-1, :3]).any(axis=1)))
+        self.cell = np.cumsum(new) - 1
+        self.first = np.append(np.flatnonzero(new), len(rows))
+        self.inside, self.across = rows[:, 0] < 0, rows[:, 1] != rows[:, 2]
+        self.n, self.place, self.gid, self.cid, self.component, self.side = rows[:, 3:].T
+        self.bitmaps = _Bitmaps(bits)
+        self._parent: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def _may_link(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Of pairs of rows with compatible sizes: components, groups, salts and positions."""
+        fits = self.component[i] != self.component[j]
+        fits &= (self.gid[i] != self.gid[j]) | self.inside[i]
+        fits &= (self.side[i] != self.side[j]) | ~self.across[i]
+        most = np.minimum(self.place[i], self.place[j]) + np.minimum(self.n[i] - self.place[i], self.n[j] - self.place[j])
+        return fits & (most >= self._least(i, j))
+
+    def _least(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return -(-self.similarity * (self.n[i] + self.n[j]) // (100 + self.similarity))
+
+    def _candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        key, s = self.cell << 32 | self.n, self.similarity
+        ends = np.searchsorted(key, self.cell << 32 | 100 * self.n // s, side="right")
+        begins = np.searchsorted(key, self.cell << 32 | -(-s * self.n // 100), side="left")
+        sizes = np.diff(self.first)
+        # Rows of small cells, all with their next, second next and further neighbours.
+        rows, step = np.flatnonzero(sizes[self.cell] < LARGE_CELL), 1
+        while len(rows := rows[rows + step < ends[rows]]):
+            for a in range(0, len(rows), PAIRS_AT_ONCE):
+                yield rows[a : a + PAIRS_AT_ONCE], rows[a : a + PAIRS_AT_ONCE] + step
+            step += 1
+        for number in np.flatnonzero(sizes >= LARGE_CELL).tolist():
+            here = np.arange(self.first[number], self.first[number + 1])
+            found, counts = np.unique(self.component[here], return_counts=True)
+            lesser = self.component != found[counts.argmax()]
+            for i in here[lesser[here]].tolist():
+                j = np.arange(begins[i], ends[i])
+                j = j[(j > i) | ~lesser[j]]
+                yield np.full(len(j), i), j
+
+    def _connecting(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the pairs, those that join components of a cell that earlier ones have not joined."""
+        low, high = np.minimum(self.component[i], self.component[j]), np.maximum(self.component[i], self.component[j])
+        order = np.lexsort((high, low, self.cell[i]))
+        keys = np.column_stack((self.cell[i], low, high))[order]
+        order = order[np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1)))]
+        parent, kept = self._parent, []
+
+        def root(node: tuple[int, int]) -> tuple[int, int]:
+            top = node
+            while (above := parent.get(top, top)) != top:
+                top = above
+            while node != top:
+                parent[node], node = top, parent[node]
+            return top
+
+        for at, cell, one, two in zip(order.tolist(), self.cell[i[order]].tolist(), low[order].tolist(), high[order].tolist()):
+            x, y = root((cell, one)), root((cell, two))
+            if x != y:
+                parent[x] = y
+                kept.append(at)
+        return i[kept], j[kept]
+
+    def pairs(self) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        total = 0
+        for i, j in self._candidates():
+            fits = self._may_link(i, j)
+            if fits.any():
+                held.append((i[fits], j[fits]))
+                total += len(held[-1][0])
+            if total >= PAIRS_AT_ONCE:
+                yield self._near(held)
+                held, total = [], 0
+        if held:
+            yield self._near(held)
+
+    def _near(self, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        i, j = (np.concatenate(x) for x in zip(*held))
+        near = self.bitmaps.differ_at_least(i, j) <= self.n[i] + self.n[j] - 2 * self._least(i, j)
+        i, j = i[near], j[near]
+        if self.forest and len(i):
+            i, j = self._connecting(i, j)
+        a, b = self.cid[i], self.cid[j]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:

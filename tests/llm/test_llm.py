@@ -355,6 +355,33 @@ def test_jaccard_filter_judges_rows_of_an_id_by_their_text(spark):
         assert Counter(map(tuple, kept.collect())) == Counter(expected)
 
 
+def test_jaccard_large_cell_yields_a_forest_and_then_only_near_pairs():
+    rng = np.random.default_rng(3)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+    family = draw(100)
+    sets = [draw(100) for _ in range(2000)] + [np.unique(np.append(family[:-1], draw(1))) for _ in range(60)]
+    bits = [jaccard.bitmap(x) for x in sets]
+    rows = np.array([(7, 0, 0, 100, 0, i, i, i, 0) for i in range(len(sets))], np.int64)
+    found = {}
+    for forest in (True, False):
+        cells = jaccard._Cells(rows, bits, 90, forest)
+        found[forest] = {(a, b) for batch in cells.pairs() for a, b in zip(*batch.to_pydict().values())}
+        assert all(a >= 2000 for a, _ in found[forest])
+    assert len(found[True]) == 59 and len(found[False]) == 60 * 59 // 2
+    # Once the family is one component, nothing is left.
+    rows[2000:, 7] = 2000
+    assert not sum(batch.num_rows for batch in jaccard._Cells(rows, bits, 90, False).pairs())
+
+
+def test_bitmaps_of_many_pairs_agree_with_single_ones():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64)) for n in (3, 500, 600, 1100, 5000, 40_000)]
+    bits = [jaccard.bitmap(x) for x in sets]
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(6), np.arange(6)))
+    got = jaccard._Bitmaps(bits).differ_at_least(i, j).tolist()
+    assert got == [jaccard.differ_at_least(bits[a], bits[b]) for a, b in zip(i, j)]
+
+
 def test_bitmap_bounds_the_difference():
     rng = np.random.default_rng(0)
     for n, m in ((5, 9), (600, 640), (500, 540), (3000, 1100)):
