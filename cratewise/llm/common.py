@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Generic, TypeVar
 
 import numpy as np
@@ -22,6 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def own_names(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with every column but ``used`` under a name no operator uses, and what gives the columns back.
+
+    So columns that a caller adds may have any name, those of an operator's own columns included.
+    """
+    names = docs.columns
+    inner = [c if c in used else f"extra {i}" for i, c in enumerate(names)]
+    return docs.toDF(*inner), lambda rows: rows.select(*[f"`{c}`" for c in inner]).toDF(*names)
+
+
 def words(text: Column | str) -> Column:
     """Words of a text, none for NULL."""
     text = F.col(text) if isinstance(text, str) else text
