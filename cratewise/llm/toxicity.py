@@ -3,13 +3,15 @@
 Learning. Words of labelled documents, and the beginnings of longer words, are counted in Spark by class,
 once per document. A unit's score is its log-odds of standing in a toxic rather than a clean document under
 an informative Dirichlet prior (``PRIOR_TOKENS`` tokens dealt out as in all labelled text), drawn towards 0
-by ``CAUTION`` standard deviations. A token has the most decided score of its word and its beginnings.
+by ``CAUTION`` standard deviations. Units of either sign count, however rare; only those that this draws to 0
+are left out of the model. A token has the most decided score of its word and its beginnings.
 Every token also costs ``DRIFT``, so that neutral text has a negative sum and segments end.
 
 Scoring. One pass finds all maximal scoring segments of a document (linear time, whatever its length). The
 chance that neutral text of n tokens has a segment of score S or more is 1 - exp(-K n exp(-lambda S));
-lambda solves sum p_w exp(lambda s_w) = 1 over the word frequencies p_w of clean documents, and K comes from
-the segments of clean documents set aside. Segments expected less than ``EXPECTED`` times are reported. The
+lambda solves sum p_w exp(lambda s_w) = 1 over the word frequencies p_w of clean documents. K is the mean of its
+posterior given the best segments of clean documents set aside (those without a segment have score 0 and count as
+such), under a prior worth one of them. Segments expected less than ``EXPECTED`` times are reported. The
 best segment, all reported ones together and their number, in these units, are mapped to a probability by
 a logistic fit on labelled documents set aside.
 
@@ -31,12 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.llm.common import id_crc32
+from cratewise.llm.common import id_crc32, own_names
 
 PRIOR_TOKENS = 10_000.0
 CAUTION = 1.96
-# Weaker units count as neutral.
-LEAST_SCORE = 1.0
 DRIFT = 0.1
 EXPECTED = 0.05
 
@@ -139,7 +139,8 @@ class ToxicityModel:
 
 
 def tokens_of(text: str | None) -> list[str]:
-    return _TOKEN.findall((text or "").lower())
+    """Words in lower case, each by itself: some letters get longer, which moves no other word."""
+    return [t.lower() for t in _TOKEN.findall(text or "")]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,8 +202,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LEARNED_PER_CLASS)
     delta = odds("toxic", n_toxic) - odds("clean", n_clean)
     error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     score = F.signum(delta) * F.greatest(F.lit(0.0), F.abs(delta) - CAUTION * error)
-    # Units of two toxic documents at least whose score is sure; the labelled texts bound their number.
-    rows = counts.filter("toxic >= 2").select("word", "clean", score.alias("score")).filter(F.abs("score") >= LEAST_SCORE).orderBy("word").collect()
+    # The labelled texts that are learned from bound the number of units.
+    rows = counts.select("word", "clean", score.alias("score")).filter("score <> 0").orderBy("word").collect()
     counts.unpersist()
     model = ToxicityModel({r.word: r.score for r in rows})
 
@@ -226,9 +227,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LEARNED_PER_CLASS)
 
     aside = learned.filter("aside").select("text", "toxic")
     clean = [r for r in aside.mapInArrow(apart, "toxic int, n bigint, best double").collect() if not r.toxic]
-    # Karlin and Altschul: the mean of K n exp(-lambda S) over neutral texts' best segments is about 1.
-    space = [max(r.n, 1) * math.exp(-model.scale * r.best) for r in clean if r.best > 0]
-    model.log_k = -math.log(max(np.median(space), 1e-9)) if len(space) >= 20 else 0.0
+    # Karlin and Altschul: P(best < S) = exp(-K n exp(-lambda S)), so that K has a gamma posterior.
+    space = [r.n * math.exp(-model.scale * r.best) for r in clean if r.n]
+    model.log_k = math.log((sum(r.best > 0 for r in clean) + 1) / (sum(space) + 1))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,7 +263,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
                 found, features = model.features(tokens_of(value))
                 scores.append(model.probability(features))
                 if found:
-                    at = [m.span() for m in _TOKEN.finditer(value.lower())]
+                    at = [m.span() for m in _TOKEN.finditer(value)]
                     found = [{"start": at[a][0], "end": at[b - 1][1], "score": s} for a, b, s in found]
                 spans.append(found)
             yield pa.RecordBatch.from_arrays(
@@ -288,6 +289,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
 
 
 def toxicity_filter(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, as they were."""
-    model = fit(docs, labels)
-    return score(docs, model).filter("_toxicity < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that are not predicted toxic, as they were; further columns may have any name."""
+    inner, back = own_names(docs, "doc_id", "text")
+    return back(score(inner, fit(inner, labels)).filter("_toxicity < 0.5"))
