@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.llm.common import WORD, Words, mix, steps, text_bytes
+from cratewise.llm.common import WORD, Words, mix, own_names, steps, text_bytes
 from cratewise.llm.components import components, lookup
 from cratewise.sources.stage import Stage
 
@@ -534,10 +534,11 @@ def jaccard_filter(docs: DataFrame) -> DataFrame:
     of that id, any fixed one.
 
     Rows without words stay, but of equal texts of an id, one. An id may occur on rows with different texts;
-    each is judged by its own component.
+    each is judged by its own component. Further columns may have any name.
     """
+    docs, back = own_names(docs, "doc_id", "text")
     alone = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     stay = JaccardJoin(docs.select("doc_id", "text")).kept().select(F.col("doc_id").alias("_kept_id"), F.col("key").alias("_kept_key"))
     own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept_id")) & (F.xxhash64("text") == F.col("_kept_key"))
     kept = docs.filter(~alone).join(stay, own, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.select(*docs.columns).unionByName(docs.filter(alone))
+    return back(kept.unionByName(docs.filter(alone)))

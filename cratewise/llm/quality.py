@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratewise.llm.common import SPACES, WORD, words
+from cratewise.llm.common import SPACES, WORD, own_names, words
 from cratewise.sources.stage import Stage
 
 # Share of the good documents of a stratum that all rules together may reject, and the probability that
@@ -223,5 +223,6 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, as they were."""
-    return judged(measures(docs), labels).filter("_kept").select(*[f"`{c}`" for c in docs.columns])
+    """The documents that are kept, as they were; further columns may have any name."""
+    inner, back = own_names(docs, "doc_id", "lang", "text")
+    return back(judged(measures(inner), labels).filter("_kept"))
