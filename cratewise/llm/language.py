@@ -10,6 +10,9 @@ Four sources of evidence meet in the log posterior of a page's language:
 The last two are learned from the pages themselves by grouped sums of text posteriors; a page's own
 contribution is taken out of its host's counts, so it does not confirm itself.
 
+Markup is cut out in one scan, whatever its length; what is left open runs to the end of the page. Entities are
+decoded.
+
 Defined results: NULL or empty html has no text evidence; a missing or strange url has the host ''. Pages are
 judged by what is left then. Repeated pages are separate pages. Without any document of a known language
 every result is NULL.
@@ -20,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +46,24 @@ DECLARED_BELIEF = 5.0
 # Languages that the model can tell apart; its size is that times BUCKETS.
 MOST_LANGUAGES = 256
 
-_CUT = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_ENTITY = re.compile(rb"&#?\w{1,8};")
+# What is left open runs to the end of the page, so every byte is looked at once.
+_CUT = re.compile(rb"(?is)<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[^>]*(?:>|\Z)")
+_ENTITY = re.compile(rb"&#?\w{1,31};")
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
 _FOLD[[*range(33), *range(33, 65), *range(91, 97), *range(123, 128)]] = 32
 
 
+def _character(entity: re.Match[bytes]) -> bytes:
+    """What an entity stands for; space and unknown ones separate words."""
+    name = entity.group().decode("ascii")
+    value = unescape(name)
+    return b" " if value == name or value.isspace() else value.encode("utf-8", "replace")
+
+
 def visible_text(html: bytes) -> bytes:
-    return _ENTITY.sub(b" ", _CUT.sub(b" ", html))
+    """Text without markup; an unclosed tag, comment, script or style has none after it."""
+    return _ENTITY.sub(_character, _CUT.sub(b" ", html))
 
 
 def _trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +137,7 @@ def text_evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> Data
             )
 
     html = F.coalesce(F.col("html"), F.lit(""))
-    declared = F.lower(F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})\b", 1))
+    declared = F.lower(F.regexp_extract(html, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})\b", 1))
     narrow = pages.select(F.col("page_id").cast("bigint"), "url", declared.alias("declared"), "html")
     return narrow.mapInArrow(run, "page_id bigint, url string, declared string, evidence array<double>")
 
