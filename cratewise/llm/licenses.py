@@ -6,7 +6,8 @@ document's canonical form is joined to that of the known texts. Short notices st
 within a document, so every line is taken as a text as well.
 
 Defined results: NULL and empty texts have the canonical form '' and match nothing. Repeated rows are
-judged each. Known texts with the same canonical form count as the one whose name sorts first.
+judged each. Known texts with the same canonical form count as the one whose name sorts first. A known text
+without a name or a word matches nothing.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Known texts beyond this number are joined by shuffle; up to it they are broadcast, 64 hex digits each.
+from cratewise.operators.skew import HotKeys
+from cratewise.sources.stage import Stage
+
+# Known digests beyond this number are joined by shuffle; up to it they are broadcast, 64 hex digits each.
 BROADCAST_KNOWN = 10_000
 
 # A line that states a copyright, and spellings that count as the same.
@@ -115,36 +119,61 @@ def joined(lines: Column) -> Column:
     return F.trim(F.regexp_replace(lines, "[ \n]+", " "))
 
 
-def known_digests(spark: SparkSession, known: Mapping[str, str]) -> DataFrame:
-    """(digest, license) of known texts, each digest once."""
-    rows = spark.createDataFrame(list(known.items()), "license string, text string")
+def known_digests(spark: SparkSession, known: Mapping[str, str] | DataFrame) -> DataFrame:
+    """(digest, license) of known texts, given by name or as a table (license, text); each digest once."""
+    rows = known if isinstance(known, DataFrame) else spark.createDataFrame(list(known.items()), "license string, text string")
     form = joined(canonical_lines(F.col("text")))
-    return rows.select("license", form.alias("form")).filter("form != ''").groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license"))
+    named = rows.filter("license is not null").select("license", form.alias("form")).filter("form != ''")
+    return named.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license"))
 
 
-def license_scan(docs: DataFrame, known: Mapping[str, str] = KNOWN, text: str = "text") -> DataFrame:
+def license_scan(docs: DataFrame, known: Mapping[str, str] | DataFrame = KNOWN, text: str = "text") -> DataFrame:
     """Per document: doc_id, digest of its canonical text, the licence that it is, and the known texts that
     stand on its lines (sorted, each once).
 
-    At most ``BROADCAST_KNOWN`` known texts; more raise ``ValueError``.
+    ``known`` may hold any number of texts; as a table (license, text) they never pass the driver.
     """
-    if len(known) > BROADCAST_KNOWN:
-        raise ValueError(f"more than {BROADCAST_KNOWN} known texts")
-    digests = known_digests(docs.sparkSession, known)
+    stage = Stage(docs.sparkSession)
+    digests = stage.save("known", known_digests(docs.sparkSession, known))
+    lines = docs.select("doc_id", canonical_lines(F.col(text)).alias("lines"))
+    split = F.filter(F.transform(F.split("lines", "\n", -1), lambda line: F.trim(line)), lambda line: line != "")
+    whole = F.sha2(joined(F.col("lines")), 256).alias("digest")
+    if digests.count() > BROADCAST_KNOWN:
+        own = F.array_distinct(F.transform(split, lambda line: F.sha2(line, 256)))
+        return _joined_scan(stage, lines.select("doc_id", whole, own.alias("own")), digests)
     # The few known digests are a constant map, so that lines need not leave their row.
     pairs = [F.lit(x) for r in digests.orderBy("digest").collect() for x in (r.digest, r.license)]
     names = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
-    lines = docs.select("doc_id", canonical_lines(F.col(text)).alias("lines"))
-    split = F.filter(F.transform(F.split("lines", "\n", -1), lambda line: F.trim(line)), lambda line: line != "")
     found = F.filter(F.transform(split, lambda line: names[F.sha2(line, 256)]), lambda name: name.isNotNull())
-    scanned = lines.select(
-        "doc_id",
-        F.sha2(joined(F.col("lines")), 256).alias("digest"),
-        F.array_join(F.array_sort(F.array_distinct(found)), ", ").alias("notices"),
-    )
+    scanned = lines.select("doc_id", whole, F.array_join(F.array_sort(F.array_distinct(found)), ", ").alias("notices"))
     return scanned.join(F.broadcast(digests), "digest", "left").select("doc_id", "digest", "license", "notices")
 
 
+def _joined_scan(stage: Stage, scanned: DataFrame, digests: DataFrame) -> DataFrame:
+    """:func:`license_scan` of (doc_id, digest, own digests of the lines) by joins.
+
+    Only digests that are known and occur meet the documents, and hot ones are split. What a document finds is
+    bounded by its own lines.
+    """
+    scanned = stage.save("scanned", scanned.withColumn("row", F.monotonically_increasing_id()))
+    asked = scanned.select("row", F.lit(True).alias("whole"), "digest").unionByName(
+        scanned.select("row", F.lit(False).alias("whole"), F.explode("own").alias("digest"))
+    )
+    present = stage.save("present", digests.join(asked.select("digest").distinct(), "digest", "left_semi"))
+    if present.count() <= BROADCAST_KNOWN:
+        hits = asked.join(F.broadcast(present), "digest")
+    else:
+        asked = stage.save("asked", asked)
+        hits = HotKeys.find({"digest": asked.select("digest")}).join("digest", asked, present, "digest", spread=["row"])
+    found = hits.groupBy("row").agg(
+        F.max(F.when(F.col("whole"), F.col("license"))).alias("license"),
+        F.array_join(F.array_sort(F.collect_set(F.when(~F.col("whole"), F.col("license")))), ", ").alias("notices"),
+    )
+    return scanned.select("row", "doc_id", "digest").join(found, "row", "left").select(
+        "doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices")
+    )
+
+
 def license_sql(known: Mapping[str, str] = KNOWN) -> str:
     """DuckDB SQL with the same result over ``documents``."""
     form = f"regexp_replace(lower(coalesce(text, '')), '{COPYRIGHT_LINE}', chr(10), 'g')"

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import pytest
-from cratewise.llm import jaccard, language, mixing, quality, toxicity
+from cratewise.llm import jaccard, language, licenses, mixing, quality, toxicity
 from cratewise.llm.common import own_names
 from pyspark.sql import functions as F
 
@@ -162,6 +162,29 @@ def test_declared_language_of_broken_pages(spark):
     assert got == {1: "", 2: "de", 3: "fr", 4: ""} and time.monotonic() - began < 30
 
 
+@pytest.mark.parametrize("broadcast", [10_000, 5])
+def test_many_known_licences(spark, monkeypatch, broadcast):
+    known = spark.range(20_000).select(F.format_string("L%05d", "id").alias("license"), F.concat(F.lit("Licence no. "), "id", F.lit(" grants\n\nthis")).alias("text"))
+    notices = spark.range(20_000).select(F.format_string("N%05d", "id").alias("license"), F.concat(F.lit("Under notice "), "id").alias("text"))
+    odd_ones = spark.createDataFrame([(None, "unnamed"), ("empty", ""), ("null", None)], "license string, text string")
+    rows = [(i, f"LICENSE  no {i},\ngrants: this") for i in (7, 19_999, 20_000)] + [(0, "LICENSE  no 0, grants: this")]  # a line too
+    rows += [(30, "a\nunder notice 5!\nUnder notice 12\nunder notice 5"), (31, None), (32, ""), (33, "unnamed")]
+    rows += [(40, "under notice 3\nx")] * 50
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    table = known.union(notices).union(odd_ones)
+    monkeypatch.setattr(licenses, "BROADCAST_KNOWN", broadcast)
+    scan = licenses.license_scan(docs, table)
+    got = Counter((r.doc_id, r.license, r.notices) for r in scan.collect())
+    assert got == Counter(
+        {
+            (0, "L00000", "L00000"): 1, (7, "L00007", ""): 1, (19_999, "L19999", ""): 1, (20_000, None, ""): 1,
+            (30, None, "N00005, N00012"): 1, (31, None, ""): 1, (32, None, ""): 1, (33, None, ""): 1, (40, None, "N00003"): 50,
+        }
+    )
+    plan = scan._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     """Documents with all cases at once, and columns of clashing names."""
