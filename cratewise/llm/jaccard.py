@@ -13,7 +13,8 @@ Jaccard similarity is 0.9 or more. In a common order of all shingles, linked set
    and a pair leaves its cell only if sizes, positions and bitmaps allow a link between two components. In the
    second round a cell yields no more pairs than connect its components (a forest), so mutual near copies do
    not meet all against all either. The third round yields every remaining pair: what the forest took for near
-   and the whole sets were not. So every link between components is found.
+   and the whole sets were not. So every link between components is found. Near sets share most of their
+   prefixes and so meet in many cells; the cell of the first shingle that they share yields the pair.
 5. What leaves a cell is verified on the whole sets.
 
 The order puts shingles that are frequent in a sample of documents last, which keeps blocks small. Any
@@ -54,6 +55,10 @@ PAIRS_PER_SALT = 2_000
 # Widest bitmap; of larger sets it gives a weaker bound.
 BITMAP_BUCKETS = 1 << 13
 
+# Shingles before that of a block which its rows bring along. A pair that shares one of them has met in that
+# block before; pairs whose shared shingles lie farther apart may come more than once.
+EARLIER = 2
+
 # Rows of cells that are handled together, pairs whose bitmaps are compared at once, and the rows from which
 # a cell compares only its lesser components with the rest.
 CELL_ROWS = 1 << 15
@@ -347,10 +352,13 @@ class JaccardJoin:
         own = of_group.filter("low != high").select((-1 - F.col("gid")).alias("token"), F.lit(0).alias("place"), "gid", salts("members"))
         of_block = rows.join(mixed, "token").select("token", "place", "gid", "salts").unionByName(own)
         # A cell holds two salts of a block; blocks with one salt are one cell.
+        names = [f"before_{i}" for i in range(1, EARLIER + 1)]
+        before = [F.coalesce(F.get("prefix", F.col("place") - i), F.lit(-1)).alias(name) for i, name in enumerate(names, 1)]
+        of_block = of_block.join(self.groups.select("gid", "prefix"), "gid").select(*of_block.columns, *before)
         salted = of_block.join(labelled, "gid").withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts")).cast("int"))
         cells = salted.select("*", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("other")).select(
             "token", F.least("salt", "other").alias("one"), F.greatest("salt", "other").alias("two"), "n", "place", "gid", "cid", "component",
-            (F.col("salt") > F.col("other")).cast("int").alias("side"), "bits",
+            (F.col("salt") > F.col("other")).cast("int").alias("side"), *names, "bits",
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,10 +401,10 @@ def _rows(rows: np.ndarray, stars: np.ndarray) -> pa.RecordBatch:
 
 def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
     """Rows and bitmaps of whole cells, many small cells or a large one at once."""
-    rows, bits = np.zeros((0, 9), np.int64), []
+    rows, bits = np.zeros((0, 9 + EARLIER), np.int64), []
     for batch in batches:
-        rows = np.concatenate((rows, np.column_stack([np.asarray(c, dtype=np.int64) for c in batch.columns[:9]])))
-        bits += batch.column(9).to_pylist()
+        rows = np.concatenate((rows, np.column_stack([np.asarray(c, dtype=np.int64) for c in batch.columns[:-1]])))
+        bits += batch.column(9 + EARLIER).to_pylist()
         if len(rows) >= CELL_ROWS:
             cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
             if len(cuts):
@@ -434,7 +442,8 @@ class _Bitmaps:
 
 
 class _Cells:
-    """Whole cells: rows (token, one, two, n, place, gid, cid, component, side), in order of size, with bitmaps."""
+    """Whole cells: rows (token, one, two, n, place, gid, cid, component, side, shingles before), in order of
+    size, with bitmaps."""
 
     def __init__(self, rows: np.ndarray, bits: list[bytes], similarity: int, forest: bool) -> None:
         self.similarity, self.forest = similarity, forest
@@ -442,17 +451,24 @@ class _Cells:
         self.cell = np.cumsum(new) - 1
         self.first = np.append(np.flatnonzero(new), len(rows))
         self.inside, self.across = rows[:, 0] < 0, rows[:, 1] != rows[:, 2]
-        self.n, self.place, self.gid, self.cid, self.component, self.side = rows[:, 3:].T
+        self.n, self.place, self.gid, self.cid, self.component, self.side = rows[:, 3:9].T
+        self.before = rows[:, 9:]
         self.bitmaps = _Bitmaps(bits)
         self._parent: dict[tuple[int, int], tuple[int, int]] = {}
 
     def _may_link(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Of pairs of rows with compatible sizes: components, groups, salts and positions."""
+        """Of pairs of rows with compatible sizes: components, groups, salts and positions.
+
+        Here the shingle has to be the first one that both sets share: what stands before it counts for nothing.
+        """
         fits = self.component[i] != self.component[j]
         fits &= (self.gid[i] != self.gid[j]) | self.inside[i]
         fits &= (self.side[i] != self.side[j]) | ~self.across[i]
-        most = np.minimum(self.place[i], self.place[j]) + np.minimum(self.n[i] - self.place[i], self.n[j] - self.place[j])
-        return fits & (most >= self._least(i, j))
+        fits &= np.minimum(self.n[i] - self.place[i], self.n[j] - self.place[j]) >= self._least(i, j)
+        for x in self.before.T:
+            for y in self.before.T:
+                fits &= (x[i] != y[j]) | (x[i] < 0)
+        return fits
 
     def _least(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         return -(-self.similarity * (self.n[i] + self.n[j]) // (100 + self.similarity))

@@ -373,6 +373,29 @@ def test_jaccard_large_cell_yields_a_forest_and_then_only_near_pairs():
     assert not sum(batch.num_rows for batch in jaccard._Cells(rows, bits, 90, False).pairs())
 
 
+def test_jaccard_pair_leaves_the_cell_of_its_first_shared_shingle_only():
+    rng = np.random.default_rng(4)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+    family = draw(400)
+    sets = [np.sort(np.append(np.delete(family, rng.integers(0, len(family), 8)), draw(8))) for _ in range(30)]
+    linked = {
+        (a, b)
+        for a in range(30) for b in range(a + 1, 30)
+        if 100 * len(np.intersect1d(sets[a], sets[b])) >= 90 * len(np.union1d(sets[a], sets[b]))
+    }
+    rows = []
+    for i, tokens in enumerate(sets):
+        prefix = tokens[: jaccard.prefix_size(len(tokens))].astype(np.int64).tolist()
+        for place, token in enumerate(prefix):
+            before = [prefix[place - k] if place >= k else -1 for k in range(1, jaccard.EARLIER + 1)]
+            rows.append((token, 0, 0, len(tokens), place, i, i, i, 0, *before))
+    rows.sort()
+    cells = jaccard._Cells(np.array(rows, np.int64), [jaccard.bitmap(sets[row[6]]) for row in rows], 90, False)
+    found = [pair for batch in cells.pairs() for pair in zip(*batch.to_pydict().values())]
+    # Every pair shares about 37 shingles of its prefixes.
+    assert len(linked) > 400 and linked <= set(found) and len(found) < 1.5 * len(set(found))
+
+
 def test_bitmaps_of_many_pairs_agree_with_single_ones():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64)) for n in (3, 500, 600, 1100, 5000, 40_000)]
