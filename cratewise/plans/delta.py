@@ -1,6 +1,6 @@
 """Delta build: the outputs of a new dump from those of the old one and what changed between the dumps.
 
-Rows are compared by hash, so only 24 bytes of each are shuffled. A changed row reaches the recordings whose
+The kept columns of both versions, which are few and narrow, are shuffled once to compare them. A changed row reaches the recordings whose
 cluster, titles, links or credits it may touch, and those reach their clusters. Only these clusters are
 elected again, from tables that are cut down to what they refer to; the rows of all other clusters are
 taken over. The three tables that hold one row for each elected group or credited artist are not tied to
@@ -30,23 +30,17 @@ OF_CLUSTERS = ("recording", "recording_artists", "link_lookup", "text_lookup")
 
 
 def changed_rows(old: DataFrame, new: DataFrame) -> DataFrame:
-    """The rows that one of two versions of a table holds more often than the other, of both versions.
+    """The rows that one of two versions of a table holds more often than the other, of both versions, each once.
 
-    A row that is held by both, but not equally often, may come twice.
+    The whole rows are compared, so they are read and shuffled once; NULLs are equal.
     """
-    columns = [F.col(c) for c in new.columns]
-    # Two hashes of 64 bits; only rows that changed could cancel each other out by chance.
-    hashes = [F.xxhash64(*columns).alias("h"), F.xxhash64(F.lit(1), *columns).alias("g")]
+    columns = new.columns
 
     def sides(version: DataFrame, side: int) -> DataFrame:
-        return version.select(*hashes, F.lit(side).alias("side"))
+        return version.select(*columns, F.lit(side).alias("_side"))
 
-    uneven = (
-        sides(old, -1).unionByName(sides(new, 1)).groupBy("h", "g").agg(F.sum("side").alias("more")).filter("more != 0")
-    )
-    rows = old.select(*new.columns).withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
-    marked = rows.withColumns({"_h": hashes[0], "_g": hashes[1]})
-    return marked.join(uneven, (F.col("_h") == F.col("h")) & (F.col("_g") == F.col("g")), "left_semi").select(*new.columns)
+    counted = sides(old, -1).unionByName(sides(new, 1)).groupBy(*columns).agg(F.sum("_side").alias("_more"))
+    return counted.filter("_more != 0").select(*columns)
 
 
 def _keys(*columns: DataFrame) -> DataFrame:
