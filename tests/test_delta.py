@@ -37,6 +37,16 @@ def test_changed_rows_count_repeats_and_nulls(spark):
     assert delta.changed_rows(new, new).isEmpty() and delta.changed_rows(new.limit(0), new.limit(0)).isEmpty()
 
 
+def test_changed_rows_come_once_after_one_shuffle(spark):
+    schema = "id bigint, name string"
+    old = spark.createDataFrame([(1, "a"), (2, None), (2, None), (3, "c")], schema)
+    new = spark.createDataFrame([(1, "a"), (2, None), (4, "d"), (4, "d")], schema)
+    changed = delta.changed_rows(old, new)
+    assert sorted((r.id, r.name) for r in changed.collect()) == [(2, None), (3, "c"), (4, "d")]
+    plan = changed._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and plan.count("LocalTableScan") + plan.count("ExistingRDD") == 2
+
+
 def test_delta_gives_the_outputs_of_a_whole_build(spark, later):
     catalogue, expected = later
     first = Catalogue(earlier_tables(dict(catalogue.tables)), Stage(spark))
