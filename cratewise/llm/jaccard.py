@@ -59,6 +59,9 @@ BITMAP_BUCKETS = 1 << 13
 # block before; pairs whose shared shingles lie farther apart may come more than once.
 EARLIER = 2
 
+# Texts or prefixes of a batch that are handled together, which bounds what a task holds of them.
+PORTION = 512
+
 # Rows of cells that are handled together, pairs whose bitmaps are compared at once, and the rows from which
 # a cell compares only its lesser components with the rest.
 CELL_ROWS = 1 << 15
@@ -85,6 +88,13 @@ def shingles(texts: list[bytes]) -> Iterator[np.ndarray]:
                 yield mix(h[a:b] * _C + _B) >> np.uint64(1)
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, few at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, PORTION):
+            yield batch.slice(first, PORTION)
+
+
 def prefix_size(n: int, similarity: int = SIMILARITY) -> int:
     return n - -(-similarity * n // 100) + 1
 
@@ -160,7 +170,7 @@ class JaccardJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             frequent = shared.value[0]
-            for batch in batches:
+            for batch in _portions(batches):
                 sizes, digests, groups, prefixes, bitmaps = [], [], [], [], []
                 for found in shingles(text_bytes(batch.column(1))):
                     tokens = _ordered(found, frequent)
@@ -214,7 +224,7 @@ class JaccardJoin:
             frequent, shares = shared.value
             hot = shares * n_docs > per_salt
             hot_tokens, hot_salts = frequent[hot].astype(np.int64), np.ceil(shares[hot] * n_docs / per_salt).astype(np.int32)
-            for batch in batches:
+            for batch in _portions(batches):
                 prefix = batch.column(2)
                 lengths = np.diff(np.asarray(prefix.offsets))
                 tokens = np.asarray(prefix.flatten())
@@ -281,7 +291,7 @@ class JaccardJoin:
         texts = self.docs.select("key", "key2", "text").join(at, ["key", "key2"]).select("cid", "text")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _portions(batches):
                 sets = [np.unique(s).astype(np.int64) for s in shingles(text_bytes(batch.column(1)))]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["cid", "tokens"])
 

@@ -396,6 +396,13 @@ def test_jaccard_pair_leaves_the_cell_of_its_first_shared_shingle_only():
     assert len(linked) > 400 and linked <= set(found) and len(found) < 1.5 * len(set(found))
 
 
+def test_jaccard_batches_are_handled_in_portions():
+    batch = jaccard.pa.RecordBatch.from_pydict({"a": list(range(1300)), "b": [[i, i + 1] for i in range(1300)]})
+    got = list(jaccard._portions(iter([batch, batch.slice(0, 0)])))
+    assert [x.num_rows for x in got] == [512, 512, 276]
+    assert [row for x in got for row in x.to_pylist()] == batch.to_pylist()
+
+
 def test_bitmaps_of_many_pairs_agree_with_single_ones():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64)) for n in (3, 500, 600, 1100, 5000, 40_000)]
