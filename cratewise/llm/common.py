@@ -157,6 +157,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def word_spans(text: bytes | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte positions at which the words of a text that ends with white space start and end."""
+    space = _IS_SPACE[np.frombuffer(text, np.uint8)]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edge = np.concatenate(([0], edge))
+    return edge[0::2], edge[1::2]
+
+
 class Words:
     """Words of several texts: 64-bit hashes in order, A-Z in lower case.
 
@@ -168,11 +177,7 @@ class Words:
     def __init__(self, texts: list[bytes]) -> None:
         joined = b"\n".join(texts) + b"\n"
         self.data = _LOWER[np.frombuffer(joined, np.uint8)]
-        space = _IS_SPACE[self.data]
-        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-        if not space[0]:
-            edge = np.concatenate(([0], edge))
-        self.starts, self.ends = edge[0::2], edge[1::2]
+        self.starts, self.ends = word_spans(self.data)
         sums = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(self.data)), out=sums[1:])
         own = (sums[self.ends] - sums[self.starts]) * _power(_INVERSE, len(self.data))[self.starts]

@@ -21,7 +21,7 @@ import zlib
 import numpy as np
 
 BLOCK = 4096
-MAGIC = b"CWTI0001"
+MAGIC = b"CWTI0002"
 _HEAD = struct.Struct("<8sIIQQ")  # magic, block size, wide ids, documents, blocks
 
 _SCALE = 2.0**20  # of all probabilities
@@ -32,7 +32,13 @@ _SLOTS1, _SLOTS2 = 1 << 12, 1 << 13
 _SURE = 3  # highest confidence of a prediction
 _SHIFT = 4  # rate at which shares adapt
 _MOST = 7 << 17  # of 2**20: what a share may reach
-_MULTIPLY1, _MULTIPLY2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_MULTIPLY = np.array([[0xC2B2AE3D27D4EB4F], [0x9E3779B97F4A7C15]], np.uint64)
+_DOWN = np.array([[51], [52]], np.uint64)
+_NEW = 9
+# By confidence, first of misses, then of hits: what a prediction gains, or that the id takes its place.
+_CHANGE = np.array([_NEW, _NEW, -1, -1, _NEW, 1, 1, 0], np.int32)
+_AIM = np.array([0, 1 << 20], np.int64)
+_ROWS = 32  # lanes counted at once
 
 
 def _sort_steps(longest: int) -> set[int]:
@@ -45,68 +51,53 @@ def _sort_steps(longest: int) -> set[int]:
 
 
 class _Mixer:
-    """Predictions of all lanes (blocks). Lanes are in descending order of length."""
+    """Predictions of all lanes (blocks). Lanes are in descending order of length.
+
+    Row 0 of every pair of rows is order 2, row 1 order 1. A prediction is id * 4 + confidence, and -4
+    (an id that never comes, without confidence) where there is none.
+    """
 
     def __init__(self, lanes: int) -> None:
-        self._first = np.zeros(lanes * _SLOTS1, np.int32)  # id * 4 + confidence; 0: none
-        self._second = np.zeros(lanes * _SLOTS2, np.int32)
-        self._share1 = np.full(lanes * (_SURE + 1), 1 << 17, np.int64)
-        self._share2 = np.full(lanes * (_SURE + 1), 1 << 18, np.int64)
-        self._share1[:: _SURE + 1] = 0
-        self._share2[:: _SURE + 1] = 0
-        self._lane = np.arange(lanes, dtype=np.int64)
-        self._before = np.zeros(lanes, np.uint64)
-        self._before2 = np.zeros(lanes, np.uint64)
-        self.sorted = self.run_start = self.run_end = None
-        self.width = 0  # ids of each lane that the counts hold
-        self.total = np.ones(lanes)  # those and the escape
-
-    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Order-2 id and upper bound of its interval, order-1 id and upper bound of its own."""
-        lane, one, two = self._lane[:n], self._before[:n], self._before2[:n]
-        slot = (one * _MULTIPLY1) >> np.uint64(52)
-        self._at1 = lane * _SLOTS1 + slot.astype(np.int64)
-        slot = ((one + (two << np.uint64(20))) * _MULTIPLY2) >> np.uint64(51)
-        self._at2 = lane * _SLOTS2 + slot.astype(np.int64)
-        self._v1, self._v2 = self._first[self._at1].astype(np.int64), self._second[self._at2].astype(np.int64)
-        self._s1, self._s2 = lane * (_SURE + 1) + (self._v1 & 3), lane * (_SURE + 1) + (self._v2 & 3)
-        self._e1, self._e2 = self._v1 >> 2, self._v2 >> 2
-        p2 = np.minimum(self._share2[self._s2], _MOST)
-        p1 = np.minimum(self._share1[self._s1], _MOST)
-        p1 *= self._e1 != self._e2
-        b2 = p2.astype(np.float64)
-        b1 = b2 + (((1 << 20) - p2) * p1 >> 20)
-        return self._e2, b2, self._e1, b1
-
-    def _learn(self, table, share, at, value, slot, guess, ids) -> None:
-        known = value != 0
-        hit = (guess == ids) & known
-        confidence = value & 3
-        keep = hit | (confidence > 1)
-        table[at] = np.where(keep, value + np.where(hit, confidence < _SURE, -1), ids * 4 + 1)
-        old = share[slot]
-        share[slot] = np.where(known, old + (((hit.astype(np.int64) << 20) - old) >> _SHIFT), 0)
+        lane = np.arange(lanes, dtype=np.int64)
+        self._table = np.full(lanes * (_SLOTS2 + _SLOTS1), -4, np.int32)
+        self._offset = np.stack((lane * _SLOTS2, lanes * _SLOTS2 + lane * _SLOTS1))
+        share = np.empty((2, lanes, _SURE + 1), np.int64)
+        share[0], share[1] = 1 << 18, 1 << 17
+        share[:, :, 0] = 0
+        self._share = share.ravel()
+        self._lane = np.stack((lane, lanes + lane)) * (_SURE + 1)
+        self._key = np.zeros((2, lanes), np.uint64)  # both ids before, the id before
+
+    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Predicted ids of both orders, and the upper bounds of their intervals."""
+        self._at = ((self._key[:, :n] * _MULTIPLY) >> _DOWN).view(np.int64)
+        self._at += self._offset[:, :n]
+        self._value = self._table.take(self._at)
+        self._sure = self._value & 3
+        self._slot = self._lane[:, :n] + self._sure
+        self._old = self._share.take(self._slot)
+        self._guess = self._value >> 2
+        bounds = np.minimum(self._old, _MOST)
+        bounds[1] *= self._guess[0] != self._guess[1]
+        bounds[1] *= (1 << 20) - bounds[0]
+        bounds[1] >>= 20
+        bounds[1] += bounds[0]
+        return self._guess, bounds.astype(np.float64)
 
     def update(self, n: int, ids: np.ndarray) -> None:
-        self._learn(self._first, self._share1, self._at1, self._v1, self._s1, self._e1, ids)
-        self._learn(self._second, self._share2, self._at2, self._v2, self._s2, self._e2, ids)
-        self._before2[:n] = self._before[:n]
-        self._before[:n] = ids.astype(np.uint64) + np.uint64(1)
-
-    def recount(self, seen: np.ndarray) -> None:
-        """Count anew; ``seen`` holds the ids so far of every lane that goes on."""
-        n, width = seen.shape
-        rows = np.sort(seen, axis=1)
-        first = np.ones((n, width), bool)
-        first[:, 1:] = rows[:, 1:] != rows[:, :-1]
-        place = np.arange(width, dtype=np.int32)
-        start = np.maximum.accumulate(np.where(first, place, 0), axis=1)
-        last = np.ones((n, width), bool)
-        last[:, :-1] = first[:, 1:]
-        end = np.minimum.accumulate(np.where(last, place + 1, width)[:, ::-1], axis=1)[:, ::-1]
-        self.sorted, self.run_start, self.run_end = rows.ravel(), start.ravel(), np.ascontiguousarray(end).ravel()
-        self.width = width
-        self.total = (width + first.sum(axis=1)).astype(np.float64)
+        hit = self._guess == ids
+        change = _CHANGE.take(self._sure + 4 * hit.view(np.int8))
+        self._value += change
+        np.copyto(self._value, ids * 4 + 1, where=change == _NEW)
+        self._table[self._at] = self._value
+        aim = _AIM.take(hit.view(np.int8))
+        aim -= self._old
+        aim >>= _SHIFT
+        aim += self._old
+        self._share[self._slot] = aim
+        one = (ids + 1).astype(np.uint64)
+        self._key[0, :n] = one + (self._key[1, :n] << np.uint64(20))
+        self._key[1, :n] = one
 
 
 def _lanes(lengths: np.ndarray) -> np.ndarray:
@@ -115,6 +106,64 @@ def _lanes(lengths: np.ndarray) -> np.ndarray:
     return np.searchsorted(-lengths, -np.arange(longest), side="left")
 
 
+def _ranks(rows: np.ndarray) -> np.ndarray:
+    """Place of every id among the distinct ids of its row."""
+    ranks = np.empty(rows.shape, np.int32)
+    for first in range(0, len(rows), _ROWS):
+        own = rows[first : first + _ROWS]
+        order = np.argsort(own, axis=1)
+        ordered = np.take_along_axis(own, order, axis=1)
+        place = np.zeros(own.shape, np.int32)
+        np.cumsum(ordered[:, 1:] != ordered[:, :-1], axis=1, out=place[:, 1:])
+        np.put_along_axis(ranks[first : first + _ROWS], order, place, axis=1)
+    return ranks
+
+
+def _counts_before(ranks: np.ndarray, t: int, later: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the first ``t`` ids of every row: how many lie below, and not above, each id from ``t`` to
+    ``later``, and the total with the escape. Ids that are new have -1 in place of the second."""
+    n, width = ranks.shape
+    below, upto, total = [], [], np.empty(n)
+    for first in range(0, n, _ROWS):
+        own = ranks[first : first + _ROWS]
+        base = np.arange(len(own), dtype=np.int64)[:, None] * width
+        sums = np.bincount((own[:, :t] + base).ravel(), minlength=len(own) * width).reshape(len(own), width)
+        total[first : first + _ROWS] = t + np.count_nonzero(sums, axis=1)
+        ask = (own[:, t:later] + base).ravel()
+        count = sums.ravel().take(ask)
+        end = np.cumsum(sums, axis=1).ravel().take(ask)
+        new = count == 0
+        start = end - count
+        start[new], end[new] = t, -1
+        below.append(start.reshape(len(own), -1).astype(np.float64))
+        upto.append(end.reshape(len(own), -1).astype(np.float64))
+    # One row per step, whose ids lie side by side.
+    turned = [np.ascontiguousarray(np.concatenate(x).T) for x in (below, upto)]
+    return turned[0], turned[1], total
+
+
+def _counted(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids so far of every lane in order, and the total of each lane with its escape.
+
+    An entry holds an id and the start and end of its run, 14 bits each; the last one of a lane is the escape.
+    """
+    n, width = seen.shape
+    packed, total = np.empty((n, width + 1), np.int64), np.empty(n)
+    for first in range(0, n, _ROWS):
+        rows = np.sort(seen[first : first + _ROWS], axis=1)
+        new = np.ones(rows.shape, bool)
+        new[:, 1:] = rows[:, 1:] != rows[:, :-1]
+        at = np.flatnonzero(new)
+        size = np.diff(at, append=rows.size)
+        start = at % width
+        run = (rows.ravel()[at].astype(np.int64) << 28) + (start << 14) + start + size
+        here = slice(first, first + len(rows))
+        packed[here, :-1] = np.repeat(run, size).reshape(rows.shape)
+        total[here] = width + np.count_nonzero(new, axis=1)
+    packed[:, -1] = (-1 << 28) + (width << 14) + total.astype(np.int64)
+    return packed.ravel(), total
+
+
 def _encode_lanes(rows: np.ndarray, lengths: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray]:
     """Code words of every lane (a matrix) and how many there are. ``rows``: ids, padded."""
     lanes, longest = rows.shape
@@ -125,141 +174,163 @@ def _encode_lanes(rows: np.ndarray, lengths: np.ndarray, wide: bool) -> tuple[np
     place = base + 1  # word 0 takes a carry, which never comes
     low, span = np.zeros(lanes), np.full(lanes, _STATE)
     resort, going = _sort_steps(longest), _lanes(lengths)
-    counted_from, c0, c1 = 0, None, None
+    ranks, steps = _ranks(rows), np.ascontiguousarray(rows.T)
+    counted_from = 0
+    c0, c1, total = np.zeros((min(16, longest), lanes)), np.full((min(16, longest), lanes), -1.0), np.ones(lanes)
 
-    def put(index, unit, start, size) -> None:
-        """Narrow the range of these lanes to [start, start + size) units."""
-        lo = low[index] + unit * start
+    def put(low, span, place, unit, start, size):
+        """Narrow these ranges to [start, start + size) units: the new state."""
+        unit_start = unit * start
+        lo = low + unit_start
+        over = np.flatnonzero(lo >= _STATE)
+        if len(over):
+            out[place[over] - 1] += 1
+            lo[over] -= _STATE
         width = unit * size
-        carry = lo >= _STATE
-        at = place[index]
-        out[at - 1] += carry
-        lo -= carry * _STATE
         short = width < _LOW
-        word = np.floor(lo / _LOW)
-        out[at] = word  # stays only where the place moves on
-        factor = np.where(short, _WORD, 1.0)
-        low[index] = (lo - word * short * _LOW) * factor
-        span[index] = width * factor
-        place[index] = at + short
+        word = np.floor(lo * (1 / _LOW))
+        out[place] = word  # stays only where the place moves on
+        word *= _LOW
+        np.subtract(lo, word, out=word)
+        word *= _WORD
+        np.copyto(lo, word, where=short)
+        np.copyto(width, width * _WORD, where=short)
+        return lo, width, place + short
 
     for t in range(longest):
         n = int(going[t])
-        if t in resort or t == 0:
-            if t:
-                mixer.recount(rows[:n, :t])
+        if t in resort:
             later = min([x for x in resort if x > t], default=longest)
-            window = rows[:n, t:later]
             counted_from = t
-            if t:
-                width = mixer.width
-                keys = (mixer.sorted.astype(np.int64).reshape(n, width) + (np.arange(n, dtype=np.int64) << 32)[:, None]).ravel()
-                ask = (window.astype(np.int64) + (np.arange(n, dtype=np.int64) << 32)[:, None]).ravel()
-                own = np.arange(n, dtype=np.int64)[:, None] * width
-                at = np.minimum(np.searchsorted(keys, ask), len(keys) - 1)
-                known = (keys[at] == ask).reshape(window.shape)
-                c0 = np.where(known, mixer.run_start[at].reshape(window.shape), width)
-                c1 = np.where(known, mixer.run_end[at].reshape(window.shape), -1)
-            else:
-                c0, c1 = np.zeros(window.shape, np.int64), np.full(window.shape, -1)
-        ids = rows[:n, t].astype(np.int64)
-        e2, b2, e1, b1 = mixer.predict(n)
-        by2 = (e2 == ids) & (b2 > 0)
-        by1 = (e1 == ids) & (b1 > b2) & ~by2
-        total = mixer.total[:n]
-        f0, f1 = c0[:n, t - counted_from], c1[:n, t - counted_from]
+            c0, c1, total = _counts_before(ranks[:n], t, later)
+        ids = steps[t, :n]
+        guess, bounds = mixer.predict(n)
+        b2, b1 = bounds
+        by2, by1 = (guess == ids) & (bounds > 0)
+        by1 &= b1 > b2
+        f0, f1 = c0[t - counted_from, :n], c1[t - counted_from, :n]
         novel = f1 < 0
         rest = _SCALE - b1
-        start = b1 + np.floor(f0 * rest / total)
-        end = b1 + np.floor(np.where(novel, total, f1) * rest / total)
-        start = np.where(by2, 0.0, np.where(by1, b2, start))
-        end = np.where(by2, b2, np.where(by1, b1, end))
-        unit = np.floor(span[:n] / _SCALE)
-        put(slice(0, n), unit, start, end - start)
-        raw = np.flatnonzero(novel & ~by2 & ~by1)
+        start = np.floor(f0 * rest / total[:n])
+        start += b1
+        end = f1 * rest
+        end /= total[:n]
+        np.floor(end, out=end)
+        np.copyto(end, rest, where=novel)
+        end += b1
+        np.copyto(start, b2, where=by1)
+        np.copyto(end, b1, where=by1)
+        np.copyto(start, 0.0, where=by2)
+        np.copyto(end, b2, where=by2)
+        end -= start
+        unit = np.floor(span[:n] * (1 / _SCALE))
+        low[:n], span[:n], place[:n] = put(low[:n], span[:n], place[:n], unit, start, end)
+        novel &= ~(by1 | by2)
+        raw = np.flatnonzero(novel)
         if len(raw):
-            if wide:
-                put(raw, np.floor(span[raw] / _WORD), (ids[raw] >> 16).astype(np.float64), 1.0)
-            put(raw, np.floor(span[raw] / _WORD), (ids[raw] & 0xFFFF).astype(np.float64), 1.0)
+            for down in (16, 0) if wide else (0,):
+                part = ((ids[raw] >> down) & 0xFFFF).astype(np.float64)
+                unit = np.floor(span[raw] * (1 / _WORD))
+                low[raw], span[raw], place[raw] = put(low[raw], span[raw], place[raw], unit, part, 1.0)
         mixer.update(n, ids)
     for _ in range(3):
-        word = np.floor(low / _LOW)
+        word = np.floor(low * (1 / _LOW))
         # A carry that is still to come cannot be: low is below the state here.
         out[place] = word
         low = (low - word * _LOW) * _WORD
         place = place + 1
-    matrix = out.reshape(lanes, capacity)
-    counts = place - base
-    for column in range(int(counts.max()) - 1, 0, -1):
-        matrix[:, column - 1] += matrix[:, column] >> 16
-        matrix[:, column] &= 0xFFFF
-    return matrix, counts
+    over = np.flatnonzero(out > 0xFFFF)
+    while len(over):
+        out[over] &= 0xFFFF
+        out[over - 1] += 1
+        over = over[out[over - 1] > 0xFFFF] - 1
+    return out.reshape(lanes, capacity), place - base
 
 
 def _decode_lanes(words: np.ndarray, begins: np.ndarray, lengths: np.ndarray, wide: bool) -> np.ndarray:
     lanes, longest = len(lengths), int(lengths[0])
     mixer = _Mixer(lanes)
-    rows = np.zeros((lanes, longest), np.int32)
-    words = np.concatenate((words.astype(np.float64), np.zeros(8)))
-    top = len(words) - 1
+    steps = np.zeros((longest, lanes), np.int32)
+    words = np.concatenate((words, np.zeros(8, words.dtype)))
     place = begins.astype(np.int64)
     code = np.zeros(lanes)
     for _ in range(3):
-        code = code * _WORD + words[np.minimum(place, top)]
+        code = code * _WORD + words.take(place, mode="clip")
         place = place + 1
     span = np.full(lanes, _STATE)
     resort, going = _sort_steps(longest), _lanes(lengths)
+    counted, total, width = np.full(lanes, (-1 << 28) + 1), np.ones(lanes), 0
+    own = np.arange(lanes, dtype=np.int64)
 
-    def take(index, unit, start, size) -> None:
-        rest, width = code[index] - unit * start, unit * size
-        short = width < _LOW
-        at = place[index]
-        factor = np.where(short, _WORD, 1.0)
-        code[index] = rest * factor + words[np.minimum(at, top)] * short
-        span[index] = width * factor
-        place[index] = at + short
+    def take(code, span, place, unit, start, size):
+        code = code - unit * start
+        size = unit * size
+        short = size < _LOW
+        longer = code * _WORD
+        longer += words.take(place, mode="clip").astype(np.float64)
+        np.copyto(code, longer, where=short)
+        np.copyto(size, size * _WORD, where=short)
+        return code, size, place + short
 
     for t in range(longest):
         n = int(going[t])
         if t in resort:
-            mixer.recount(rows[:n, :t])
-        e2, b2, e1, b1 = mixer.predict(n)
-        total, width = mixer.total[:n], mixer.width
-        unit = np.floor(span[:n] / _SCALE)
-        value = np.minimum(np.floor(code[:n] / unit), _SCALE - 1)
-        by2 = value < b2
-        by1 = (value < b1) & ~by2
+            counted, total = _counted(steps[:t, :n].T)
+            width = t
+            own = np.arange(n, dtype=np.int64) * (width + 1)
+        guess, bounds = mixer.predict(n)
+        b2, b1 = bounds
+        sums = total[:n]
+        unit = np.floor(span[:n] * (1 / _SCALE))
+        value = code[:n] / unit
+        np.floor(value, out=value)
+        np.minimum(value, _SCALE - 1, out=value)
+        by2, by1 = value < bounds
         rest = _SCALE - b1
-        share = np.floor((np.maximum(value - b1, 0.0) + 1.0) * total / rest)
+        value -= b1
+        np.maximum(value, 0.0, out=value)
         # The largest count whose start is not above the value.
-        share -= np.floor(share * rest / total) > np.maximum(value - b1, 0.0)
-        share = np.minimum(share, total - 1)
-        novel = share >= width
-        if width:
-            at = np.minimum(share, width - 1).astype(np.int64) + np.arange(n, dtype=np.int64) * width
-            ids = mixer.sorted[at].astype(np.int64)
-            f0 = np.where(novel, width, mixer.run_start[at])
-            f1 = np.where(novel, total, mixer.run_end[at])
-        else:
-            ids, f0, f1 = np.zeros(n, np.int64), np.zeros(n), total
-        start = b1 + np.floor(f0 * rest / total)
-        end = b1 + np.floor(f1 * rest / total)
-        start = np.where(by2, 0.0, np.where(by1, b2, start))
-        end = np.where(by2, b2, np.where(by1, b1, end))
-        take(slice(0, n), unit, start, end - start)
-        ids = np.where(by2, e2, np.where(by1, e1, ids))
-        raw = np.flatnonzero(novel & ~by2 & ~by1)
+        share = value + 1.0
+        share *= sums
+        share /= rest
+        np.floor(share, out=share)
+        below = share * rest
+        below /= sums
+        np.floor(below, out=below)
+        np.copyto(share, share - 1.0, where=below > value)
+        place_of = np.minimum(share, width).astype(np.int64)
+        place_of += own[:n]
+        entry = counted.take(place_of)
+        ids = entry >> 28
+        end = (entry & 0x3FFF).astype(np.float64)
+        entry >>= 14
+        entry &= 0x3FFF
+        start = entry.astype(np.float64)
+        for edge in (start, end):
+            edge *= rest
+            edge /= sums
+            np.floor(edge, out=edge)
+            edge += b1
+        np.copyto(start, b2, where=by1)
+        np.copyto(end, b1, where=by1)
+        np.copyto(ids, guess[1], where=by1)
+        np.copyto(start, 0.0, where=by2)
+        np.copyto(end, b2, where=by2)
+        np.copyto(ids, guess[0], where=by2)
+        end -= start
+        code[:n], span[:n], place[:n] = take(code[:n], span[:n], place[:n], unit, start, end)
+        raw = np.flatnonzero(ids < 0)
         if len(raw):
             found = np.zeros(len(raw), np.int64)
             for _ in range(1 + wide):
-                unit = np.floor(span[raw] / _WORD)
+                unit = np.floor(span[raw] * (1 / _WORD))
                 part = np.minimum(np.floor(code[raw] / unit), _WORD - 1)
-                take(raw, unit, part, 1.0)
+                code[raw], span[raw], place[raw] = take(code[raw], span[raw], place[raw], unit, part, 1.0)
                 found = (found << 16) + part.astype(np.int64)
             ids[raw] = found
-        rows[:n, t] = ids
-        mixer.update(n, ids)
-    return rows
+        steps[t, :n] = ids
+        mixer.update(n, ids.astype(np.int32))
+    return np.ascontiguousarray(steps.T)
 
 
 def pack(doc_ids: list[int | None], documents: list[np.ndarray], block: int = BLOCK) -> bytes:

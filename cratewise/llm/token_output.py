@@ -9,8 +9,10 @@ NULL doc_ids come first and equal ones are ordered by text. NULL and empty texts
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,18 +22,94 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cratewise.llm import idcoder
-from cratewise.llm.common import WordMemory, shuffle_partitions, steps, text_bytes
+from cratewise.llm.common import WordMemory, mix, shuffle_partitions, steps, text_bytes, word_spans
 from cratewise.sources.stage import Stage
 
 # Ids of a segment: it is closed with the document that reaches them.
-SEGMENT_IDS = 4 << 20
-
-# Words whose ids a worker remembers, in each of two generations; results do not depend on it.
-REMEMBERED_WORDS = 200_000
+SEGMENT_IDS = 6 << 20
+
+# Words whose ids a worker remembers, in each of two generations; results do not depend on it. Those of at
+# most SHORT bytes take about 60 bytes each, in arrays; the few others are objects.
+REMEMBERED_WORDS = 1 << 20
+REMEMBERED_LONG = 50_000
+SHORT = 16
+
+_PARTS = [("<u8", 0), ("<u8", 8)]
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+class _Words:
+    """Distinct short words and their ids, found by open addressing; the whole word is compared."""
+
+    def __init__(self, most: int) -> None:
+        self._bits = max(4, (2 * most - 1).bit_length())
+        self._slots = np.full(1 << self._bits, -1, np.int32)
+        self._keys = [np.zeros(most, np.uint64), np.zeros(most, np.uint64), np.zeros(most, np.uint8)]
+        self._begin = np.zeros(most + 1, np.int64)
+        self._ids = np.zeros(4 * most, np.int32)
+        self.size = 0
+
+    def _slot(self, keys: list[np.ndarray]) -> np.ndarray:
+        low, high, length = keys
+        return (mix(low ^ mix(high + length)) >> np.uint64(64 - self._bits)).astype(np.int64)
+
+    def find(self, keys: list[np.ndarray]) -> np.ndarray:
+        """Number of each word, -1 for one that is not here."""
+        slot, last = self._slot(keys), len(self._slots) - 1
+        found = self._slots[slot]
+        todo = np.flatnonzero(found >= 0)
+        while len(todo):
+            here = found[todo]
+            other = np.zeros(len(todo), bool)
+            for own, key in zip(self._keys, keys):
+                other |= own[here] != key[todo]
+            todo = todo[other]
+            slot[todo] = (slot[todo] + 1) & last
+            found[todo] = self._slots[slot[todo]]
+            todo = todo[found[todo] >= 0]
+        return found
+
+    def add(self, keys: list[np.ndarray], counts: np.ndarray, ids: np.ndarray) -> None:
+        """Add distinct words that are not here; ``ids`` holds those of all words, ``counts`` of each."""
+        first, last = self.size, self.size + len(counts)
+        for own, key in zip(self._keys, keys):
+            own[first:last] = key
+        self._begin[first + 1 : last + 1] = self._begin[first] + np.cumsum(counts)
+        if self._begin[last] > len(self._ids):
+            self._ids = np.resize(self._ids, max(2 * len(self._ids), int(self._begin[last])))
+        self._ids[self._begin[first] : self._begin[last]] = ids
+        self.size = last
+        number, slot = np.arange(first, last, dtype=np.int32), self._slot(keys)
+        while len(number):
+            free = self._slots[slot] < 0
+            self._slots[slot[free]] = number[free]
+            left = self._slots[slot] != number
+            number, slot = number[left], (slot[left] + 1) & (len(self._slots) - 1)
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of these words has, and all of them in order."""
+        begin = self._begin[numbers]
+        counts = self._begin[numbers + 1] - begin
+        return counts, self._ids[_ranges(begin, counts)]
+
+
+def _ranges(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... of each count, one after the other."""
+    ends = np.cumsum(counts)
+    return np.repeat(begin - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _distinct(keys: list[np.ndarray]) -> np.ndarray:
+    """One place of each distinct word."""
+    order = np.lexsort(keys)
+    rows = [key[order] for key in keys]
+    first = np.ones(len(order), bool)
+    first[1:] = reduce(np.logical_or, [row[1:] != row[:-1] for row in rows])
+    return order[first]
 
 
 class WordCache:
-    """The tokenizers library, asked once for each distinct word.
+    """The tokenizers library, asked for a word only if it is not remembered.
 
     For tokenizers that drop white space; others raise ``ValueError``. Special tokens in the text count
     as such, since none of them holds white space.
@@ -44,20 +122,71 @@ class WordCache:
         ids = lambda text: self._library.encode(text, add_special_tokens=False).ids
         if ids(" ab\n\t\rc \x0b\x0c") != ids("ab") + ids("c"):
             raise ValueError("the tokenizer keeps white space")
-        self._memory = WordMemory(REMEMBERED_WORDS)
+        self._long = WordMemory(REMEMBERED_LONG)
+        self._young, self._old = _Words(REMEMBERED_WORDS), None
+
+    def _ask(self, words: list[bytes]) -> list[np.ndarray]:
+        coded = self._library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(c.ids, np.int32) for c in coded]
+
+    def _short_words(self, text: bytes, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of these words of the text has, and all of them in order."""
+        keys = []
+        for kind, offset in _PARTS:
+            eight = np.ndarray(len(text) - offset - 7, kind, text, offset, (1,))[starts]
+            keys.append(eight & _MASKS[np.clip(lengths - offset, 0, 8)])
+        keys.append(lengths.astype(np.uint8))
+        pick = lambda at: [key[at] for key in keys]
+        numbers = self._young.find(keys)
+        missing = np.flatnonzero(numbers < 0)
+        new = missing[_distinct(pick(missing))]
+        if self._young.size + len(new) > REMEMBERED_WORDS:
+            missing = np.arange(len(starts))
+            new = _distinct(keys)
+            self._old, self._young = self._young, _Words(max(REMEMBERED_WORDS, len(new)))
+        if self._old is not None and len(new):
+            known = self._old.find(pick(new))
+            kept = known >= 0
+            self._young.add(pick(new[kept]), *self._old.ids(known[kept]))
+            new = new[~kept]
+        if len(new):
+            words = [text[a:b] for a, b in zip(starts[new].tolist(), (starts[new] + lengths[new]).tolist())]
+            coded = self._ask(words)
+            self._young.add(pick(new), np.fromiter(map(len, coded), np.int64, len(coded)), np.concatenate(coded))
+        numbers[missing] = self._young.find(pick(missing))
+        return self._young.ids(numbers)
+
+    def _long_words(self, words: list[bytes]) -> list[bytes]:
+        new = self._long.missing(set(words))
+        known = self._long.known
+        if new:
+            order = list(new)
+            known.update((w, ids.tobytes()) for w, ids in zip(order, self._ask(order)))
+        return [known[w] for w in words]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         out = []
         for first, last in steps(texts):
-            split = [text.split() for text in texts[first:last]]
-            new = self._memory.missing(set().union(*split))
-            known = self._memory.known
-            if new:
-                order = list(new)
-                coded = self._library.encode_batch_fast([w.decode() for w in order], add_special_tokens=False)
-                known.update((w, np.array(c.ids, "<i4").tobytes()) for w, c in zip(order, coded))
-            find = known.__getitem__
-            out += [np.frombuffer(b"".join(map(find, row)), "<i4") for row in split]
+            joined = b"\n".join([b"", *texts[first:last], bytes(SHORT)])
+            starts, ends = word_spans(joined[:-SHORT])
+            lengths = ends - starts
+            short = lengths <= SHORT
+            counts = np.zeros(len(starts), np.int64)
+            counts[short], ids = self._short_words(joined, starts[short], lengths[short])
+            place = np.flatnonzero(~short)
+            if len(place):
+                spans = zip(starts[place].tolist(), ends[place].tolist())
+                found = self._long_words([joined[a:b] for a, b in spans])
+                counts[place] = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+                own = np.repeat(short, counts)
+                both = np.zeros(len(own), np.int32)
+                both[own] = ids
+                both[~own] = np.frombuffer(b"".join(found), np.int32)
+                ids = both
+            sums = np.concatenate(([0], np.cumsum(counts)))
+            sizes = np.fromiter(map(len, texts[first:last]), np.int64, last - first) + 1
+            bounds = sums[np.searchsorted(starts, 1 + np.concatenate(([0], np.cumsum(sizes))))]
+            out += [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         return out
 
 
@@ -66,6 +195,8 @@ _built: dict[str, WordCache] = {}
 
 def _cache(description: str) -> WordCache:
     if description not in _built:
+        # A task has one core; threads of the library would only compete with those of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _built.clear()
         _built[description] = WordCache(description)
     return _built[description]

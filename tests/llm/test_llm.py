@@ -81,6 +81,53 @@ def test_id_blocks_round_trip_and_notice_damage():
         idcoder.unpack(bytes(damaged))
 
 
+def test_id_counts_equal_brute_force():
+    rng = np.random.default_rng(4)
+    rows = rng.integers(0, 30, (70, 60)).astype(np.int32)
+    for t, later in ((1, 2), (16, 32), (59, 60)):
+        below, upto, total = idcoder._counts_before(idcoder._ranks(rows), t, later)
+        packed, same_total = idcoder._counted(rows[:, :t])
+        packed = packed.reshape(70, t + 1)
+        for lane, row in enumerate(rows.tolist()):
+            seen = row[:t]
+            assert total[lane] == same_total[lane] == t + len(set(seen))
+            runs = [(i, sum(x < i for x in seen), sum(x <= i for x in seen)) for i in sorted(seen)]
+            assert [(e >> 28, e >> 14 & 0x3FFF, e & 0x3FFF) for e in packed[lane].tolist()] == [*runs, (-1, t, total[lane])]
+            for i, asked in enumerate(row[t:later]):
+                expected = (sum(x < asked for x in seen), sum(x <= asked for x in seen)) if asked in seen else (t, -1)
+                assert (below[i, lane], upto[i, lane]) == expected
+
+
+def test_words_are_asked_for_once():
+    """Half a million distinct words, twice: what a worker remembers holds them all."""
+    cache, asked = token_output.WordCache(bpe.read_description(PATH)), []
+
+    class Library:
+        def encode_batch_fast(self, words, add_special_tokens):
+            asked.append(len(words))
+            return [type("Ids", (), {"ids": [int(w)]}) for w in words]
+
+    cache._library = Library()
+    texts = [b" ".join(b"%d" % n for n in range(first, first + 50_000)) for first in range(0, 500_000, 50_000)]
+    for _ in range(2):
+        assert np.concatenate(cache.encode(texts)).tolist() == list(range(500_000))
+    assert sum(asked) == 500_000
+
+
+def test_remembered_words_change_no_ids(monkeypatch):
+    monkeypatch.setattr(token_output, "REMEMBERED_WORDS", 7)
+    monkeypatch.setattr(token_output, "REMEMBERED_LONG", 2)
+    cache, library = token_output.WordCache(bpe.read_description(PATH)), Tokenizer.from_file(PATH)
+    ends = ["a" * n for n in range(1, 20)] + ["é" * 8, "é" * 9, "x", "x\x00", "x\x00\x00", "\x00", "b" * 8 + "a", "b" * 8]
+    many = [*[t or "" for t in texts()], *ends, " ".join(ends), " ".join(ends[::-1]), "", " "]
+    for _ in range(2):
+        for size in (1, 3, len(many)):
+            for first in range(0, len(many), size):
+                part = many[first : first + size]
+                expected = [library.encode(t, add_special_tokens=False).ids for t in part]
+                assert [ids.tolist() for ids in cache.encode([t.encode() for t in part])] == expected
+
+
 def test_token_output(spark, docs):
     library = Tokenizer.from_file(PATH)
     got = token_output.token_output(docs, bpe.read_description(PATH), 2).orderBy("start").collect()
