@@ -3,11 +3,13 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from cratewise.operators import history as h
 from cratewise.operators.skew import HotKeys
 from cratewise.sources.history import read_history, stream_history
 from cratewise.streaming.resolve import resolve_batches, resolve_stream, write_resolved
+from verification import adapters
 
 PLAY = {
     "ts": "2024-05-02T08:00:00Z",
@@ -163,3 +165,18 @@ def test_damaged_files_fail(spark, tmp_path):
     for name in ("cut.json", "typed.json"):
         with pytest.raises(Exception, match="FAILFAST|MALFORMED|Malformed"):
             read_history(spark, str(tmp_path / name)).collect()
+
+
+def test_plays_without_a_key_are_spread(spark):
+    """Two thirds of the plays have no order; they must not share the task of the NULLs."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        plays = adapters.history(spark, "/root/testdata/sf0.001")
+        rows = [r["count"] for r in plays.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(rows) > 1 and max(rows) < sum(rows) / 2
