@@ -173,39 +173,43 @@ def _contexts(lower: np.ndarray):
 
 
 class _Lookup:
-    """Values by 64-bit key: two open tables, and a search for the few keys that found no room."""
+    """Values by 64-bit key: two open tables of places, and a search for the few keys that found no room.
+
+    The tables hold 4 bytes a slot, and keys and values stay as they came, without a copy.
+    """
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self._bits = max(10, int(np.ceil(np.log2(max(len(keys), 1)))) + 2)
+        self._keys, self._values = keys, values
+        self._bits = max(10, int(np.ceil(np.log2(max(len(keys), 1)))) + 1)
         self._tables = []
+        rest = np.arange(len(keys), dtype=np.int32)
         for multiplier in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93):
-            slot = self._slot(keys, multiplier)
-            held, at = np.zeros(1 << self._bits, np.uint64), np.full(1 << self._bits, np.nan)
-            held[slot], at[slot] = keys, values
-            self._tables.append((multiplier, held, at))
-            rest = held[slot] != keys
-            keys, values = keys[rest], values[rest]
-        order = np.argsort(keys)
-        self._keys, self._values = keys[order], values[order]
+            slot = self._slot(keys[rest], multiplier)
+            places = np.zeros(1 << self._bits, np.int32)
+            places[slot] = rest
+            self._tables.append((multiplier, places))
+            rest = rest[places[slot] != rest]
+        self._rest = rest[np.argsort(keys[rest])]
+        self._rest_keys = keys[self._rest]
 
     def _slot(self, keys: np.ndarray, multiplier: int) -> np.ndarray:
-        return ((keys * np.uint64(multiplier)) >> np.uint64(64 - self._bits)).astype(np.int64)
+        slot = keys * np.uint64(multiplier)
+        slot >>= np.uint64(64 - self._bits)
+        return slot.view(np.int64)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        multiplier, held, at = self._tables[0]
-        slot = self._slot(keys, multiplier)
-        out = at[slot]
-        missing = np.flatnonzero(held[slot] != keys)
+        multiplier, places = self._tables[0]
+        place = places[self._slot(keys, multiplier)]
+        missing = np.flatnonzero(self._keys[place] != keys)
         if len(missing):
             rest = keys[missing]
-            multiplier, held, at = self._tables[1]
-            slot = self._slot(rest, multiplier)
-            found = at[slot]
-            still = np.flatnonzero(held[slot] != rest)
+            multiplier, places = self._tables[1]
+            found = places[self._slot(rest, multiplier)]
+            still = np.flatnonzero(self._keys[found] != rest)
             if len(still):
-                found[still] = self._values[np.searchsorted(self._keys, rest[still])]
-            out[missing] = found
-        return out
+                found[still] = self._rest[np.searchsorted(self._rest_keys, rest[still])]
+            place[missing] = found
+        return self._values[place]
 
 
 _SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"

@@ -7,6 +7,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -540,6 +541,24 @@ def test_lm_scores(spark, docs, block_bytes, monkeypatch):
     assert ppm.lm_scores(empty(docs)).count() == 0
 
 
+def test_lookup_holds_little_beside_its_keys():
+    rng = np.random.default_rng(3)
+    keys = rng.permutation(np.unique(rng.integers(0, 1 << 63, 300_000, np.uint64)))
+    values = rng.random(len(keys))
+    tracemalloc.start()
+    found = ppm._Lookup(keys, values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 * len(keys)  # 16 of them are the given keys and values; the tables once took 224
+    at = rng.integers(0, len(keys), 1_000_000)
+    assert (found(keys[at]) == values[at]).all()
+    # Keys that share a slot in both tables, and a table of one.
+    one = ppm._Lookup(keys[:1], values[:1])
+    assert one(keys[[0, 0]]).tolist() == [values[0]] * 2
+    crowded = ppm._Lookup(keys[:2000], values[:2000])
+    assert len(crowded._rest) and (crowded(keys[:2000]) == values[:2000]).all()
+
+
 # Quality
 
 
