@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from cratewise.llm.common import WordMemory, steps, text_bytes
+from cratewise.llm.common import WordMemory, in_worker, steps, text_bytes
 
 # Words whose encoding a worker remembers, in each of two generations; results do not depend on it.
 REMEMBERED_WORDS = 200_000
@@ -239,15 +239,9 @@ class TrieBpe:
             return b" ".join([self._tokens[v] for v in values if v in self._tokens])
 
 
-_built: dict[str, TrieBpe] = {}
-
-
 def tokenizer(description: str) -> TrieBpe:
-    """The worker's tokenizer of that description; a worker keeps the last one."""
-    if description not in _built:
-        _built.clear()
-        _built[description] = TrieBpe(description)
-    return _built[description]
+    """The worker's tokenizer of that description."""
+    return in_worker(("trie", description), lambda: TrieBpe(description))
 
 
 def read_description(path: str) -> str:

@@ -88,6 +88,26 @@ class WordMemory:
         return new.difference(kept)
 
 
+_Made = TypeVar("_Made")
+_in_worker: dict[tuple[str, str], object] = {}
+
+
+def in_worker(key: tuple[str, str], make: Callable[[], _Made]) -> _Made:
+    """What tasks of a worker share, made by the first of them. A worker holds one such thing at a time."""
+    if key not in _in_worker:
+        _in_worker.clear()
+        _in_worker[key] = make()
+    return _in_worker[key]
+
+
+def leave_nothing() -> None:
+    """Drop what tasks of an earlier operator still hold in this worker; for tasks that share nothing.
+
+    A worker outlives the operator that filled it, and next to an idle tokenizer others have less memory.
+    """
+    _in_worker.clear()
+
+
 _Key = TypeVar("_Key")
 _Value = TypeVar("_Value")
 

@@ -26,15 +26,18 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int)
 
 
 def components(edges: DataFrame, stage: Stage, name: str) -> DataFrame:
-    """(node, component) of every node of the undirected ``edges`` (a, b): the least node reachable.
+    """(node, component) of every node of the undirected stored ``edges`` (a, b): the least node reachable.
 
     Every round, a node takes the least label of its neighbours and then the label of that label, so paths
     shrink geometrically. Each round's labels are a stored table; only a count of changes is sent to the
     driver.
     """
-    both = stage.save(f"{name}-edges", edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    directed = 2 * edges.count()
+    both = stage.save(f"{name}-edges", edges.select("a", "b").union(edges.select("b", "a")).distinct(), directed)
     labels = stage.save(
-        f"{name}-0", both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component"))
+        f"{name}-0",
+        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")),
+        directed,
     )
     turn = 0
     while True:
@@ -46,6 +49,7 @@ def components(edges: DataFrame, stage: Stage, name: str) -> DataFrame:
         moved = stage.save(
             f"{name}-{turn}",
             taken.join(jump, "next").select("node", F.least("next", "far").alias("component"), (F.col("component") != F.least("next", "far")).alias("moved")),
+            directed,
         )
         labels = moved.select("node", "component")
         if not moved.filter("moved").limit(1).count():

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.llm.common import WORD, Words, mix, own_names, steps, text_bytes
+from cratewise.llm.common import WORD, Words, leave_nothing, mix, own_names, steps, text_bytes
 from cratewise.llm.components import components, lookup
 from cratewise.sources.stage import Stage
 
@@ -90,6 +90,7 @@ def shingles(texts: list[bytes]) -> Iterator[np.ndarray]:
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of the batches, few at a time."""
+    leave_nothing()
     for batch in batches:
         for first in range(0, batch.num_rows, PORTION):
             yield batch.slice(first, PORTION)
@@ -202,15 +203,16 @@ class JaccardJoin:
             F.min(F.struct("key", "key2")).alias("at"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"),
             F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first"),
         )
-        self.classes = self.stage.save("classes", classes.withColumn("cid", F.monotonically_increasing_id()))
+        self.classes = self.stage.save("classes", classes.withColumn("cid", F.monotonically_increasing_id()), self.n_docs)
+        self.n_classes = self.classes.count()
         groups = self.classes.groupBy("group").agg(
             F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("cid").alias("pivot"), F.count(F.lit(1)).alias("members")
         )
-        self.groups = self.stage.save("groups", groups.withColumn("gid", F.monotonically_increasing_id()))
+        self.groups = self.stage.save("groups", groups.withColumn("gid", F.monotonically_increasing_id()), self.n_classes)
         several = self.groups.filter("members > 1").select("group", "gid", "pivot")
         one = self.groups.filter("members = 1").select("gid", F.col("pivot").alias("cid"), "pivot")
         self.members = self.stage.save(
-            "members", self.classes.select("cid", "group").join(several, "group").select("gid", "cid", "pivot").unionByName(one)
+            "members", self.classes.select("cid", "group").join(several, "group").select("gid", "cid", "pivot").unionByName(one), self.n_classes
         )
 
     def _blocks(self) -> DataFrame:
@@ -298,7 +300,7 @@ class JaccardJoin:
         return texts.mapInArrow(run, "cid bigint, tokens array<bigint>").dropDuplicates(["cid"])
 
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Of distinct pairs (a, b) of classes, those whose sets are similar enough."""
+        """Of stored distinct pairs (a, b) of classes, those whose sets are similar enough, staged."""
         similarity = self.similarity
         small = lambda side: self.classes.select(F.col("cid").alias(side), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"bits{side}"))
 
@@ -312,8 +314,9 @@ class JaccardJoin:
 
         sized = pairs.join(small("a"), "a").join(small("b"), "b").select("a", "b", "na", "nb", "bitsa", "bitsb")
         sized = sized.filter((similarity * F.greatest("na", "nb")) <= (100 * F.least("na", "nb")))
-        likely = self.stage.save(f"{name}-likely", sized.mapInArrow(near, "a bigint, b bigint"))
-        sets = self.stage.save(f"{name}-sets", self._needed(likely))
+        likely = self.stage.save(f"{name}-likely", sized.mapInArrow(near, "a bigint, b bigint"), pairs.count())
+        n_likely = likely.count()
+        sets = self.stage.save(f"{name}-sets", self._needed(likely), min(2 * n_likely, self.n_classes))
         salts = likely.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_SALT).cast("int").alias("salts"))
         left = (
             sets.select(F.col("cid").alias("a"), F.col("tokens").alias("x")).join(salts, "a")
@@ -323,21 +326,23 @@ class JaccardJoin:
         both = dealt.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("y")), "b").join(left, ["a", "salt"])
         common = F.size(F.array_intersect("x", "y"))
         counted = both.select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("sum"))
-        return counted.filter(100 * F.col("common") >= similarity * (F.col("sum") - F.col("common"))).select("a", "b")
+        near_enough = counted.filter(100 * F.col("common") >= similarity * (F.col("sum") - F.col("common"))).select("a", "b")
+        return self.stage.save(f"{name}-links", near_enough, n_likely)
 
     def _components(self) -> DataFrame:
         """Staged (node, component) of the linked classes."""
         blocks = self.stage.save("blocks", self._blocks())
         pivot = lambda side: self.groups.select(F.col("gid").alias(side), F.col("pivot").alias("a" if side == "star" else "b"))
+        n_stars = blocks.filter("star >= 0").count()
         stars = blocks.filter("star >= 0").select("star", "gid").distinct().join(pivot("star"), "star").join(pivot("gid"), "gid").select("a", "b")
         inside = self.members.filter("cid != pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
-        links = self.stage.save("links-1", self._verified(stars.union(inside), "first"))
+        links = self._verified(self.stage.save("first-pairs", stars.union(inside), self.n_classes + n_stars), "first")
         known = components(links, self.stage, "first")
         for name, forest in (("second", True), ("third", False)):
             pairs = self.stage.save(f"{name}-pairs", self._others(blocks, known, name, forest))
             if not pairs.limit(1).count():
                 break
-            more = self.stage.save(f"{name}-links", self._verified(pairs, name))
+            more = self._verified(pairs, name)
             if more.limit(1).count():
                 links = links.union(more)
                 known = components(links, self.stage, name)
@@ -350,6 +355,7 @@ class JaccardJoin:
         labelled = self.stage.save(
             f"{name}-labelled",
             of_class.join(known.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid")),
+            self.n_classes,
         )
         of_group = labelled.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
         salts = lambda rows: F.ceil(F.col(rows) / block_rows).cast("int").alias("salts")
@@ -384,7 +390,7 @@ class JaccardJoin:
         labelled = self.classes.select("digest", "cid", "doc_id", "copies", "first").join(labels, "cid", "left").withColumn(
             "component", F.coalesce("component", "cid")
         )
-        return self.stage.save("class-labels", labelled)
+        return self.stage.save("class-labels", labelled, self.n_classes)
 
     def kept(self) -> DataFrame:
         """Distinct (doc_id, key) of the row that stays of each component, and of all rows without words."""

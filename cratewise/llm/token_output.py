@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cratewise.llm import idcoder
-from cratewise.llm.common import WordMemory, mix, shuffle_partitions, steps, text_bytes, word_spans
+from cratewise.llm.common import WordMemory, in_worker, mix, shuffle_partitions, steps, text_bytes, word_spans
 from cratewise.sources.stage import Stage
 
 # Ids of a segment: it is closed with the document that reaches them.
@@ -190,16 +190,10 @@ class WordCache:
         return out
 
 
-_built: dict[str, WordCache] = {}
-
-
 def _cache(description: str) -> WordCache:
-    if description not in _built:
-        # A task has one core; threads of the library would only compete with those of other tasks.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _built.clear()
-        _built[description] = WordCache(description)
-    return _built[description]
+    # A task has one core; threads of the library would only compete with those of other tasks.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return in_worker(("words", description), lambda: WordCache(description))
 
 
 def write_token_blocks(docs: DataFrame, description: str, end_id: int, folder: str) -> None:

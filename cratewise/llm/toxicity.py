@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.llm.common import id_crc32, own_names
+from cratewise.llm.common import id_crc32, leave_nothing, own_names
 
 PRIOR_TOKENS = 10_000.0
 CAUTION = 1.96
@@ -144,6 +144,7 @@ def tokens_of(text: str | None) -> list[str]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    leave_nothing()
     for batch in batches:
         totals: tuple[Counter, Counter] = (Counter(), Counter())
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -256,6 +257,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_nothing()
         model = shared.value
         for batch in batches:
             scores, spans = [], []

@@ -38,6 +38,10 @@ def run_together(job: Callable[[_Item], _Result], items: Iterable[_Item]) -> lis
         return list(pool.map(job, items))
 
 
+# Rows for which a file of a staged table is worth a task, where a caller knows how many rows there may be.
+FILE_ROWS = 4096
+
+
 class Stage:
     """A fresh folder per run. A staged table has no lineage, so a lost executor costs one re-read."""
 
@@ -45,7 +49,15 @@ class Stage:
         self.spark = spark
         self.path = f"{folder or shared_folder(spark)}/stage-{uuid.uuid4().hex}"
 
-    def save(self, name: str, df: DataFrame) -> DataFrame:
+    def save(self, name: str, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """Write a frame and read it back.
+
+        With ``rows``, a bound of its rows that the caller knows, its last tasks are merged until each may write
+        ``FILE_ROWS``; every core keeps one. So a small table is not many tiny files, each with its own open,
+        commit and later read, and the number of files grows with the table.
+        """
+        if rows is not None:
+            df = df.coalesce(max(self.spark.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
         target = f"{self.path}/{name}"
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 import random
 import re
 import time
 import tracemalloc
+import weakref
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -495,6 +498,48 @@ def test_license_scan_equals_sql(spark):
     assert differences(QUERIES["op8_licenses"](spark, sf), oracle_connection(sf), ORACLE_SQL["op8_licenses"]) == []
 
 
+def test_staged_tables_of_the_join_are_few_files(spark, docs, tmp_path, monkeypatch):
+    """Many partitions: the staged tables of a known size get files by their rows, and ids stay distinct."""
+    kept = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    expected = sorted(map(tuple, jaccard.jaccard_components(docs).collect()), key=repr)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "97")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        join = jaccard.JaccardJoin(docs.select("doc_id", "text"))
+        join.stage = Stage(spark, str(tmp_path))
+        join._classes_and_groups()
+        assert sorted(map(tuple, join.components().collect()), key=repr) == expected
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    cores = spark.sparkContext.defaultParallelism
+    files = {t.name: len(list(t.glob("part-*"))) for t in Path(join.stage.path).iterdir()}
+    assert {"classes", "groups", "members", "first-pairs", "first-likely", "first-sets", "first-links", "first-edges", "first-1", "class-labels"} <= set(files)
+    assert all(n <= cores + 1 for name, n in files.items() if name != "blocks" and not name.endswith(("-pairs"))), files
+    for table, key in ((join.classes, "cid"), (join.groups, "gid")):
+        assert table.count() == table.select(key).distinct().count()
+    more = Stage(spark, str(tmp_path)).save("more", spark.range(0, 9000, 1, 50), 9000)
+    assert len(list(tmp_path.glob("*/more/part-*"))) == max(cores, 3) and more.count() == 9000
+
+
+def test_join_leaves_no_tokenizer_in_the_worker():
+    description = Path(PATH).read_text(encoding="utf-8")
+    first = bpe.tokenizer(description)
+    assert bpe.tokenizer(description) is first
+    held = weakref.ref(first)
+    token_output._cache(description)  # of two operators' things, the worker holds the last one
+    del first
+    gc.collect()
+    assert held() is None
+    held = weakref.ref(bpe.tokenizer(description))
+    assert held() is not None
+    batch = pa.RecordBatch.from_pydict({"text": ["a b c"] * 3})
+    assert [b.num_rows for b in jaccard._portions(iter([batch]))] == [3]
+    gc.collect()
+    assert held() is None
+    assert len(bpe.tokenizer(description).encode([b"word"])) == 1
+
+
 # Language model
 
 
