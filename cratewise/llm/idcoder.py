@@ -30,14 +30,10 @@ _LOW = 2.0**32  # renormalised below
 _WORD = 2.0**16
 _SLOTS1, _SLOTS2 = 1 << 12, 1 << 13
 _SURE = 3  # highest confidence of a prediction
-_SHIFT = 4  # rate at which shares adapt
-_MOST = 7 << 17  # of 2**20: what a share may reach
+_RATE = 2.0**-4  # at which shares adapt
+_MOST = 7 * 2.0**17  # of 2**20: what a share may reach
 _MULTIPLY = np.array([[0xC2B2AE3D27D4EB4F], [0x9E3779B97F4A7C15]], np.uint64)
 _DOWN = np.array([[51], [52]], np.uint64)
-_NEW = 9
-# By confidence, first of misses, then of hits: what a prediction gains, or that the id takes its place.
-_CHANGE = np.array([_NEW, _NEW, -1, -1, _NEW, 1, 1, 0], np.int32)
-_AIM = np.array([0, 1 << 20], np.int64)
 _ROWS = 32  # lanes counted at once
 
 
@@ -61,8 +57,8 @@ class _Mixer:
         lane = np.arange(lanes, dtype=np.int64)
         self._table = np.full(lanes * (_SLOTS2 + _SLOTS1), -4, np.int32)
         self._offset = np.stack((lane * _SLOTS2, lanes * _SLOTS2 + lane * _SLOTS1))
-        share = np.empty((2, lanes, _SURE + 1), np.int64)
-        share[0], share[1] = 1 << 18, 1 << 17
+        share = np.empty((2, lanes, _SURE + 1))
+        share[0], share[1] = 2.0**18, 2.0**17
         share[:, :, 0] = 0
         self._share = share.ravel()
         self._lane = np.stack((lane, lanes + lane)) * (_SURE + 1)
@@ -78,21 +74,33 @@ class _Mixer:
         self._old = self._share.take(self._slot)
         self._guess = self._value >> 2
         bounds = np.minimum(self._old, _MOST)
-        bounds[1] *= self._guess[0] != self._guess[1]
-        bounds[1] *= (1 << 20) - bounds[0]
-        bounds[1] >>= 20
-        bounds[1] += bounds[0]
-        return self._guess, bounds.astype(np.float64)
-
-    def update(self, n: int, ids: np.ndarray) -> None:
-        hit = self._guess == ids
-        change = _CHANGE.take(self._sure + 4 * hit.view(np.int8))
+        rest = _SCALE - bounds[0]
+        rest *= self._guess[0] != self._guess[1]
+        rest *= bounds[1]
+        rest *= 1 / _SCALE
+        np.floor(rest, out=rest)
+        np.add(rest, bounds[0], out=bounds[1])
+        return self._guess, bounds
+
+    def update(self, n: int, ids: np.ndarray, hit: np.ndarray) -> None:
+        """``hit``: which predictions were right. Masks are applied by arithmetic, since they are hard to foresee.
+
+        A hit gains confidence and a miss loses one; at the lowest, the id takes the prediction's place.
+        """
+        change = hit.view(np.int8) * np.int8(2)
+        change -= np.int8(1)
+        change -= (hit & (self._sure == _SURE)).view(np.int8)
         self._value += change
-        np.copyto(self._value, ids * 4 + 1, where=change == _NEW)
+        gone = self._sure < 2
+        gone &= ~hit
+        other = self._value ^ (ids * 4 + 1)
+        other &= -gone.view(np.int8)
+        self._value ^= other
         self._table[self._at] = self._value
-        aim = _AIM.take(hit.view(np.int8))
+        aim = hit * _SCALE
         aim -= self._old
-        aim >>= _SHIFT
+        aim *= _RATE
+        np.floor(aim, out=aim)
         aim += self._old
         self._share[self._slot] = aim
         one = (ids + 1).astype(np.uint64)
@@ -109,37 +117,42 @@ def _lanes(lengths: np.ndarray) -> np.ndarray:
 def _ranks(rows: np.ndarray) -> np.ndarray:
     """Place of every id among the distinct ids of its row."""
     ranks = np.empty(rows.shape, np.int32)
+    # Each id is sorted along with its place, in one number.
+    width = rows.shape[1]
+    bits = width.bit_length()
+    kind = np.int32 if int(rows.max()) < 1 << (31 - bits) else np.int64
     for first in range(0, len(rows), _ROWS):
-        own = rows[first : first + _ROWS]
-        order = np.argsort(own, axis=1)
-        ordered = np.take_along_axis(own, order, axis=1)
+        own = np.left_shift(rows[first : first + _ROWS], bits, dtype=kind)
+        own |= np.arange(width, dtype=kind)
+        own.sort(axis=1)
         place = np.zeros(own.shape, np.int32)
+        ordered = own >> bits
         np.cumsum(ordered[:, 1:] != ordered[:, :-1], axis=1, out=place[:, 1:])
-        np.put_along_axis(ranks[first : first + _ROWS], order, place, axis=1)
+        own &= (1 << bits) - 1
+        np.put_along_axis(ranks[first : first + _ROWS], own.astype(np.int64), place, axis=1)
     return ranks
 
 
 def _counts_before(ranks: np.ndarray, t: int, later: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the first ``t`` ids of every row: how many lie below, and not above, each id from ``t`` to
     ``later``, and the total with the escape. Ids that are new have -1 in place of the second."""
-    n, width = ranks.shape
-    below, upto, total = [], [], np.empty(n)
+    n = len(ranks)
+    below, upto, total = np.empty((later - t, n)), np.empty((later - t, n)), np.empty(n)
     for first in range(0, n, _ROWS):
-        own = ranks[first : first + _ROWS]
+        here = slice(first, first + _ROWS)
+        own = ranks[here]
+        width = int(own.max()) + 1
         base = np.arange(len(own), dtype=np.int64)[:, None] * width
         sums = np.bincount((own[:, :t] + base).ravel(), minlength=len(own) * width).reshape(len(own), width)
-        total[first : first + _ROWS] = t + np.count_nonzero(sums, axis=1)
-        ask = (own[:, t:later] + base).ravel()
+        total[here] = t + np.count_nonzero(sums, axis=1)
+        # One row per step, whose ids lie side by side.
+        ask = own[:, t:later].T + base.T
         count = sums.ravel().take(ask)
         end = np.cumsum(sums, axis=1).ravel().take(ask)
         new = count == 0
-        start = end - count
-        start[new], end[new] = t, -1
-        below.append(start.reshape(len(own), -1).astype(np.float64))
-        upto.append(end.reshape(len(own), -1).astype(np.float64))
-    # One row per step, whose ids lie side by side.
-    turned = [np.ascontiguousarray(np.concatenate(x).T) for x in (below, upto)]
-    return turned[0], turned[1], total
+        below[:, here] = np.where(new, t, end - count)
+        upto[:, here] = np.where(new, -1, end)
+    return below, upto, total
 
 
 def _counted(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,13 +189,14 @@ def _encode_lanes(rows: np.ndarray, lengths: np.ndarray, wide: bool) -> tuple[np
     resort, going = _sort_steps(longest), _lanes(lengths)
     ranks, steps = _ranks(rows), np.ascontiguousarray(rows.T)
     counted_from = 0
-    c0, c1, total = np.zeros((min(16, longest), lanes)), np.full((min(16, longest), lanes), -1.0), np.ones(lanes)
+    c0, c1, total = np.zeros((min(16, longest), lanes)), np.ones((min(16, longest), lanes)), np.ones(lanes)
+    novels = np.ones(c1.shape, bool)
 
     def put(low, span, place, unit, start, size):
         """Narrow these ranges to [start, start + size) units: the new state."""
         unit_start = unit * start
         lo = low + unit_start
-        over = np.flatnonzero(lo >= _STATE)
+        (over,) = (lo >= _STATE).nonzero()
         if len(over):
             out[place[over] - 1] += 1
             lo[over] -= _STATE
@@ -190,11 +204,14 @@ def _encode_lanes(rows: np.ndarray, lengths: np.ndarray, wide: bool) -> tuple[np
         short = width < _LOW
         word = np.floor(lo * (1 / _LOW))
         out[place] = word  # stays only where the place moves on
+        moved = short.astype(np.float64)
         word *= _LOW
-        np.subtract(lo, word, out=word)
-        word *= _WORD
-        np.copyto(lo, word, where=short)
-        np.copyto(width, width * _WORD, where=short)
+        word *= moved
+        lo -= word
+        moved *= _WORD - 1
+        moved += 1.0
+        lo *= moved
+        width *= moved
         return lo, width, place + short
 
     for t in range(longest):
@@ -203,36 +220,35 @@ def _encode_lanes(rows: np.ndarray, lengths: np.ndarray, wide: bool) -> tuple[np
             later = min([x for x in resort if x > t], default=longest)
             counted_from = t
             c0, c1, total = _counts_before(ranks[:n], t, later)
+            novels = c1 < 0
+            np.copyto(c1, total, where=novels)  # so that the escape ends the interval
         ids = steps[t, :n]
         guess, bounds = mixer.predict(n)
         b2, b1 = bounds
-        by2, by1 = (guess == ids) & (bounds > 0)
+        hit = guess == ids
+        by2, by1 = hit & (bounds > 0)
         by1 &= b1 > b2
-        f0, f1 = c0[t - counted_from, :n], c1[t - counted_from, :n]
-        novel = f1 < 0
         rest = _SCALE - b1
-        start = np.floor(f0 * rest / total[:n])
-        start += b1
-        end = f1 * rest
-        end /= total[:n]
-        np.floor(end, out=end)
-        np.copyto(end, rest, where=novel)
-        end += b1
-        np.copyto(start, b2, where=by1)
-        np.copyto(end, b1, where=by1)
-        np.copyto(start, 0.0, where=by2)
-        np.copyto(end, b2, where=by2)
+        start = c0[t - counted_from, :n] * rest
+        end = c1[t - counted_from, :n] * rest
+        for edge in (start, end):
+            edge /= total[:n]
+            np.floor(edge, out=edge)
+            edge += b1
+        (first,), (second,) = by1.nonzero(), by2.nonzero()
+        start[first], end[first] = b2[first], b1[first]
+        start[second], end[second] = 0.0, b2[second]
         end -= start
         unit = np.floor(span[:n] * (1 / _SCALE))
         low[:n], span[:n], place[:n] = put(low[:n], span[:n], place[:n], unit, start, end)
-        novel &= ~(by1 | by2)
-        raw = np.flatnonzero(novel)
+        by1 |= by2
+        (raw,) = (novels[t - counted_from, :n] > by1).nonzero()
         if len(raw):
             for down in (16, 0) if wide else (0,):
                 part = ((ids[raw] >> down) & 0xFFFF).astype(np.float64)
                 unit = np.floor(span[raw] * (1 / _WORD))
                 low[raw], span[raw], place[raw] = put(low[raw], span[raw], place[raw], unit, part, 1.0)
-        mixer.update(n, ids)
+        mixer.update(n, ids, hit)
     for _ in range(3):
         word = np.floor(low * (1 / _LOW))
         # A carry that is still to come cannot be: low is below the state here.
@@ -266,10 +282,13 @@ def _decode_lanes(words: np.ndarray, begins: np.ndarray, lengths: np.ndarray, wi
         code = code - unit * start
         size = unit * size
         short = size < _LOW
-        longer = code * _WORD
-        longer += words.take(place, mode="clip").astype(np.float64)
-        np.copyto(code, longer, where=short)
-        np.copyto(size, size * _WORD, where=short)
+        moved = short.astype(np.float64)
+        longer = words.take(place, mode="clip") * moved
+        moved *= _WORD - 1
+        moved += 1.0
+        code *= moved
+        code += longer
+        size *= moved
         return code, size, place + short
 
     for t in range(longest):
@@ -297,29 +316,27 @@ def _decode_lanes(words: np.ndarray, begins: np.ndarray, lengths: np.ndarray, wi
         below = share * rest
         below /= sums
         np.floor(below, out=below)
-        np.copyto(share, share - 1.0, where=below > value)
+        share -= below > value
         place_of = np.minimum(share, width).astype(np.int64)
         place_of += own[:n]
         entry = counted.take(place_of)
         ids = entry >> 28
-        end = (entry & 0x3FFF).astype(np.float64)
+        edges = np.empty((2, n))
+        edges[1] = entry & 0x3FFF
         entry >>= 14
         entry &= 0x3FFF
-        start = entry.astype(np.float64)
-        for edge in (start, end):
-            edge *= rest
-            edge /= sums
-            np.floor(edge, out=edge)
-            edge += b1
-        np.copyto(start, b2, where=by1)
-        np.copyto(end, b1, where=by1)
-        np.copyto(ids, guess[1], where=by1)
-        np.copyto(start, 0.0, where=by2)
-        np.copyto(end, b2, where=by2)
-        np.copyto(ids, guess[0], where=by2)
+        edges[0] = entry
+        edges *= rest
+        edges /= sums
+        np.floor(edges, out=edges)
+        edges += b1
+        start, end = edges
+        (first,), (second,) = by1.nonzero(), by2.nonzero()
+        start[first], end[first], ids[first] = b2[first], b1[first], guess[1, first]
+        start[second], end[second], ids[second] = 0.0, b2[second], guess[0, second]
         end -= start
         code[:n], span[:n], place[:n] = take(code[:n], span[:n], place[:n], unit, start, end)
-        raw = np.flatnonzero(ids < 0)
+        (raw,) = (ids < 0).nonzero()
         if len(raw):
             found = np.zeros(len(raw), np.int64)
             for _ in range(1 + wide):
@@ -329,7 +346,8 @@ def _decode_lanes(words: np.ndarray, begins: np.ndarray, lengths: np.ndarray, wi
                 found = (found << 16) + part.astype(np.int64)
             ids[raw] = found
         steps[t, :n] = ids
-        mixer.update(n, ids.astype(np.int32))
+        ids = ids.astype(np.int32)
+        mixer.update(n, ids, guess == ids)
     return np.ascontiguousarray(steps.T)
 
 

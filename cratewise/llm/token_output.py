@@ -9,10 +9,13 @@ NULL doc_ids come first and equal ones are ordered by text. NULL and empty texts
 
 from __future__ import annotations
 
+import json
 import os
+import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,14 @@ REMEMBERED_WORDS = 1 << 20
 REMEMBERED_LONG = 50_000
 SHORT = 16
 
+# Words that one call of the library encodes.
+ASKED_AT_ONCE = 1024
+
+# The normaliser and splitter whose words need no encoding of their own for A-Z and trailing punctuation.
+_FOLDED = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_TAIL = 4  # longest punctuation that is cut off
+
 _PARTS = [("<u8", 0), ("<u8", 8)]
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
@@ -108,6 +119,74 @@ def _distinct(keys: list[np.ndarray]) -> np.ndarray:
     return order[first]
 
 
+def _among(values: Iterable[int]) -> np.ndarray:
+    """Whether each byte is one of these."""
+    found = np.zeros(256, bool)
+    found[list(values)] = True
+    return found
+
+
+_ASCII, _UPPER = _among(string.ascii_letters.encode()), _among(string.ascii_uppercase.encode())
+# Letters of Latin-1 beyond ASCII are two bytes, of which the first is LATIN.
+_LATIN, _SECOND = 0xC3, _among(set(range(0x80, 0xC0)) - {0x97, 0xB7})
+
+
+class _Pieces:
+    """Words cut and lower-cased as the tokenizer itself does first, so that fewer of them are distinct.
+
+    Where normaliser and splitter are the known ones, punctuation after a letter of Latin-1 begins a piece
+    of its own, and a word of such letters alone is plain: the splitter leaves it whole, and A-Z have the
+    ids of a-z in it. Neither touches a special token: no byte of one is cut off, and none is of letters
+    alone. Other tokenizers' words stay as they are.
+    """
+
+    def __init__(self, description: str) -> None:
+        spec = json.loads(description)
+        normal = (spec.get("normalizer") or {}).get("normalizers", [])
+        split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        special = [t["content"] for t in spec["added_tokens"]]
+        self._known = (
+            [n["type"] for n in normal] == _FOLDED
+            and (normal[1]["pattern"], normal[1]["content"]) == ({"Regex": r"\s+"}, " ")
+            and [p["type"] for p in split] == ["Split", "ByteLevel"]
+            and (split[0]["pattern"], split[0]["behavior"], split[0]["invert"]) == ({"Regex": _SPLIT}, "Removed", True)
+            and not (split[1]["add_prefix_space"] or split[1]["use_regex"])
+            and not any(t.isalpha() or t.split() != [t] for t in special)
+            and not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in spec["added_tokens"])
+            and spec["model"]["type"] == "BPE"
+            and not spec["model"].get("dropout")
+        )
+        self._tail = _among(c for c in string.punctuation.encode() if not any(chr(c) in t for t in special))
+
+    def cut(self, text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """The text and its words (in order, none empty) as pieces with the same ids, and which of them are plain."""
+        if not self._known or not len(starts):
+            return text, starts, ends, np.zeros(len(starts), bool)
+        data = np.frombuffer(text, np.uint8).copy()
+        letter = _ASCII[data]
+        pair = np.flatnonzero((data[:-1] == _LATIN) & _SECOND[data[1:]])
+        letter[pair] = letter[pair + 1] = True
+        at = np.flatnonzero(self._tail[data[ends - 1]])
+        place, found = ends[at] - 1, []
+        for _ in range(_TAIL):
+            inside = place > starts[at]
+            at, place = at[inside], place[inside]
+            here = letter[place - 1]
+            found.append((at[here], place[here]))
+            more = self._tail[data[place - 1]]
+            at, place = at[more], place[more] - 1
+        at, place = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(at)
+        at, place = at[order], place[order]
+        starts, ends = np.insert(starts, at + 1, place), np.insert(ends, at, place)
+        others = np.cumsum(~letter, dtype=np.int32)
+        plain = others[ends - 1] == others[starts]
+        plain &= letter[starts]
+        upper = np.flatnonzero(_UPPER[data])
+        data[upper[plain[np.searchsorted(starts, upper, side="right") - 1]]] += 32
+        return data.tobytes(), starts, ends, plain
+
+
 class WordCache:
     """The tokenizers library, asked for a word only if it is not remembered.
 
@@ -122,14 +201,40 @@ class WordCache:
         ids = lambda text: self._library.encode(text, add_special_tokens=False).ids
         if ids(" ab\n\t\rc \x0b\x0c") != ids("ab") + ids("c"):
             raise ValueError("the tokenizer keeps white space")
+        self._pieces = _Pieces(description)
+        # Which ids end a plain word.
+        suffix = json.loads(description)["model"].get("end_of_word_suffix") or ""
+        vocab = self._library.get_vocab()
+        self._final = np.zeros(1 + max(vocab.values()), bool)
+        self._final[[number for token, number in vocab.items() if suffix and token.endswith(suffix)]] = True
         self._long = WordMemory(REMEMBERED_LONG)
         self._young, self._old = _Words(REMEMBERED_WORDS), None
 
-    def _ask(self, words: list[bytes]) -> list[np.ndarray]:
-        coded = self._library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(c.ids, np.int32) for c in coded]
-
-    def _short_words(self, text: bytes, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _ask(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of these words has, and all of them in order."""
+        counts, ids = [], [np.zeros(0, np.int32)]
+        for first in range(0, len(words), ASKED_AT_ONCE):
+            own = b"\n".join(words[first : first + ASKED_AT_ONCE]).decode().split("\n")
+            coded = [c.ids for c in self._library.encode_batch_fast(own, add_special_tokens=False)]
+            counts += map(len, coded)
+            ids.append(np.fromiter(chain.from_iterable(coded), np.int32))
+        return np.array(counts, np.int64), np.concatenate(ids)
+
+    def _ask_plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for plain words, which the library gets many in a text."""
+        found = []
+        for first in range(0, len(words), ASKED_AT_ONCE):
+            own = words[first : first + ASKED_AT_ONCE]
+            (coded,) = self._library.encode_batch_fast([b" ".join(own).decode()], add_special_tokens=False)
+            ids = np.array(coded.ids, np.int32)
+            ends = np.flatnonzero(self._final[ids])
+            # Without a mark at each word's end, they are asked for one by one.
+            whole = len(ends) == len(own) and ends[-1] == len(ids) - 1
+            found.append((np.diff(ends, prepend=-1), ids) if whole else self._ask(own))
+        counts, ids = zip(*found)
+        return np.concatenate(counts), np.concatenate(ids)
+
+    def _short_words(self, text: bytes, starts: np.ndarray, lengths: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each of these words of the text has, and all of them in order."""
         keys = []
         for kind, offset in _PARTS:
@@ -149,10 +254,10 @@ class WordCache:
             kept = known >= 0
             self._young.add(pick(new[kept]), *self._old.ids(known[kept]))
             new = new[~kept]
-        if len(new):
-            words = [text[a:b] for a, b in zip(starts[new].tolist(), (starts[new] + lengths[new]).tolist())]
-            coded = self._ask(words)
-            self._young.add(pick(new), np.fromiter(map(len, coded), np.int64, len(coded)), np.concatenate(coded))
+        for own, ask in ((new[plain[new]], self._ask_plain), (new[~plain[new]], self._ask)):
+            if len(own):
+                words = [text[a:b] for a, b in zip(starts[own].tolist(), (starts[own] + lengths[own]).tolist())]
+                self._young.add(pick(own), *ask(words))
         numbers[missing] = self._young.find(pick(missing))
         return self._young.ids(numbers)
 
@@ -161,18 +266,21 @@ class WordCache:
         known = self._long.known
         if new:
             order = list(new)
-            known.update((w, ids.tobytes()) for w, ids in zip(order, self._ask(order)))
+            counts, ids = self._ask(order)
+            ends = (4 * np.cumsum(counts)).tolist()
+            packed = ids.tobytes()
+            known.update((w, packed[a:b]) for w, a, b in zip(order, [0, *ends], ends))
         return [known[w] for w in words]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         out = []
         for first, last in steps(texts):
             joined = b"\n".join([b"", *texts[first:last], bytes(SHORT)])
-            starts, ends = word_spans(joined[:-SHORT])
+            joined, starts, ends, plain = self._pieces.cut(joined, *word_spans(joined[:-SHORT]))
             lengths = ends - starts
             short = lengths <= SHORT
             counts = np.zeros(len(starts), np.int64)
-            counts[short], ids = self._short_words(joined, starts[short], lengths[short])
+            counts[short], ids = self._short_words(joined, starts[short], lengths[short], plain[short])
             place = np.flatnonzero(~short)
             if len(place):
                 spans = zip(starts[place].tolist(), ends[place].tolist())

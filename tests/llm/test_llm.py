@@ -19,7 +19,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from cratewise.llm import bpe, components, fingerprints, idcoder, jaccard, language, licenses, mixing, ppm, quality, token_output, toxicity
 from cratewise.llm.queries import TOKENIZER
@@ -132,6 +132,54 @@ def test_remembered_words_change_no_ids(monkeypatch):
                 assert [ids.tolist() for ids in cache.encode([t.encode() for t in part])] == expected
 
 
+def test_pieces_of_words_are_asked_for_once():
+    """Case and trailing punctuation cost no further question, and plain words go many in a text."""
+    cache, texts_asked = token_output.WordCache(bpe.read_description(PATH)), []
+    library = cache._library
+
+    class Library:
+        def encode_batch_fast(self, words, add_special_tokens):
+            texts_asked.extend(words)
+            return library.encode_batch_fast(words, add_special_tokens=add_special_tokens)
+
+    cache._library = Library()
+    text = "Abc abc ABC. abc, \u00c9t\u00e9! \u00c9t\u00e9 abc!! don't <|endoftext|> <|ENDOFTEXT|> abc.net"
+    for _ in range(2):
+        assert [i.tolist() for i in cache.encode([text.encode()])] == [library.encode(text, add_special_tokens=False).ids]
+    assert sorted(sum((t.split() for t in texts_asked), [])) == sorted(["abc", "\u00c9t\u00e9", "abc.net", "don't", *[".", ",", "!", "!!"], "<|endoftext|>", "<|ENDOFTEXT|>"])
+    many = [b" ".join(b"%c%c%c" % (a, b, c) for a in range(97, 123) for b in range(97, 123)) for c in range(97, 123)]
+    texts_asked.clear()
+    cache.encode(many)
+    assert 0 < len(texts_asked) < 100
+
+
+def test_odd_words_equal_the_library():
+    rng, library = np.random.default_rng(8), Tokenizer.from_file(PATH)
+    letters = [*"abAZsStTmMdD'.,;:!?\"()[]*#$%&@~^`_-+=/\\<|>019 ", "\u2019", "\u00e9", "\u00c9", "\u0301", "\u0338", "\u0130", "\u00df", "\u212b", "\u2026", "\u00a0", "\u0085", "\x00", "\u4e2d", "\u00d7", "\u00f7", "\u00ff", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL"]
+    odd = ["".join(letters[i] for i in rng.integers(0, len(letters), n)) for n in rng.integers(0, 30, 5000)]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in odd]
+    cache = token_output.WordCache(bpe.read_description(PATH))
+    assert [i.tolist() for i in cache.encode([t.encode() for t in odd])] == expected
+    cache = token_output.WordCache(bpe.read_description(PATH))
+    cache._final[:] = False  # no mark of a word's end: words are asked for one by one
+    assert [i.tolist() for i in cache.encode([t.encode() for t in odd])] == expected
+
+
+def test_other_splitters_leave_words_whole():
+    other = Tokenizer.from_file(PATH)
+    other.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    cache, text = token_output.WordCache(other.to_str()), "Abc abc. abc, ABC!! \u00e9t\u00e9."
+    assert cache.encode([text.encode()])[0].tolist() == other.encode(text, add_special_tokens=False).ids
+    assert other.encode("abc.").ids != other.encode("abc .").ids
+
+
+def test_segments_keep_their_bytes():
+    """Faster arithmetic may not change the format: segments of earlier versions stay readable."""
+    ids = np.arange(40_000, dtype=np.int64)
+    for documents, crc in (([ids * ids % 977, ids[:9000] % 7], 2485067946), ([ids * 7919 % 131_071], 1349730234)):
+        assert zlib.crc32(idcoder.pack(list(range(len(documents))), [d.astype(np.int32) for d in documents])) == crc
+
+
 def test_token_output(spark, docs):
     library = Tokenizer.from_file(PATH)
     got = token_output.token_output(docs, bpe.read_description(PATH), 2).orderBy("start").collect()
