@@ -192,14 +192,18 @@ def _encode_lanes(rows: np.ndarray, lengths: np.ndarray, wide: bool) -> tuple[np
     c0, c1, total = np.zeros((min(16, longest), lanes)), np.ones((min(16, longest), lanes)), np.ones(lanes)
     novels = np.ones(c1.shape, bool)
 
-    def put(low, span, place, unit, start, size):
-        """Narrow these ranges to [start, start + size) units: the new state."""
-        unit_start = unit * start
-        lo = low + unit_start
+    def moved_up(low, place, by):
+        """These lower ends moved up; a carry goes to the word before."""
+        lo = low + by
         (over,) = (lo >= _STATE).nonzero()
         if len(over):
             out[place[over] - 1] += 1
             lo[over] -= _STATE
+        return lo
+
+    def put(low, place, unit, start, size):
+        """Narrow these ranges to [start, start + size) units: the new state."""
+        lo = moved_up(low, place, unit * start)
         width = unit * size
         short = width < _LOW
         word = np.floor(lo * (1 / _LOW))
@@ -240,14 +244,20 @@ def _encode_lanes(rows: np.ndarray, lengths: np.ndarray, wide: bool) -> tuple[np
         start[second], end[second] = 0.0, b2[second]
         end -= start
         unit = np.floor(span[:n] * (1 / _SCALE))
-        low[:n], span[:n], place[:n] = put(low[:n], span[:n], place[:n], unit, start, end)
+        low[:n], span[:n], place[:n] = put(low[:n], place[:n], unit, start, end)
         by1 |= by2
         (raw,) = (novels[t - counted_from, :n] > by1).nonzero()
         if len(raw):
             for down in (16, 0) if wide else (0,):
                 part = ((ids[raw] >> down) & 0xFFFF).astype(np.float64)
                 unit = np.floor(span[raw] * (1 / _WORD))
-                low[raw], span[raw], place[raw] = put(low[raw], span[raw], place[raw], unit, part, 1.0)
+                # One of 2**16 units is always below _LOW.
+                at = place[raw]
+                lo = moved_up(low[raw], at, unit * part)
+                word = np.floor(lo * (1 / _LOW))
+                out[at] = word
+                lo -= word * _LOW
+                low[raw], span[raw], place[raw] = lo * _WORD, unit * _WORD, at + 1
         mixer.update(n, ids, hit)
     for _ in range(3):
         word = np.floor(low * (1 / _LOW))
@@ -278,7 +288,7 @@ def _decode_lanes(words: np.ndarray, begins: np.ndarray, lengths: np.ndarray, wi
     counted, total, width = np.full(lanes, (-1 << 28) + 1), np.ones(lanes), 0
     own = np.arange(lanes, dtype=np.int64)
 
-    def take(code, span, place, unit, start, size):
+    def take(code, place, unit, start, size):
         code = code - unit * start
         size = unit * size
         short = size < _LOW
@@ -335,14 +345,17 @@ def _decode_lanes(words: np.ndarray, begins: np.ndarray, lengths: np.ndarray, wi
         start[first], end[first], ids[first] = b2[first], b1[first], guess[1, first]
         start[second], end[second], ids[second] = 0.0, b2[second], guess[0, second]
         end -= start
-        code[:n], span[:n], place[:n] = take(code[:n], span[:n], place[:n], unit, start, end)
+        code[:n], span[:n], place[:n] = take(code[:n], place[:n], unit, start, end)
         (raw,) = (ids < 0).nonzero()
         if len(raw):
             found = np.zeros(len(raw), np.int64)
             for _ in range(1 + wide):
                 unit = np.floor(span[raw] * (1 / _WORD))
                 part = np.minimum(np.floor(code[raw] / unit), _WORD - 1)
-                code[raw], span[raw], place[raw] = take(code[raw], span[raw], place[raw], unit, part, 1.0)
+                # One of 2**16 units is always below _LOW.
+                at = place[raw]
+                code[raw] = (code[raw] - unit * part) * _WORD + words.take(at, mode="clip")
+                span[raw], place[raw] = unit * _WORD, at + 1
                 found = (found << 16) + part.astype(np.int64)
             ids[raw] = found
         steps[t, :n] = ids

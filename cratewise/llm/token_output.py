@@ -126,7 +126,6 @@ def _among(values: Iterable[int]) -> np.ndarray:
     return found
 
 
-_ASCII, _UPPER = _among(string.ascii_letters.encode()), _among(string.ascii_uppercase.encode())
 # Letters of Latin-1 beyond ASCII are two bytes, of which the first is LATIN.
 _LATIN, _SECOND = 0xC3, _among(set(range(0x80, 0xC0)) - {0x97, 0xB7})
 
@@ -163,8 +162,9 @@ class _Pieces:
         if not self._known or not len(starts):
             return text, starts, ends, np.zeros(len(starts), bool)
         data = np.frombuffer(text, np.uint8).copy()
-        letter = _ASCII[data]
-        pair = np.flatnonzero((data[:-1] == _LATIN) & _SECOND[data[1:]])
+        letter = ((data | 32) - 97) < 26
+        pair = np.flatnonzero(data == _LATIN)
+        pair = pair[_SECOND[data[pair + 1]]]
         letter[pair] = letter[pair + 1] = True
         at = np.flatnonzero(self._tail[data[ends - 1]])
         place, found = ends[at] - 1, []
@@ -182,7 +182,7 @@ class _Pieces:
         others = np.cumsum(~letter, dtype=np.int32)
         plain = others[ends - 1] == others[starts]
         plain &= letter[starts]
-        upper = np.flatnonzero(_UPPER[data])
+        upper = np.flatnonzero((data - 65) < 26)
         data[upper[plain[np.searchsorted(starts, upper, side="right") - 1]]] += 32
         return data.tobytes(), starts, ends, plain
 
